@@ -423,6 +423,31 @@ def q_recon_date_range(spark, sf):
     return CMP.recon_date_range(gen, base, "condition_start_date")
 
 
+# ---------------------------------------------------------------- streaming
+def stream_condition(spark, sf, *, files: int = 4) -> tuple[str, DataFrame]:
+    """Write the condition batches into ``files`` files in the shared checkpoint
+    folder, stream them one file per micro-batch and return (folder, output)."""
+    from uuid import uuid4
+
+    from ..session import checkpoint_dir
+    from ..streaming.incremental import read_output, stream_domain
+    spec, ctx, _ = context(spark, sf)
+    dom = spec.domains["condition"]
+    base = f"{checkpoint_dir(spark)}/stream-{uuid4().hex}"
+    feed = load_batches(spark, dom)
+    feed.repartition(files, F.pmod(F.col("_rid"), F.lit(files))).write.parquet(f"{base}/source")
+    schema = spark.read.parquet(f"{base}/source").schema
+    stream_domain(spark, "condition", dom, ctx, source_dir=f"{base}/source", schema=schema,
+                  out_dir=f"{base}/out", state_dir=f"{base}/state")
+    return base, read_output(spark, f"{base}/out")
+
+
+def q_stream_ids(spark, sf):
+    """Streamed condition build; ids are numbered by arrival (T27), so the
+    content is compared without the id (uniqueness is asserted in the tests)."""
+    return stream_condition(spark, sf)[1].drop("condition_occurrence_id")
+
+
 QUERIES: dict[str, Query] = {
     "batch_union": q_batch_union,
     "cdm_projection": q_cdm_projection,
@@ -494,4 +519,5 @@ QUERIES: dict[str, Query] = {
     "recon_keys": q_recon_keys,
     "recon_concept_top10": q_recon_concept_top10,
     "recon_date_range": q_recon_date_range,
+    "stream_ids": q_stream_ids,
 }

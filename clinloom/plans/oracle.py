@@ -767,5 +767,8 @@ q("recon_date_range", "SELECT (SELECT min(condition_start_date) FROM cgen_tbl) A
                       "(SELECT max(condition_start_date) FROM cbase_tbl) AS base_max", "cgen_tbl", "cbase_tbl")
 
 
+q("stream_ids", "SELECT * EXCLUDE (condition_occurrence_id) FROM cond_tbl", "cond_tbl")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

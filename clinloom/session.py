@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -69,8 +69,8 @@ def build_context(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame, *,
                  domains: Iterable[str] | None = None, provider_list: DataFrame | None = None,
                  pseudonym_raw: DataFrame | None = None, concept: DataFrame | None = None,
-                 relationship: DataFrame | None = None, lab_raw: DataFrame | None = None,
-                 site1_keyword: str = "") -> dict[str, DataFrame]:
+                 relationship: DataFrame | None = None, vocabulary: DataFrame | None = None,
+                 lab_raw: DataFrame | None = None, site1_keyword: str = "") -> dict[str, DataFrame]:
     """Build the requested domains (all by default) and return every table.
 
     With ``spec.output_root`` each CDM table is deduped on its natural key (K3) and
@@ -78,6 +78,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
     Unknown domains are skipped; event domains need person, death and visit.
     """
     wanted = [d for d in ORDER if domains is None or d in set(domains)]
+    used: list[DataFrame] = []
     ctx, out = build_context(spark, spec, sheet_raw, concept=concept, relationship=relationship,
                              pseudonym_raw=pseudonym_raw)
     if provider_list is not None and "care_site" in wanted:
@@ -106,6 +107,17 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
                 feed = load_batches(spark, dom)
             table_map = vocab.mapping_table(concept, relationship, dom.mapping.vocabulary_id)
             out[f"{name}_unmapped"] = vocab.unmapped_report(feed, table_map, dom.mapping, dom.supplement)
+            used.append(vocab.used_concept_ids(feed, table_map, dom.mapping, dom.supplement))
+    if used and concept is not None:  # K6: vocabulary subsets of the concepts in use
+        ids_ = used[0]
+        for u in used[1:]:
+            ids_ = ids_.unionByName(u)
+        ids_ = ids_.distinct()
+        out["used_concept"] = vocab.used_concepts(concept, ids_)
+        if relationship is not None:
+            out["used_concept_relationship"] = vocab.used_relationships(relationship, ids_)
+        if vocabulary is not None:
+            out["used_vocabulary"] = vocab.used_vocabularies(vocabulary, concept, ids_)
     if spec.output_root:
         for name, df in list(out.items()):
             if name in ("person", "death", "visit_occurrence"):

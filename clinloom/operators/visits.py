@@ -64,6 +64,7 @@ def match_visits(
     event_key: str | None = None,
     bin_days: int = 7,
     dedupe_lookup: bool = True,
+    salt: int = 1,
 ) -> DataFrame:
     """Attach ``visit_occurrence_id`` and ``visit_concept_id`` of the best visit.
 
@@ -73,6 +74,11 @@ def match_visits(
     visit end, then lowest visit id.  ``null_9203``: ``"none"``, ``"pass2"`` (null
     the visit when the winner is an emergency visit without provider match) or
     ``"all"`` (null every emergency winner).  Unmatched events keep null visits.
+
+    ``salt`` > 1 spreads every (person, bin) key over ``salt`` tasks: events get a
+    salt from a hash of their key and visits are repeated once per salt value.
+    The window keeps the salt in its partitioning, so the join's hash
+    partitioning still satisfies it (no extra shuffle).
     """
     if null_9203 not in ("none", "pass2", "all"):
         raise ValueError("null_9203 must be none, pass2 or all")
@@ -87,8 +93,10 @@ def match_visits(
 
     lookup = dedupe_visit_lookup(visits, person_col=person_col) if dedupe_lookup else visits
     vb = _binned_visits(lookup, person_col, window_pre_days, bin_days)
+    ev = ev.withColumn("_salt", F.pmod(F.xxhash64(F.col(eid)), F.lit(salt)) if salt > 1 else F.lit(0))
+    vb = vb.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if salt > 1 else F.lit(0))
     d = F.col(date_col).cast("date")
-    cond = ((ev[person_col] == vb["_v_person"]) & (ev["_e_bin"] == vb["_v_bin"])
+    cond = ((ev[person_col] == vb["_v_person"]) & (ev["_e_bin"] == vb["_v_bin"]) & (ev["_salt"] == vb["_v_salt"])
             & (F.date_sub(vb["_v_start"], window_pre_days) <= d) & (d <= vb["_v_end"]))
     cand = ev.join(vb, cond, "left")
 
@@ -99,7 +107,7 @@ def match_visits(
     if order_by_diff:
         order.append(F.datediff(F.col("_v_end"), d).asc_nulls_last())
     order.append(F.col("_v_id").asc_nulls_last())
-    w = Window.partitionBy(F.col(person_col), F.col("_e_bin"), F.col(eid)).orderBy(*order)
+    w = Window.partitionBy(F.col(person_col), F.col("_e_bin"), F.col("_salt"), F.col(eid)).orderBy(*order)
     best = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
 
     vid = F.col("_v_id")
@@ -110,7 +118,7 @@ def match_visits(
     out = best.withColumn("visit_occurrence_id", vid.cast("bigint")).withColumn(
         "visit_concept_id", F.col("_v_concept").cast("bigint"))
     drop = ["_v_person", "_v_bin", "_v_id", "_v_concept", "_v_start", "_v_end", "_v_provider",
-            "_pm", "_rn", "_e_bin"] + (["_eid"] if event_key is None else [])
+            "_pm", "_rn", "_e_bin", "_salt", "_v_salt"] + (["_eid"] if event_key is None else [])
     return out.drop(*drop)
 
 

@@ -283,17 +283,33 @@ def q_used_vocab_vocabulary(spark, sf):
 
 
 # ---------------------------------------------------------------- domain jobs
-def _event(name: str, *, supplement: bool = True, part: int = 0):
-    def run(spark, sf):
+_BUILT: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def built(spark, sf, name: str, *, supplement: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(table, violations) of an event domain, built once per (session, folder) and
+    materialised: later queries (QC, compare) read the built table the way the
+    pipeline's readers read the written one."""
+    from ..session import materialize
+    key = (id(spark), sf, name, supplement)
+    if key not in _BUILT:
         spec, ctx, _ = context(spark, sf)
         dom = spec.domains[name] if supplement else replace(spec.domains[name], supplement=None)
         if name == "measurement":
-            return D.measurement_build(dom, ctx, D.lab_parse(dv.lab_raw(spark, sf), site1_keyword="SITE1"))[part]
-        if name == "observation":
-            return D.observation_build(dom, ctx)[part]
-        fn = {"condition": D.condition_build, "drug": D.drug_build, "procedure": D.procedure_build,
-              "note": D.note_build}[name]
-        return fn(dom, ctx)[part]
+            t, v = D.measurement_build(dom, ctx, D.lab_parse(dv.lab_raw(spark, sf), site1_keyword="SITE1"))
+        elif name == "observation":
+            t, v = D.observation_build(dom, ctx)
+        else:
+            fn = {"condition": D.condition_build, "drug": D.drug_build, "procedure": D.procedure_build,
+                  "note": D.note_build}[name]
+            t, v = fn(dom, ctx)
+        _BUILT[key] = (materialize(t), v)
+    return _BUILT[key]
+
+
+def _event(name: str, *, supplement: bool = True, part: int = 0):
+    def run(spark, sf):
+        return built(spark, sf, name, supplement=supplement)[part]
     return run
 
 
@@ -326,9 +342,9 @@ def q_dedupe_counts(spark, sf):
 def _qc_tables(spark, sf) -> dict[str, DataFrame]:
     _, _, out = context(spark, sf)
     t = {k: out[k] for k in ("person", "death", "visit_occurrence")}
-    t["condition_occurrence"] = _event("condition")(spark, sf)
-    t["drug_exposure"] = _event("drug")(spark, sf)
-    t["procedure_occurrence"] = _event("procedure")(spark, sf)
+    t["condition_occurrence"] = built(spark, sf, "condition")[0]
+    t["drug_exposure"] = built(spark, sf, "drug")[0]
+    t["procedure_occurrence"] = built(spark, sf, "procedure")[0]
     return t
 
 
@@ -371,11 +387,15 @@ def q_qc_report(spark, sf):
 def _gen_base(spark, sf) -> tuple[DataFrame, DataFrame]:
     """gen: condition table without the supplement; base: with the supplement,
     built from the first two batches only."""
-    gen = _event("condition", supplement=False)(spark, sf)
-    spec, ctx, _ = context(spark, sf)
-    dom = spec.domains["condition"]
-    base = D.condition_build(replace(dom, batches=dom.batches[:2]), ctx)[0]
-    return gen, base
+    from ..session import materialize
+    key = (id(spark), sf, "gen_base")
+    if key not in _BUILT:
+        gen = built(spark, sf, "condition", supplement=False)[0]
+        spec, ctx, _ = context(spark, sf)
+        dom = spec.domains["condition"]
+        base = materialize(D.condition_build(replace(dom, batches=dom.batches[:2]), ctx)[0])
+        _BUILT[key] = (gen, base)
+    return _BUILT[key]
 
 
 def _comp(spark, sf):

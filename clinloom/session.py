@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -32,13 +33,19 @@ def get_session(master: str | None = None, app: str = "clinloom", conf: dict | N
 
 
 def checkpoint_dir(spark: SparkSession, *, fallback_prefix: str = "clinloom-ckpt-") -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.  Only when the session
-    has none (local tests) a scratch folder is created and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not d:
-        d = tempfile.mkdtemp(prefix=fallback_prefix)
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    """The shared folder named by ``spark.checkpoint.dir`` (registered with the
+    SparkContext).  Only when the session names none (local tests) a scratch
+    folder is created and registered instead."""
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
+    d = tempfile.mkdtemp(prefix=fallback_prefix)
+    sc.setCheckpointDir(d)
     return d
 
 

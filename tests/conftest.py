@@ -6,15 +6,13 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from clinloom.session import get_session  # noqa: E402
+from clinloom.session import checkpoint_dir, get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[*]", app="clinloom-tests", conf={"spark.sql.shuffle.partitions": "8"})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        # Tests only: no shared folder is configured, so take a scratch one.
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clinloom-test-ckpt-"))
+    checkpoint_dir(s)  # the configured shared folder; a scratch one only when none is set
     yield s
     s.stop()
 

@@ -151,3 +151,17 @@ def test_qc_and_compare(spark):
     assert Q.qc_totals(rep).collect()[0].n_error >= 3
     keys = CMP.compare_keys(cond, cond.limit(1), ["person_id", "condition_start_date"]).collect()[0]
     assert keys.n_both == 1 and keys.n_only_gen == 2
+
+
+def test_salted_match_equals_unsalted(spark):
+    from clinloom.plans.catalog import context
+    from clinloom.sources import derived as dv
+    sf = "/root/testdata/sf0.001"
+    ctx = context(spark, sf)[1]
+    f = dv.condition_feed(spark, sf)
+    a = visits.match_visits(f, ctx.visit, date_col="condition_start_date", event_key="_rid", window_pre_days=7)
+    b = visits.match_visits(f, ctx.visit, date_col="condition_start_date", event_key="_rid", window_pre_days=7,
+                            salt=4, bin_days=3)
+    cols = ["_rid", "visit_occurrence_id", "visit_concept_id"]
+    assert a.count() == b.count() == f.count()
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0

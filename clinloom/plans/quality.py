@@ -1,8 +1,8 @@
 """Data-quality checks over built CDM tables, returned as report DataFrames.
 
-Each check is one aggregate; all checks of one table run from a single scan of
-it (the per-check frames share the table's scan through one aggregate per table
-where possible).  Foreign-key checks are anti / left joins against the key
+Each check is one aggregate per table (partial aggregation on the map side, one
+row per table out); its scan reads only the columns the check needs (Parquet
+column pruning).  Foreign-key checks are anti / left joins against the key
 tables; AQE decides at run time whether the key side is broadcast.
 """
 from __future__ import annotations
@@ -35,8 +35,9 @@ QC_SPEC: dict[str, dict] = {
 DATE_LO, DATE_HI = "2001-01-01", "2027-01-01"  # T25: upper bound is a parameter
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def _union(frames: list[DataFrame]) -> DataFrame | None:
+    """Union of the per-table results; ``None`` when the check applies to no table."""
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
 
 
 def qc_pk(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -139,13 +140,16 @@ def qc_report(tables: Mapping[str, DataFrame], *, lo: str = DATE_LO, hi: str = D
     """One row per (table, check) with its count and severity ERROR / WARN / OK."""
     person, visit, death = tables.get("person"), tables.get("visit_occurrence"), tables.get("death")
 
-    def rows(df: DataFrame, check: str, value: str, bad: str) -> DataFrame:
+    def rows(df: DataFrame | None, check: str, value: str, bad: str) -> DataFrame | None:
+        if df is None:
+            return None
         v = F.col(value).cast("bigint")
         return df.select("table_name", F.lit(check).alias("check_name"), v.alias("n"),
                          F.when(v > 0, F.lit(bad)).otherwise(F.lit("OK")).alias("severity"))
 
-    parts = [rows(qc_pk(tables), "pk_duplicates", "pk_duplicates", "ERROR"),
-             rows(qc_pk(tables).where(F.col("pk_nulls") > 0), "pk_nulls", "pk_nulls", "ERROR")]
+    pk = qc_pk(tables)
+    parts = [rows(pk, "pk_duplicates", "pk_duplicates", "ERROR"),
+             rows(pk.where(F.col("pk_nulls") > 0) if pk is not None else None, "pk_nulls", "pk_nulls", "ERROR")]
     if person is not None:
         parts.append(rows(qc_person_fk(tables, person), "person_fk", "person_fk_missing", "ERROR"))
     if visit is not None:
@@ -155,7 +159,7 @@ def qc_report(tables: Mapping[str, DataFrame], *, lo: str = DATE_LO, hi: str = D
     if death is not None:
         parts.append(rows(qc_after_death(tables, death), "after_death", "after_death", "ERROR"))
     parts.append(rows(qc_start_end(tables), "start_after_end", "start_after_end", "ERROR"))
-    return _union(parts)
+    return _union([p for p in parts if p is not None])
 
 
 def qc_totals(report: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ Two physical strategies give identical numbers:
 
 * ``"bucketed"`` (default): rows are numbered inside (date, time bucket, tie
   bucket), where the time bucket is the minute of the event time counted from the
-  date's midnight and the tie bucket is ``_rid >> 33`` (the input split of a
+  date's midnight (``bucket_minutes`` wide) and the tie bucket is ``_rid >> 33`` (the input split of a
   ``monotonically_increasing_id`` row id).  Both keys follow the sort order, so
   the sequence is the local number plus the count of the same date in earlier
   buckets, taken from a per-bucket count table.  A hot date is spread over many
@@ -47,7 +47,7 @@ def number_within_date(
     tie_cols: Sequence[str] = ("_rid",),
     seq_col: str = "_seq",
     method: str = "bucketed",
-    bucket_seconds: int = 60,
+    bucket_minutes: int = 1,
     materialize: bool = True,
 ) -> DataFrame:
     """Add ``seq_col`` = 1..N within each value of ``date_col``.
@@ -69,8 +69,10 @@ def number_within_date(
         raise ValueError(f"unknown numbering method {method!r}")
 
     if order_col:
-        secs = F.unix_seconds(F.col(order_col).cast("timestamp")) - F.unix_seconds(F.col("_d").cast("timestamp"))
-        tb = F.coalesce(F.floor(secs / bucket_seconds), F.lit(_NULL_LAST))
+        # Minutes from the date's midnight (wall clock; no time-zone arithmetic).
+        t = F.col(order_col)
+        mins = F.datediff(F.to_date(t), F.col("_d")) * 1440 + F.hour(t) * 60 + F.minute(t)
+        tb = F.coalesce(F.floor(mins / bucket_minutes), F.lit(_NULL_LAST))
     else:
         tb = F.lit(0).cast("bigint")
     first_tie = F.col(tie_cols[0]) if tie_cols else None

@@ -124,11 +124,13 @@ def recon_columns(spark: SparkSession, gen: DataFrame, base: DataFrame) -> DataF
 
 
 def recon_concept_top(gen: DataFrame, base: DataFrame, concept: str, n: int = 10) -> DataFrame:
-    """J23 + O4: concept distributions side by side, the ``n`` largest absolute
-    differences (ties by concept id)."""
-    g = gen.groupBy(F.col(concept).alias("concept_id")).agg(F.count(F.lit(1)).alias("n_gen"))
-    b = base.groupBy(F.col(concept).alias("concept_id")).agg(F.count(F.lit(1)).alias("n_base"))
-    j = g.join(b, g["concept_id"].eqNullSafe(b["concept_id"]), "full_outer").select(
+    """J23 + O4: concept distributions side by side (null concepts are not
+    counted), the ``n`` largest absolute differences (ties by concept id)."""
+    g = (gen.where(F.col(concept).isNotNull()).groupBy(F.col(concept).alias("concept_id"))
+         .agg(F.count(F.lit(1)).alias("n_gen")))
+    b = (base.where(F.col(concept).isNotNull()).groupBy(F.col(concept).alias("concept_id"))
+         .agg(F.count(F.lit(1)).alias("n_base")))
+    j = g.join(b, g["concept_id"] == b["concept_id"], "full_outer").select(
         F.coalesce(g["concept_id"], b["concept_id"]).alias("concept_id"),
         F.coalesce(F.col("n_gen"), F.lit(0)).alias("n_gen"), F.coalesce(F.col("n_base"), F.lit(0)).alias("n_base"))
     j = j.withColumn("diff", F.col("n_gen") - F.col("n_base"))

@@ -757,9 +757,11 @@ q("recon_concept_top10", """
 SELECT * FROM (
   SELECT COALESCE(g.concept_id, b.concept_id) AS concept_id, COALESCE(g.n, 0) AS n_gen, COALESCE(b.n, 0) AS n_base,
          COALESCE(g.n, 0) - COALESCE(b.n, 0) AS diff
-  FROM (SELECT condition_concept_id AS concept_id, count(*) AS n FROM cgen_tbl GROUP BY 1) g
-  FULL OUTER JOIN (SELECT condition_concept_id AS concept_id, count(*) AS n FROM cbase_tbl GROUP BY 1) b
-  ON g.concept_id IS NOT DISTINCT FROM b.concept_id)
+  FROM (SELECT condition_concept_id AS concept_id, count(*) AS n FROM cgen_tbl
+        WHERE condition_concept_id IS NOT NULL GROUP BY 1) g
+  FULL OUTER JOIN (SELECT condition_concept_id AS concept_id, count(*) AS n FROM cbase_tbl
+        WHERE condition_concept_id IS NOT NULL GROUP BY 1) b
+  ON g.concept_id = b.concept_id)
 ORDER BY abs(diff) DESC, concept_id ASC NULLS FIRST LIMIT 10""", "cgen_tbl", "cbase_tbl")
 q("recon_date_range", "SELECT (SELECT min(condition_start_date) FROM cgen_tbl) AS gen_min, "
                       "(SELECT max(condition_start_date) FROM cgen_tbl) AS gen_max, "

@@ -47,3 +47,25 @@ def test_encoded_csv(spark, tmpdir_path):
         fh.write("PERSON_ID,sex,name\n10000001,남,홍길동\n".encode("euc-kr"))
     r = read_table(spark, path, encoding="EUC-KR").collect()[0]
     assert (r.sex, r.name) == ("남", "홍길동")
+
+
+def test_provider_sheet_tsv_export_and_udf_transform(spark, tmpdir_path):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from clinloom.operators import vocab
+    from clinloom.sources.files import read_provider_list, write_tsv
+    sheet = spark.createDataFrame([("3", "Ward A", "12", 1), ("3", "Ward B", None, 2)],
+                                  "CARE_SITE_ID string, care_site_rawname string, Concept_ID string, n int")
+    pl = read_provider_list(sheet, order_col="n")
+    assert sorted(((r.care_site_id, r.concept_id) for r in pl.collect()), key=str) == [(3, 12), (3, None)]
+    write_tsv(pl, f"{tmpdir_path}/tsv")
+    back = spark.read.option("sep", "\t").option("header", "true").csv(f"{tmpdir_path}/tsv")
+    assert back.count() == 2
+
+    @F.pandas_udf("string")
+    def strip_dash(s: pd.Series) -> pd.Series:  # X1: a user transform plugged in by the caller
+        return s.str.replace("-", "", regex=False)
+
+    df = spark.createDataFrame([("A-1",)], "code string")
+    assert df.select(vocab.transform_code(F.col("code"), strip_dash).alias("c")).collect()[0].c == "A1"

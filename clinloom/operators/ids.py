@@ -112,7 +112,11 @@ def assign_occurrence_id(
     keep_seq: bool = False,
     method: str = "bucketed",
 ) -> DataFrame:
-    """Drop null dates, number rows per calendar date, build the id."""
+    """Drop null dates, number rows per calendar date, build the id.
+
+    O1: the order is the event time (nulls last) then the tie columns; it exists
+    only inside each date's numbering, never as a global sort.
+    """
     hosp = _hosp_text(df, hosp_col)
     out = number_within_date(df.withColumn("_hosp_txt", hosp), date_col=date_col,
                              order_col=datetime_col, tie_cols=tie_cols, method=method)

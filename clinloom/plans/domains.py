@@ -60,7 +60,7 @@ def _assign(a: DataFrame, ctx: Context, dom: DomainSpec, *, id_col: str, datetim
     # One micro-batch (bounded by the trigger): materialise it once so the
     # counter, the table and the violation list do not each re-run the upstream.
     a = materialize(a.where(d.isNotNull()))
-    ctx.issued = a.groupBy(d.alias("_d")).agg(F.count(F.lit(1)).alias("n"))
+    ctx.issued = a.groupBy(d.alias("_d")).agg(F.count(F.lit(1)).alias("n"))  # A7: rows per date
     return ids.assign_ids_with_offsets(a, ctx.id_offsets, id_col=id_col, date_col=date_col,
                                        domain_code=dom.domain_code, seq_width=dom.seq_width)
 
@@ -136,7 +136,7 @@ def visit_numbered(spark: SparkSession, dom: DomainSpec, spec: PipelineSpec) ->
 
 
 def visit_build(spark: SparkSession, dom: DomainSpec, ctx_person: DataFrame, death: DataFrame,
-                excluded: DataFrame, spec: PipelineSpec) -> dict[str, DataFrame]:
+                excluded: DataFrame, spec: PipelineSpec, *, sort_by_id: bool = False) -> dict[str, DataFrame]:
     b = visit_numbered(spark, dom, spec)  # W4
     b = b.withColumns({
         "visit_type_concept_id": F.lit(44818518).cast("bigint"),
@@ -155,6 +155,8 @@ def visit_build(spark: SparkSession, dom: DomainSpec, ctx_person: DataFrame, dea
     vo = b.withColumnsRenamed({"visit_start_time": "visit_start_datetime", "visit_end_time": "visit_end_datetime"})
     vo = visits.add_preceding_visit(vo)
     visit_occurrence = select_columns(vo, "visit_occurrence")
+    if sort_by_id:  # O2: optional, only for writing a sorted file (a global range sort)
+        visit_occurrence = visit_occurrence.orderBy("visit_occurrence_id")
 
     start = F.col("visit_start_date")
     ppp = b.select(

@@ -46,7 +46,7 @@ class DomainSpec:
     batches: tuple[Batch, ...] = ()
     visit_match: VisitMatch = VisitMatch()
     mapping: MappingRule | None = None
-    supplement: DataFrame | None = None
+    supplement: DataFrame | None = None  # X2: per-domain supplement table (code, concept_id)
     extra: Mapping[str, Any] = field(default_factory=dict)
 
 

@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["person_build", "visit_build", "condition_build", "drug_build", "procedure_build",
             "observation_build", "note_build", "measurement_build", "visit_match_window7_diff",
-            "unmapped_report", "natural_key_dedupe", "qc_report", "compare_mapping_counts", "stream_ids"]
+            "unmapped_report", "natural_key_dedupe", "qc_report", "compare_mapping_counts", "stream_ids",
+            "pipeline_qc"]
 
 
 def main() -> None:

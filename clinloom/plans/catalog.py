@@ -383,6 +383,23 @@ def q_qc_report(spark, sf):
     return Q.qc_report(_qc_tables(spark, sf))
 
 
+def q_pipeline_qc(spark, sf):
+    """D13 + K3 + S13 + D14: the whole pipeline written into the shared folder,
+    then the QC report over the written tables."""
+    from uuid import uuid4
+
+    from ..session import checkpoint_dir
+    from .jobs import qc_job
+    from .pipeline import run_pipeline
+    root = f"{checkpoint_dir(spark)}/pipeline-{uuid4().hex}"
+    spec = dv.pipeline_spec(spark, sf, output_root=root)
+    run_pipeline(spark, spec, dv.override_sheet_raw(spark, sf), provider_list=dv.provider_list_raw(spark, sf),
+                 pseudonym_raw=dv.pseudonym_raw(spark, sf), concept=dv.concept_table(spark, sf),
+                 relationship=dv.relationship_table(spark, sf), vocabulary=dv.vocabulary_table(spark, sf),
+                 lab_raw=dv.lab_raw(spark, sf), site1_keyword="SITE1")
+    return qc_job(spark, root)[0]
+
+
 # ---------------------------------------------------------------- compare / reconcile
 def _gen_base(spark, sf) -> tuple[DataFrame, DataFrame]:
     """gen: condition table without the supplement; base: with the supplement,
@@ -530,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "qc_after_death": q_qc_after_death,
     "qc_start_end": q_qc_start_end,
     "qc_report": q_qc_report,
+    "pipeline_qc": q_pipeline_qc,
     "compare_keys": q_compare_keys,
     "compare_mapping": q_compare_mapping,
     "compare_mapping_counts": q_compare_mapping_counts,

@@ -668,50 +668,66 @@ _QC = [("person", "person_tbl", "person_id", False, None, None, None, False),
        ("drug_exposure", "drug_tbl", "drug_exposure_id", True, "drug_exposure_start_date", None, "drug_concept_id", True),
        ("procedure_occurrence", "proc_tbl", "procedure_occurrence_id", True, "procedure_date", None,
         "procedure_concept_id", False)]
-_QC_DEPS = ("person_tbl", "death_tbl", "vis_tbl", "cond_tbl", "drug_tbl", "proc_tbl")
+_QC_ALL = _QC + [
+    ("measurement", "meas_tbl", "measurement_id", True, "measurement_date", None, "measurement_concept_id", True),
+    ("observation", "obs_tbl", "observation_id", True, "observation_date", None, "observation_concept_id", True),
+    ("note", "note_tbl", "note_id", True, "note_date", None, None, True)]
 
 
 def _u(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_pk = [f"SELECT '{n}' AS table_name, count(*) AS n_rows, count(*) - count(DISTINCT {pk}) - "
-       f"(CASE WHEN count_if({pk} IS NULL) > 0 THEN 1 ELSE 0 END) AS pk_duplicates, count_if({pk} IS NULL) AS pk_nulls "
-       f"FROM {t}" for n, t, pk, *_ in _QC if pk]
-_pfk = [f"SELECT '{n}' AS table_name, count(*) AS person_fk_missing FROM {t} x WHERE NOT EXISTS "
-        f"(SELECT 1 FROM person_tbl p WHERE p.person_id = x.person_id)" for n, t, pk, fk, *_ in _QC if fk]
-_vfk = [f"SELECT '{n}' AS table_name, count_if(visit_occurrence_id IS NOT NULL AND visit_occurrence_id NOT IN "
-        f"(SELECT visit_occurrence_id FROM vis_tbl)) AS visit_fk_missing, count(visit_occurrence_id) AS visit_non_null, "
-        f"count(*) AS n_rows FROM {t}" for n, t, *_, vfk in _QC if vfk]
-_rate = [f"SELECT '{n}' AS table_name, count(*) AS n_rows, count_if(COALESCE({c}, 0) = 0) AS n_unmapped, "
-         f"CASE WHEN count(*) > 0 THEN round(CAST(100.0 AS DOUBLE) * (count(*) - count_if(COALESCE({c}, 0) = 0)) / count(*), 1) "
-         f"ELSE 0.0 END AS mapping_rate FROM {t}" for n, t, pk, fk, d, e, c, v in _QC if c]
-_dr = [f"SELECT '{n}' AS table_name, count_if({d} < DATE '2001-01-01' OR {d} >= DATE '2027-01-01') AS out_of_range, "
-       f"min({d}) AS min_date, max({d}) AS max_date FROM {t}" for n, t, pk, fk, d, *_ in _QC if d]
-_ad = [f"SELECT '{n}' AS table_name, count_if(x.{d} > dm.dd) AS after_death FROM {t} x JOIN death_min dm "
-       f"ON x.person_id = dm.person_id" for n, t, pk, fk, d, *_ in _QC if d]
-_se = [f"SELECT '{n}' AS table_name, count_if({d} > {e}) AS start_after_end FROM {t}"
-       for n, t, pk, fk, d, e, *_ in _QC if e]
-for _name, _parts in (("qc_pk", _pk), ("qc_person_fk", _pfk), ("qc_visit_fk", _vfk), ("qc_mapping_rate", _rate),
-                      ("qc_date_range", _dr), ("qc_after_death", _ad), ("qc_start_end", _se)):
-    cte(_name, _QC_DEPS + ("death_min",), _u(_parts))
-    q(_name, f"SELECT * FROM {_name}", _name)
-
-
 def _rows(src: str, check: str, col: str, bad: str, where: str = "") -> str:
     return (f"SELECT table_name, '{check}' AS check_name, CAST({col} AS BIGINT) AS n, "
             f"CASE WHEN {col} > 0 THEN '{bad}' ELSE 'OK' END AS severity FROM {src} {where}")
 
 
-q("qc_report", _u([_rows("qc_pk", "pk_duplicates", "pk_duplicates", "ERROR"),
-                   _rows("qc_pk", "pk_nulls", "pk_nulls", "ERROR", "WHERE pk_nulls > 0"),
-                   _rows("qc_person_fk", "person_fk", "person_fk_missing", "ERROR"),
-                   _rows("qc_visit_fk", "visit_fk", "visit_fk_missing", "ERROR"),
-                   _rows("qc_mapping_rate", "concept_unmapped", "n_unmapped", "WARN"),
-                   _rows("qc_date_range", "date_range", "out_of_range", "WARN"),
-                   _rows("qc_after_death", "after_death", "after_death", "ERROR"),
-                   _rows("qc_start_end", "start_after_end", "start_after_end", "ERROR")]),
-  "qc_pk", "qc_person_fk", "qc_visit_fk", "qc_mapping_rate", "qc_date_range", "qc_after_death", "qc_start_end")
+def qc_ctes(prefix: str, spec: list) -> list[str]:
+    """One CTE per check over the tables of ``spec``; returns the CTE names."""
+    deps = tuple(t for _, t, *_ in spec) + ("person_tbl", "vis_tbl", "death_min")
+    pk = [f"SELECT '{n}' AS table_name, count(*) AS n_rows, count(*) - count(DISTINCT {k}) - "
+          f"(CASE WHEN count_if({k} IS NULL) > 0 THEN 1 ELSE 0 END) AS pk_duplicates, count_if({k} IS NULL) AS pk_nulls "
+          f"FROM {t}" for n, t, k, *_ in spec if k]
+    pfk = [f"SELECT '{n}' AS table_name, count(*) AS person_fk_missing FROM {t} x WHERE NOT EXISTS "
+           f"(SELECT 1 FROM person_tbl p WHERE p.person_id = x.person_id)" for n, t, k, fk, *_ in spec if fk]
+    vfk = [f"SELECT '{n}' AS table_name, count_if(visit_occurrence_id IS NOT NULL AND visit_occurrence_id NOT IN "
+           f"(SELECT visit_occurrence_id FROM vis_tbl)) AS visit_fk_missing, count(visit_occurrence_id) AS visit_non_null, "
+           f"count(*) AS n_rows FROM {t}" for n, t, *_, v in spec if v]
+    rate = [f"SELECT '{n}' AS table_name, count(*) AS n_rows, count_if(COALESCE({c}, 0) = 0) AS n_unmapped, "
+            f"CASE WHEN count(*) > 0 THEN round(CAST(100.0 AS DOUBLE) * (count(*) - count_if(COALESCE({c}, 0) = 0)) / count(*), 1) "
+            f"ELSE 0.0 END AS mapping_rate FROM {t}" for n, t, k, fk, d, e, c, v in spec if c]
+    dr = [f"SELECT '{n}' AS table_name, count_if({d} < DATE '2001-01-01' OR {d} >= DATE '2027-01-01') AS out_of_range, "
+          f"min({d}) AS min_date, max({d}) AS max_date FROM {t}" for n, t, k, fk, d, *_ in spec if d]
+    ad = [f"SELECT '{n}' AS table_name, count_if(x.{d} > dm.dd) AS after_death FROM {t} x JOIN death_min dm "
+          f"ON x.person_id = dm.person_id" for n, t, k, fk, d, *_ in spec if d]
+    se = [f"SELECT '{n}' AS table_name, count_if({d} > {e}) AS start_after_end FROM {t}"
+          for n, t, k, fk, d, e, *_ in spec if e]
+    names = []
+    for suffix, parts in (("pk", pk), ("person_fk", pfk), ("visit_fk", vfk), ("mapping_rate", rate),
+                          ("date_range", dr), ("after_death", ad), ("start_end", se)):
+        cte(f"{prefix}_{suffix}", deps, _u(parts))
+        names.append(f"{prefix}_{suffix}")
+    return names
+
+
+def qc_report_sql(prefix: str) -> str:
+    return _u([_rows(f"{prefix}_pk", "pk_duplicates", "pk_duplicates", "ERROR"),
+               _rows(f"{prefix}_pk", "pk_nulls", "pk_nulls", "ERROR", "WHERE pk_nulls > 0"),
+               _rows(f"{prefix}_person_fk", "person_fk", "person_fk_missing", "ERROR"),
+               _rows(f"{prefix}_visit_fk", "visit_fk", "visit_fk_missing", "ERROR"),
+               _rows(f"{prefix}_mapping_rate", "concept_unmapped", "n_unmapped", "WARN"),
+               _rows(f"{prefix}_date_range", "date_range", "out_of_range", "WARN"),
+               _rows(f"{prefix}_after_death", "after_death", "after_death", "ERROR"),
+               _rows(f"{prefix}_start_end", "start_after_end", "start_after_end", "ERROR")])
+
+
+_qc_names = qc_ctes("qc", _QC)
+for _name, _cte in zip(("qc_pk", "qc_person_fk", "qc_visit_fk", "qc_mapping_rate", "qc_date_range", "qc_after_death",
+                        "qc_start_end"), _qc_names):
+    q(_name, f"SELECT * FROM {_cte}", _cte)
+q("qc_report", qc_report_sql("qc"), *_qc_names)
+q("pipeline_qc", qc_report_sql("pqc"), *qc_ctes("pqc", _QC_ALL))
 
 # ---------------------------------------------------------------- compare / reconcile
 cte("ck", ("cgen_tbl", "cbase_tbl"), """

@@ -46,6 +46,9 @@ def build_context(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
     """Person, death and visit builds, materialised; returns the event-domain context
     and every table produced so far."""
     out: dict[str, DataFrame] = {}
+    missing = [d for d in ("person", "death", "visit") if d not in spec.domains]
+    if missing:
+        raise ValueError(f"the event domains need the person, death and visit domains; missing: {missing}")
     p = D.person_build(spark, spec.domains["person"], sheet_raw, pseudonym_raw)
     person = _stage(spark, p["person"], "person", spec)
     out.update({"person": person, "invalid_person_id_person": p["invalid_person_id"],

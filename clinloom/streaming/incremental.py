@@ -57,10 +57,12 @@ def issued_before(spark: SparkSession, state_dir: str, stream_no: int, batch_id:
 def stream_domain(spark: SparkSession, name: str, dom: DomainSpec, ctx: D.Context, *, source_dir: str,
                   schema: T.StructType, out_dir: str, state_dir: str, stream_no: int = 0,
                   max_files_per_trigger: int = 1, fmt: str = "parquet", builder: Builder | None = None,
-                  table: str | None = None) -> None:
-    """T-S1 + T-S2 + T-S3: run ``name``'s domain job over a file stream until the
-    files present at start are processed (``availableNow``)."""
+                  table: str | None = None) -> int:
+    """T-S1 + T-S2 + T-S3 + K4: run ``name``'s domain job over a file stream until
+    the files present at start are processed (``availableNow``); returns the
+    number of rows written (read from the written files' metadata)."""
     build = builder or BUILDERS[name]
+    written: dict[int, int] = {}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -71,6 +73,7 @@ def stream_domain(spark: SparkSession, name: str, dom: DomainSpec, ctx: D.Contex
             sctx = replace(ctx, id_offsets=offsets, issued=None)
             out, invalid = build(dom, sctx, batch)
             out.write.mode("overwrite").parquet(f"{out_dir}/s={stream_no}/batch={batch_id}")
+            written[batch_id] = spark.read.parquet(f"{out_dir}/s={stream_no}/batch={batch_id}").count()
             invalid.write.mode("overwrite").parquet(f"{state_dir}/invalid/s={stream_no}/batch={batch_id}")
             issued = sctx.issued if sctx.issued is not None else spark.createDataFrame([], "_d date, n long")
             issued.write.mode("overwrite").parquet(f"{state_dir}/counters/s={stream_no}/batch={batch_id}")
@@ -83,6 +86,7 @@ def stream_domain(spark: SparkSession, name: str, dom: DomainSpec, ctx: D.Contex
          .option("checkpointLocation", f"{state_dir}/checkpoint/s={stream_no}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(written.values())
 
 
 def stream_observation(spark: SparkSession, dom: DomainSpec, ctx: D.Context, *, exam_dir: str, inpatient_dir: str,

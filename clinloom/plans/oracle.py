@@ -213,33 +213,33 @@ WHERE _rn = 1""")
 
 
 # ---------------------------------------------------------------- vocabulary
-_KCD_CODE = "'A0' || CAST(p_partkey // 10 AS VARCHAR) || '.' || CAST(p_partkey % 10 AS VARCHAR)"
+_KCD_CODE = "'A' || printf('%02d', p_partkey // 10) || '.' || CAST(p_partkey % 10 AS VARCHAR)"
 cte("concept_t", (), f"""
-SELECT CAST(1000 + p_partkey AS VARCHAR) AS concept_id, p_name AS concept_name, 'Condition' AS domain_id,
+SELECT CAST(1000000 + p_partkey AS VARCHAR) AS concept_id, p_name AS concept_name, 'Condition' AS domain_id,
        'KCD7' AS vocabulary_id, 'KCD7 code' AS concept_class_id,
        CASE WHEN p_partkey % 7 = 0 THEN 'S' ELSE '' END AS standard_concept, {_KCD_CODE} AS concept_code,
        '19700101' AS valid_start_date, '20991231' AS valid_end_date,
        CASE WHEN p_partkey % 13 = 0 THEN 'D' ELSE '' END AS invalid_reason
-FROM part WHERE p_partkey < 40
+FROM part
 UNION ALL
-SELECT CAST(5000 + p_partkey AS VARCHAR), p_name, 'Condition', 'SNOMED', 'Clinical Finding', 'S',
-       CAST(5000 + p_partkey AS VARCHAR), '19700101', '20991231', ''
-FROM part WHERE p_partkey < 40 AND p_partkey % 3 <> 0
+SELECT CAST(2000000 + p_partkey AS VARCHAR), p_name, 'Condition', 'SNOMED', 'Clinical Finding', 'S',
+       CAST(2000000 + p_partkey AS VARCHAR), '19700101', '20991231', ''
+FROM part WHERE p_partkey % 3 <> 0
 UNION ALL
 SELECT CAST(3000000 + p_partkey AS VARCHAR), p_name, 'Measurement', 'LOINC', 'Lab Test',
        CASE WHEN p_partkey % 4 = 3 THEN '' ELSE 'S' END, 'L' || printf('%02d', p_partkey), '19700101', '20991231', ''
-FROM part WHERE p_partkey < 10""")
+FROM part""")
 cte("rel_t", (), """
-SELECT CAST(1000 + p_partkey AS VARCHAR) AS concept_id_1, CAST(5000 + p_partkey AS VARCHAR) AS concept_id_2,
+SELECT CAST(1000000 + p_partkey AS VARCHAR) AS concept_id_1, CAST(2000000 + p_partkey AS VARCHAR) AS concept_id_2,
        'Maps to' AS relationship_id, '19700101' AS valid_start_date, '20991231' AS valid_end_date,
        CASE WHEN p_partkey % 11 = 0 THEN 'D' ELSE '' END AS invalid_reason
-FROM part WHERE p_partkey < 40 AND p_partkey % 3 <> 0
+FROM part WHERE p_partkey % 3 <> 0
 UNION ALL
-SELECT CAST(5000 + p_partkey AS VARCHAR), CAST(1000 + p_partkey AS VARCHAR), 'Mapped from', '19700101', '20991231', ''
-FROM part WHERE p_partkey < 40 AND p_partkey % 3 <> 0
+SELECT CAST(2000000 + p_partkey AS VARCHAR), CAST(1000000 + p_partkey AS VARCHAR), 'Mapped from', '19700101', '20991231', ''
+FROM part WHERE p_partkey % 3 <> 0
 UNION ALL
-SELECT CAST(1000 + p_partkey AS VARCHAR), CAST(6000 + p_partkey AS VARCHAR), 'Maps to', '19700101', '20991231', ''
-FROM part WHERE p_partkey < 40 AND p_partkey % 3 <> 0 AND p_partkey % 8 = 1""")
+SELECT CAST(1000000 + p_partkey AS VARCHAR), CAST(4000000 + p_partkey AS VARCHAR), 'Maps to', '19700101', '20991231', ''
+FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 8 = 1""")
 cte("vocab_t", (), """
 SELECT * FROM (VALUES
  ('KCD7', 'Korean Classification of Diseases', '', 'v7', '44819216'),
@@ -247,8 +247,8 @@ SELECT * FROM (VALUES
  ('LOINC', 'Logical Observation Identifiers Names and Codes', '', 'v2.7', '44819102'),
  ('ICD10', 'International Classification of Diseases', '', 'v2019', '44819124'))
  AS t(vocabulary_id, vocabulary_name, vocabulary_reference, vocabulary_version, vocabulary_concept_id)""")
-cte("supp", (), f"SELECT {_KCD_CODE} AS code, CAST(7000 + p_partkey AS BIGINT) AS concept_id FROM part "
-                "WHERE p_partkey IN (3, 9)")
+cte("supp", (), f"SELECT {_KCD_CODE} AS code, CAST(7000000 + p_partkey AS BIGINT) AS concept_id FROM part "
+                "WHERE p_partkey % 6 = 3")
 cte("edges", ("rel_t",), """
 SELECT TRY_CAST(concept_id_1 AS BIGINT) AS c1, max(TRY_CAST(concept_id_2 AS BIGINT)) AS tgt FROM rel_t
 WHERE relationship_id = 'Maps to' AND COALESCE(invalid_reason, '') = ''

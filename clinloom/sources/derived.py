@@ -277,46 +277,46 @@ def lab_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- vocabulary
+# Every part row yields one concept per source vocabulary; the id ranges of the
+# vocabularies are disjoint (KCD7 1e6 + k, SNOMED 2e6 + k, LOINC 3e6 + k, second
+# ``Maps to`` target 4e6 + k, supplement 7e6 + k).
+KCD_CODE = "concat('A', format_string('%02d', p_partkey div 10), '.', cast(p_partkey % 10 as string))"
+
+
 def concept_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
-    kcd = p.where("p_partkey < 40").select(
-        E("cast(1000 + p_partkey as string)").alias("concept_id"), F.col("p_name").alias("concept_name"),
-        F.lit("Condition").alias("domain_id"), F.lit("KCD7").alias("vocabulary_id"),
-        F.lit("KCD7 code").alias("concept_class_id"),
-        E("case when p_partkey % 7 = 0 then 'S' else '' end").alias("standard_concept"),
-        E("concat('A0', cast(p_partkey div 10 as string), '.', cast(p_partkey % 10 as string))").alias("concept_code"),
-        F.lit("19700101").alias("valid_start_date"), F.lit("20991231").alias("valid_end_date"),
-        E("case when p_partkey % 13 = 0 then 'D' else '' end").alias("invalid_reason"))
-    snomed = p.where("p_partkey < 40 and p_partkey % 3 <> 0").select(
-        E("cast(5000 + p_partkey as string)").alias("concept_id"), F.col("p_name").alias("concept_name"),
-        F.lit("Condition").alias("domain_id"), F.lit("SNOMED").alias("vocabulary_id"),
-        F.lit("Clinical Finding").alias("concept_class_id"), F.lit("S").alias("standard_concept"),
-        E("cast(5000 + p_partkey as string)").alias("concept_code"),
-        F.lit("19700101").alias("valid_start_date"), F.lit("20991231").alias("valid_end_date"),
-        F.lit("").alias("invalid_reason"))
-    loinc = p.where("p_partkey < 10").select(
-        E("cast(3000000 + p_partkey as string)").alias("concept_id"), F.col("p_name").alias("concept_name"),
-        F.lit("Measurement").alias("domain_id"), F.lit("LOINC").alias("vocabulary_id"),
-        F.lit("Lab Test").alias("concept_class_id"),
-        E("case when p_partkey % 4 = 3 then '' else 'S' end").alias("standard_concept"),
-        E("concat('L', format_string('%02d', p_partkey))").alias("concept_code"),
-        F.lit("19700101").alias("valid_start_date"), F.lit("20991231").alias("valid_end_date"),
-        F.lit("").alias("invalid_reason"))
+
+    def rows(df: DataFrame, cid: str, domain_id: str, vocab: str, cls: str, std: str, code: str,
+             invalid: str) -> DataFrame:
+        return df.select(E(f"cast({cid} as string)").alias("concept_id"), F.col("p_name").alias("concept_name"),
+                         F.lit(domain_id).alias("domain_id"), F.lit(vocab).alias("vocabulary_id"),
+                         F.lit(cls).alias("concept_class_id"), E(std).alias("standard_concept"),
+                         E(code).alias("concept_code"), F.lit("19700101").alias("valid_start_date"),
+                         F.lit("20991231").alias("valid_end_date"), E(invalid).alias("invalid_reason"))
+
+    kcd = rows(p, "1000000 + p_partkey", "Condition", "KCD7", "KCD7 code",
+               "case when p_partkey % 7 = 0 then 'S' else '' end", KCD_CODE,
+               "case when p_partkey % 13 = 0 then 'D' else '' end")
+    snomed = rows(p.where("p_partkey % 3 <> 0"), "2000000 + p_partkey", "Condition", "SNOMED", "Clinical Finding",
+                  "'S'", "cast(2000000 + p_partkey as string)", "''")
+    loinc = rows(p, "3000000 + p_partkey", "Measurement", "LOINC", "Lab Test",
+                 "case when p_partkey % 4 = 3 then '' else 'S' end",
+                 "concat('L', format_string('%02d', p_partkey))", "''")
     return kcd.unionByName(snomed).unionByName(loinc)
 
 
 def relationship_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where("p_partkey < 40 and p_partkey % 3 <> 0")
+    p = table(spark, sf_dir, "part").where("p_partkey % 3 <> 0")
 
     def edges(df: DataFrame, c1: str, c2: str, rel: str, invalid: str) -> DataFrame:
         return df.select(E(f"cast({c1} as string)").alias("concept_id_1"), E(f"cast({c2} as string)").alias("concept_id_2"),
                          F.lit(rel).alias("relationship_id"), F.lit("19700101").alias("valid_start_date"),
                          F.lit("20991231").alias("valid_end_date"), E(invalid).alias("invalid_reason"))
 
-    maps = edges(p, "1000 + p_partkey", "5000 + p_partkey", "Maps to",
+    maps = edges(p, "1000000 + p_partkey", "2000000 + p_partkey", "Maps to",
                  "case when p_partkey % 11 = 0 then 'D' else '' end")
-    back = edges(p, "5000 + p_partkey", "1000 + p_partkey", "Mapped from", "''")
-    second = edges(p.where("p_partkey % 8 = 1"), "1000 + p_partkey", "6000 + p_partkey", "Maps to", "''")
+    back = edges(p, "2000000 + p_partkey", "1000000 + p_partkey", "Mapped from", "''")
+    second = edges(p.where("p_partkey % 8 = 1"), "1000000 + p_partkey", "4000000 + p_partkey", "Maps to", "''")
     return maps.unionByName(back).unionByName(second)
 
 
@@ -331,9 +331,9 @@ def vocabulary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplement_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where("p_partkey in (3, 9)")
-    return p.select(E("concat('A0', cast(p_partkey div 10 as string), '.', cast(p_partkey % 10 as string))").alias("code"),
-                    E("7000 + p_partkey").cast("bigint").alias("concept_id"))
+    """User supplement: KCD7 code -> concept for every part with ``p_partkey % 6 = 3``."""
+    p = table(spark, sf_dir, "part").where("p_partkey % 6 = 3")
+    return p.select(E(KCD_CODE).alias("code"), E("7000000 + p_partkey").cast("bigint").alias("concept_id"))
 
 
 CONDITION_RULE = MappingRule("condition_source_value", "KCD7", "condition_concept_id",

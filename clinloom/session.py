@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,8 +51,12 @@ def checkpoint_dir(spark: SparkSession, *, fallback_prefix: str = "clinloom-ckpt
 
 
 def materialize(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared
-    checkpoint folder (survives executor loss; later branches read the files
-    instead of recomputing the plan)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage of ``df`` with a Parquet table written into the shared
+    checkpoint folder and read back.  One pass over the plan (an RDD
+    ``checkpoint`` runs it twice: once for the action, once for the files), the
+    files survive executor loss, and later readers get column pruning and
+    filter pushdown from the Parquet scan."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

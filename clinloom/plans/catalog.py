@@ -460,6 +460,54 @@ def q_recon_date_range(spark, sf):
     return CMP.recon_date_range(gen, base, "condition_start_date")
 
 
+# ---------------------------------------------------------------- file sinks and scans
+def _scratch(spark) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    from uuid import uuid4
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/files-{uuid4().hex}"
+
+
+def q_vocab_tsv_concept_lookup(spark, sf):
+    """K6 -> S6: the concept table exported as TSV, read back as vocabulary text
+    (all strings, no quoting) and looked up like ``concept_lookup``."""
+    from ..sources.files import read_vocab_tsv, write_tsv
+    path = f"{_scratch(spark)}/CONCEPT"
+    write_tsv(dv.concept_table(spark, sf), path)
+    c = vocab.valid_source_concepts(read_vocab_tsv(spark, path, "concept"), "KCD7")
+    return c.select("source_code", F.col("cid").alias("source_concept_id"), F.col("std").alias("standard_concept"))
+
+
+def q_provider_sheet_csv(spark, sf):
+    """K1 (csv) -> S2 + S12: the provider sheet saved as CSV, read by extension,
+    normalised and rolled up like ``care_site_rollup``."""
+    from ..sources.files import read_provider_list, read_table, write_cdm
+    path = f"{_scratch(spark)}/provider_list.csv"
+    write_cdm(dv.provider_list_raw(spark, sf), path, fmt="csv")
+    return care_site_build(read_provider_list(read_table(spark, path), order_col="_ord"))
+
+
+def q_supplement_csv_fill(spark, sf):
+    """The supplement saved as CSV, parsed row-wise and used like ``supplement_fill``."""
+    from ..sources.files import read_supplement, read_table, write_cdm
+    path = f"{_scratch(spark)}/supplement.csv"
+    write_cdm(dv.supplement_table(spark, sf), path, fmt="csv")
+    m = vocab.apply_standard_mapping(dv.condition_feed(spark, sf), _kcd_table(spark, sf), dv.CONDITION_RULE,
+                                     read_supplement(read_table(spark, path)))
+    return _src(m, "condition_concept_id", "condition_source_concept_id")
+
+
+def q_condition_csv_load(spark, sf):
+    """K1 (csv) -> S13: the built condition table written as CSV and loaded back
+    through the QC loader (parquet absent, CSV folder found), typed by the layout."""
+    from ..sources.files import write_cdm
+    from .jobs import load_cdm_table
+    root = _scratch(spark)
+    write_cdm(built(spark, sf, "condition")[0], f"{root}/condition_occurrence.csv", fmt="csv")
+    return select_columns(load_cdm_table(spark, root, "condition_occurrence"), "condition_occurrence")
+
+
 # ---------------------------------------------------------------- streaming
 def stream_condition(spark, sf, *, files: int = 4) -> tuple[str, DataFrame]:
     """Write the condition batches into ``files`` files in the shared checkpoint
@@ -558,4 +606,8 @@ QUERIES: dict[str, Query] = {
     "recon_concept_top10": q_recon_concept_top10,
     "recon_date_range": q_recon_date_range,
     "stream_ids": q_stream_ids,
+    "vocab_tsv_concept_lookup": q_vocab_tsv_concept_lookup,
+    "provider_sheet_csv": q_provider_sheet_csv,
+    "supplement_csv_fill": q_supplement_csv_fill,
+    "condition_csv_load": q_condition_csv_load,
 }

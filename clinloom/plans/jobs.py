@@ -16,17 +16,24 @@ from . import quality as Q
 
 
 def load_cdm_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """``<root>/<name>`` as parquet, else ``<root>/<name>.csv`` / CSV folder, else absent."""
+    """``<root>/<name>`` as parquet, else ``<root>/<name>.csv`` / CSV folder, else absent.
+
+    CSV is read as text in one pass (no schema inference, which would scan the
+    files twice); the columns of a CDM table are cast to their layout types."""
     for path, fmt in ((f"{root}/{name}", "parquet"), (f"{root}/{name}.parquet", "parquet"),
                       (f"{root}/{name}.csv", "csv"), (f"{root}/{name}_csv", "csv")):
         if _exists(spark, path):
             r = spark.read.format(fmt)
             if fmt == "csv":
-                r = r.option("header", "true").option("inferSchema", "true")
+                r = r.option("header", "true")
             try:
-                return r.load(path)
+                df = r.load(path)
             except Exception:  # an empty or foreign folder: try the next form
                 continue
+            if fmt == "csv" and name in CDM_TABLES:
+                types = dict(CDM_TABLES[name])
+                df = df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types})
+            return df
     return None
 
 

@@ -788,5 +788,15 @@ q("recon_date_range", "SELECT (SELECT min(condition_start_date) FROM cgen_tbl) A
 q("stream_ids", "SELECT * EXCLUDE (condition_occurrence_id) FROM cond_tbl", "cond_tbl")
 
 
+# File round trips return what their in-memory counterparts return.
+for _name, _same in (("vocab_tsv_concept_lookup", "concept_lookup"), ("provider_sheet_csv", "care_site_rollup"),
+                     ("supplement_csv_fill", "supplement_fill")):
+    Q[_name] = Q[_same]
+# Plain CSV does not tell an empty string from a null: both load back as null.
+q("condition_csv_load", "SELECT * REPLACE (NULLIF(stop_reason, '') AS stop_reason, NULLIF(condition_source_value, '') "
+  "AS condition_source_value, NULLIF(condition_status_source_value, '') AS condition_status_source_value) "
+  "FROM cond_tbl", "cond_tbl")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

@@ -98,7 +98,10 @@ def read_pseudonym_map(df: DataFrame) -> DataFrame:
 def read_provider_list(df: DataFrame, *, order_col: str | None = None) -> DataFrame:
     """(care_site_id, care_site_rawname, concept_id) plus the input ordinal ``_ord``."""
     df = normalise_columns(df)
-    ordc = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    if order_col:  # a sheet read as text carries its ordinal as text: order it as a number
+        ordc = integral_long(F.col(order_col)) if dict(df.dtypes)[order_col] == "string" else F.col(order_col)
+    else:
+        ordc = F.monotonically_increasing_id()
     return df.select(integral_long(F.col("care_site_id")).alias("care_site_id"),
                      F.col("care_site_rawname").cast("string").alias("care_site_rawname"),
                      integral_long(F.col("concept_id")).alias("concept_id"), ordc.alias("_ord"))
@@ -106,10 +109,13 @@ def read_provider_list(df: DataFrame, *, order_col: str | None = None) -> DataFr
 
 # ---------------------------------------------------------------- sinks
 def write_cdm(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """K1: parquet (default) or CSV with a header (no byte-order mark)."""
+    """K1: parquet (default) or CSV with a header (no byte-order mark).  CSV
+    timestamps keep microseconds; an empty string and a null both become an
+    empty field, as in any plain CSV."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        (w.option("header", "true").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
     else:
         w.format(fmt).save(path)
 
@@ -132,5 +138,6 @@ def save_cdm_table(df: DataFrame, table: str, path: str, *, fmt: str = "parquet"
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """K6: tab separated with a header (used-vocabulary export)."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", "true").csv(path)
+    """K6: tab separated with a header (used-vocabulary export).  Empty strings
+    are written as empty fields, as in the vocabulary files S6 reads back."""
+    df.write.mode("overwrite").option("sep", "\t").option("header", "true").option("emptyValue", "").csv(path)

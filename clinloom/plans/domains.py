@@ -7,7 +7,7 @@ inputs; persist the inputs when several outputs are materialised.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,9 @@ class Context:
     # per-date count of ids issued by this batch is left in ``issued``.
     id_offsets: DataFrame | None = None
     issued: DataFrame | None = None
+    # K5: the frame each domain's mapping rule was applied to (the unmapped report
+    # counts rows over exactly this frame).
+    mapped_input: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _person_checks(df: DataFrame, ctx: Context, date_col: str) -> tuple[DataFrame, DataFrame]:
@@ -69,6 +72,7 @@ def _map(df: DataFrame, dom: DomainSpec, ctx: Context) -> DataFrame:
     """Apply the domain's mapping rule when there is one and a vocabulary."""
     if dom.mapping is None or ctx.concept is None:
         return df
+    ctx.mapped_input[dom.name] = df
     table = vocab.mapping_table(ctx.concept, ctx.relationship, dom.mapping.vocabulary_id,
                                 require_standard=dom.mapping.require_standard)
     return vocab.apply_standard_mapping(df, table, dom.mapping, dom.supplement)

@@ -104,10 +104,10 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
         out[EVENT_TABLE[name]] = table
         out[f"invalid_person_id_{name}"] = invalid
         if dom.mapping is not None and concept is not None:
-            feed = src if src is not None else None
+            feed = ctx.mapped_input.get(dom.name)  # the rows at the mapping step
             if feed is None:
                 from ..sources.batches import load_batches
-                feed = load_batches(spark, dom)
+                feed = src if src is not None else load_batches(spark, dom)
             table_map = vocab.mapping_table(concept, relationship, dom.mapping.vocabulary_id)
             out[f"{name}_unmapped"] = vocab.unmapped_report(feed, table_map, dom.mapping, dom.supplement)
             used.append(vocab.used_concept_ids(feed, table_map, dom.mapping, dom.supplement))

@@ -124,3 +124,28 @@ def test_written_outputs(sample, spark):
     root, _ = sample
     assert spark.read.parquet(f"{root}/out/condition_occurrence").count() == 3
     assert spark.read.parquet(f"{root}/out/visit_occurrence").count() == 2
+
+
+def test_unmapped_counts_rows_at_the_mapping_step(sample, spark):
+    """K5: the report counts the rows the mapping saw; a row dropped before it
+    (null person) is not counted."""
+    root, _ = sample
+    extra = os.path.join(root, "condition2", "cond_null.csv")
+    os.makedirs(os.path.dirname(extra), exist_ok=True)
+    with open(extra, "w", encoding="utf-8") as fh:
+        fh.write(FILES["condition/condition_occurrence.csv"].splitlines()[0]
+                 + "\n,2020-05-11,2020-05-11 09:32:00,,,32020,,7,Z99.9\n")
+    rule = MappingRule("condition_source_value", "KCD7", "condition_concept_id", "condition_source_concept_id")
+    spec = PipelineSpec(domains={
+        "person": domain("person", (Batch("p", path=f"{root}/person/person"),)),
+        "death": domain("death", (Batch("d", path=f"{root}/death/death"),)),
+        "visit": domain("visit", (Batch("v", path=f"{root}/visit/visit_occurrence_full", hosp=1),)),
+        "condition": domain("condition", (Batch("c", path=f"{root}/condition/condition_occurrence", hosp=1),
+                                          Batch("c2", path=f"{root}/condition2/cond_null", hosp=1)),
+                            mapping=rule),
+    })
+    out = run_pipeline(spark, spec, read_table(spark, f"{root}/sheet.csv"),
+                       concept=read_vocab_tsv(spark, f"{root}/vocab/CONCEPT.csv", "concept"),
+                       relationship=read_vocab_tsv(spark, f"{root}/vocab/CONCEPT_RELATIONSHIP.csv",
+                                                   "concept_relationship"))
+    assert rows(out["condition_unmapped"], "source_code", "n_rows") == [("Z99.9", 1)]

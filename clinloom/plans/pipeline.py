@@ -9,7 +9,8 @@ recomputes from those files.
 """
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,29 +89,34 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
         out["care_site"] = care_site_build(provider_list)
     if provider_list is not None and "provider" in wanted:
         out["provider"] = provider_build(provider_list)
-    for name in wanted:
-        if name not in EVENT_BUILDERS:
-            continue
-        dom = spec.domains.get(name)
-        if dom is None:
-            continue
+
+    def build_event(name: str) -> tuple[dict[str, DataFrame], DataFrame | None]:
+        res: dict[str, DataFrame] = {}
+        dom = spec.domains[name]
         src = None
         if name == "measurement" and lab_raw is not None:
             src = D.lab_parse(lab_raw, site1_keyword=site1_keyword)
-        if name == "measurement" and src is None and not dom.batches:
-            continue
         table, invalid = (EVENT_BUILDERS[name](dom, ctx, src) if name != "observation"
                           else EVENT_BUILDERS[name](dom, ctx))
-        out[EVENT_TABLE[name]] = table
-        out[f"invalid_person_id_{name}"] = invalid
+        res[EVENT_TABLE[name]] = table
+        res[f"invalid_person_id_{name}"] = invalid
+        used_ids = None
         if dom.mapping is not None and concept is not None:
             feed = ctx.mapped_input.get(dom.name)  # the rows at the mapping step
             if feed is None:
                 from ..sources.batches import load_batches
                 feed = src if src is not None else load_batches(spark, dom)
             table_map = vocab.mapping_table(concept, relationship, dom.mapping.vocabulary_id)
-            out[f"{name}_unmapped"] = vocab.unmapped_report(feed, table_map, dom.mapping, dom.supplement)
-            used.append(vocab.used_concept_ids(feed, table_map, dom.mapping, dom.supplement))
+            res[f"{name}_unmapped"] = vocab.unmapped_report(feed, table_map, dom.mapping, dom.supplement)
+            used_ids = vocab.used_concept_ids(feed, table_map, dom.mapping, dom.supplement)
+        return res, used_ids
+
+    events = [n for n in wanted if n in EVENT_BUILDERS and n in spec.domains
+              and not (n == "measurement" and lab_raw is None and not spec.domains[n].batches)]
+    for res, used_ids in _run_all(build_event, events, spec.concurrent_jobs):
+        out.update(res)
+        if used_ids is not None:
+            used.append(used_ids)
     if used and concept is not None:  # K6: vocabulary subsets of the concepts in use
         ids_ = used[0]
         for u in used[1:]:
@@ -122,9 +128,20 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
         if vocabulary is not None:
             out["used_vocabulary"] = vocab.used_vocabularies(vocabulary, concept, ids_)
     if spec.output_root:
-        for name, df in list(out.items()):
-            if name in ("person", "death", "visit_occurrence"):
-                continue  # already written
+        def save(item: tuple[str, DataFrame]) -> None:
+            name, df = item
             final = dedupe_natural_key(df, name) if name in CDM_TABLES else df
             write_cdm(final, f"{spec.output_root}/{name}", fmt=spec.output_format)
+
+        todo = [(n, df) for n, df in out.items() if n not in ("person", "death", "visit_occurrence")]  # written
+        _run_all(save, todo, spec.concurrent_jobs)
     return out
+
+
+def _run_all(fn: Callable, items: list, workers: int) -> list:
+    """``fn`` over independent items; with ``workers`` > 1 their Spark jobs are
+    submitted from that many driver threads at once.  The first failure is raised."""
+    if workers <= 1 or len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return list(pool.map(fn, items))

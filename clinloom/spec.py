@@ -81,3 +81,6 @@ class PipelineSpec:
     output_format: str = "parquet"
     bin_days: int = 7
     id_method: str = "bucketed"
+    # Independent domain builds and table writes submitted at once (Spark runs
+    # the jobs side by side; 1 = one after another).
+    concurrent_jobs: int = 4

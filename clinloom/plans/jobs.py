@@ -30,13 +30,18 @@ def load_cdm_table(spark: SparkSession, root: str, name: str) -> DataFrame | Non
                 df = r.load(path)
             except Exception:  # an empty or foreign folder: try the next form
                 continue
-            if fmt == "csv" and name in CDM_TABLES:
-                types = dict(CDM_TABLES[name])
-                df = df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types})
-            return df
+            return _cast_layout(df, name) if fmt == "csv" else df
     return None
 
 
+def _cast_layout(df: DataFrame, name: str | None) -> DataFrame:
+    """Cast the columns of a CDM table read as text to their layout types."""
+    if name not in CDM_TABLES:
+        return df
+    types = dict(CDM_TABLES[name])
+    return df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types})
+
+
 def load_cdm_tables(spark: SparkSession, root: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     out = {}
     for n in (names or CDM_TABLES):
@@ -72,13 +77,19 @@ def dedupe_job(spark: SparkSession, root: str, out_root: str, names: Iterable[st
 
 
 def load_side(spark: SparkSession, *, path: str | None = None, url: str | None = None, table: str | None = None,
-              schema: str | None = None) -> DataFrame:
-    """One side of a comparison: a file (parquet / csv) or a JDBC table."""
+              schema: str | None = None, cdm_table: str | None = None) -> DataFrame:
+    """One side of a comparison: a file (parquet / csv) or a JDBC table.
+
+    A CSV side of a known CDM table (``cdm_table``) is read as text in one pass and
+    cast by the layout; any other CSV is typed by schema inference (one extra pass)."""
     if path:
         fmt = "csv" if path.endswith(".csv") else "parquet"
         r = spark.read.format(fmt)
         if fmt == "csv":
-            r = r.option("header", "true").option("inferSchema", "true")
+            r = r.option("header", "true")
+            if cdm_table in CDM_TABLES:
+                return _cast_layout(r.load(path), cdm_table)
+            r = r.option("inferSchema", "true")
         return r.load(path)
     if url and table:
         return read_db(spark, table, url, schema=schema)

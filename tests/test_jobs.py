@@ -69,3 +69,20 @@ def test_provider_sheet_tsv_export_and_udf_transform(spark, tmpdir_path):
 
     df = spark.createDataFrame([("A-1",)], "code string")
     assert df.select(vocab.transform_code(F.col("code"), strip_dash).alias("c")).collect()[0].c == "A1"
+
+
+def test_csv_sides_load_typed(spark, tmpdir_path):
+    """A CSV CDM table comes back with its layout types in one text pass;
+    an empty string and a null both load as null (plain CSV)."""
+    _, cond = _tables(spark, tmpdir_path)
+    write_cdm(cond, f"{tmpdir_path}/csv/condition_occurrence.csv", fmt="csv")
+    loaded = jobs.load_cdm_table(spark, f"{tmpdir_path}/csv", "condition_occurrence")
+    side = jobs.load_side(spark, path=f"{tmpdir_path}/csv/condition_occurrence.csv", cdm_table="condition_occurrence")
+    for df in (loaded, side):
+        types = dict(df.dtypes)
+        assert (types["condition_occurrence_id"], types["condition_start_date"]) == ("bigint", "date")
+        got = sorted((r.condition_occurrence_id, r.condition_start_date, r.stop_reason) for r in df.collect())
+        assert got == [(12401010200001, dt.date(2024, 1, 1), None), (12401010200002, dt.date(2024, 1, 1), None),
+                       (12401010200003, dt.date(2024, 1, 2), None)]
+    inferred = jobs.load_side(spark, path=f"{tmpdir_path}/csv/condition_occurrence.csv")
+    assert dict(inferred.dtypes)["person_id"] in ("int", "bigint")

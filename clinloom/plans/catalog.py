@@ -407,10 +407,13 @@ def _gen_base(spark, sf) -> tuple[DataFrame, DataFrame]:
     from ..session import materialize
     key = (id(spark), sf, "gen_base")
     if key not in _BUILT:
-        gen = built(spark, sf, "condition", supplement=False)[0]
+        from .pipeline import _run_all
         spec, ctx, _ = context(spark, sf)
         dom = spec.domains["condition"]
-        base = materialize(D.condition_build(replace(dom, batches=dom.batches[:2]), ctx)[0])
+        # The two builds are independent: their jobs run side by side.
+        gen, base = _run_all(lambda f: f(), [
+            lambda: built(spark, sf, "condition", supplement=False)[0],
+            lambda: materialize(D.condition_build(replace(dom, batches=dom.batches[:2]), ctx)[0])], 2)
         _BUILT[key] = (gen, base)
     return _BUILT[key]
 

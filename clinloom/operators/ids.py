@@ -54,7 +54,7 @@ def number_within_date(
 
     Order inside a date: ``order_col`` ascending, nulls last, then ``tie_cols``.
     Rows with a null date are dropped first (F9).  With ``materialize`` the
-    locally numbered rows are checkpointed once, so the count branch and the
+    locally numbered rows are written once into the shared checkpoint folder, so the count branch and the
     main branch read the same files instead of running the upstream plan twice.
     """
     d = F.col(date_col).cast("date")

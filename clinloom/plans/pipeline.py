@@ -3,7 +3,7 @@
 person -> death -> care_site/provider -> visit -> event domains.  The shared
 inputs of the event domains (person, death, visit, excluded ids) are
 materialised once: written to the output folder when one is given, otherwise
-checkpointed into the shared checkpoint folder.  Either way the event domains
+written as Parquet into the shared checkpoint folder.  Either way the event domains
 read files instead of re-running the upstream plans, and a lost executor only
 recomputes from those files.
 """

@@ -4,15 +4,19 @@ from __future__ import annotations
 from clinloom.llm.bit_sliced import op7_bit_sliced
 from clinloom.llm.byte_bpe import op2_byte_bpe
 from clinloom.llm.nearest import op6_nearest
+from clinloom.llm.ngram_join import op1_ngram_join
 from clinloom.llm.packing import op8_packing
 from clinloom.llm.personal_data import op4_personal_data
 from clinloom.llm.secret_scan import op10_secret_scan
 from clinloom.llm.token_frames import op3_token_frames
+from clinloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_frames": op3_token_frames,
     "op4_personal_data": op4_personal_data,
+    "op5_toxicity": op5_toxicity,
     "op6_nearest": op6_nearest,
     "op7_bit_sliced": op7_bit_sliced,
     "op8_packing": op8_packing,

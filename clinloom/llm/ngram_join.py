@@ -357,5 +357,18 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         F.when(own, F.coalesce("rep", "doc_id")).alias("class_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: of each component the
+    document of the smallest doc_id, of repeated doc_ids one row (the smallest in column
+    order); rows with a null doc_id stay."""
+    found = materialize(jaccard_components(docs).where("doc_id is not null"))
+    gone = materialize(found.where("doc_id <> component_id").select("doc_id").distinct())
+    again = materialize(found.groupBy("doc_id").agg(F.count("*").alias("times")).where("times > 1").select("doc_id"))
+    stay = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    twice = stay.join(again, "doc_id", "left_semi").select(docs.columns)
+    once = twice.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return stay.join(again, "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))
+
+
 def op1_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

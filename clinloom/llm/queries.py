@@ -7,6 +7,7 @@ from clinloom.llm.nearest import op6_nearest
 from clinloom.llm.ngram_join import op1_ngram_join
 from clinloom.llm.packing import op8_packing
 from clinloom.llm.personal_data import op4_personal_data
+from clinloom.llm.quality import op9_quality
 from clinloom.llm.secret_scan import op10_secret_scan
 from clinloom.llm.token_frames import op3_token_frames
 from clinloom.llm.toxicity import op5_toxicity
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_nearest": op6_nearest,
     "op7_bit_sliced": op7_bit_sliced,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
 }
 

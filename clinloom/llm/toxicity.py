@@ -277,6 +277,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return map_arrow(docs, run, f"doc_id {kind}, score double, passages array<struct<first:long,last:long,score:double>>")
 
 
+def drop_toxic(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = model.reader()
+        for b in batches:
+            texts = arrow_columns(b, "text")[0].to_pylist()
+            yield b.filter(pa.array([model.score(model.evidence(*read(t or ""))) < least for t in texts], pa.bool_()))
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def held_out() -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 

@@ -55,24 +55,22 @@ TRANSFORMS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def lenient_timestamp(c: Column | str) -> Column:
-    """C4: parse to a wall-clock timestamp, null on failure (ANSI mode stays on)."""
-    return col_(c).try_cast("timestamp_ntz")
-
-
-def lenient_date(c: Column | str) -> Column:
-    return col_(c).try_cast("timestamp_ntz").cast("date")
-
-
-def lenient_long(c: Column | str) -> Column:
-    """Numeric parse, null on failure."""
-    return col_(c).try_cast("bigint")
+def integral_long(c: Column | str) -> Column:
+    """Integer value of a number-like column, null when not integral (T9).  Decimal
+    arithmetic: ``8507.0`` is 8507 and no digit of a long id is lost."""
+    d = col_(c).cast("string").try_cast("decimal(38,9)")
+    return F.when(d == F.floor(d), d.cast("decimal(38,0)").cast("string").try_cast("bigint"))
 
 
-def integral_long(c: Column | str) -> Column:
-    """Integer value of a number-like column, null when not integral."""
-    d = col_(c).cast("string").try_cast("double")
-    return F.when(d.isNotNull() & (d == F.floor(d)), d.cast("bigint"))
+def lenient(c: Column | str, sql_type: str) -> Column:
+    """Read a value as ``sql_type``, null when it cannot be read.  Integers may
+    be written with a zero fraction, dates as timestamps and timestamps as dates."""
+    c = col_(c)
+    if sql_type in ("int", "bigint"):
+        return integral_long(c).try_cast(sql_type)
+    if sql_type in ("date", "timestamp_ntz"):
+        return c.try_cast("timestamp_ntz").cast(sql_type)
+    return c.try_cast(sql_type)
 
 
 def pad_widening(n: Column | str, width: int) -> Column:

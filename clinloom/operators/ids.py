@@ -3,15 +3,17 @@
 An occurrence id is ``{hosp}{YY}{MM}{DD}{domain_code}{seq}``: rows are numbered
 1..N within their calendar date, ordered by event time (nulls last) and then by
 explicit tie columns (the source has no row order in Spark, so the caller names
-what "input order" means; ``_rid`` by default).
+what "input order" means; by default the batch ordinal ``_batch`` and the row id ``_rid``
+within the batch, as far as the frame has them).
 
 Two physical strategies give identical numbers:
 
 * ``"bucketed"`` (default): rows are numbered inside (date, time bucket, tie
-  bucket), where the time bucket is the minute of the event time counted from the
-  date's midnight (``bucket_minutes`` wide) and the tie bucket is ``_rid >> 33`` (the input split of a
-  ``monotonically_increasing_id`` row id).  Both keys follow the sort order, so
-  the sequence is the local number plus the count of the same date in earlier
+  buckets), where the time bucket is the minute of the event time counted from the
+  date's midnight (``bucket_minutes`` wide, its very start apart) and, among equal times
+  only, the tie buckets are ``_batch`` and
+  ``_rid >> 33`` (the input split of a ``monotonically_increasing_id`` row id).  The keys
+  follow the sort order, so the sequence is the local number plus the count of the same date in earlier
   buckets, taken from a per-bucket count table.  A hot date is spread over many
   tasks; every key is a pure function of the row, so a recomputed task (lost
   executor) gets the same numbers.
@@ -39,12 +41,17 @@ def _hosp_text(df: DataFrame, hosp_col: str) -> Column:
         F.raise_error(F.lit(f"null '{hosp_col}' while issuing ids: set hosp on the batch")))
 
 
+def input_order(df: DataFrame) -> list[str]:
+    """Columns whose order is the input order: the batch, then the row in its batch."""
+    return [c for c in ("_batch", "_rid") if c in df.columns]
+
+
 def number_within_date(
     df: DataFrame,
     *,
     date_col: str,
     order_col: str | None,
-    tie_cols: Sequence[str] = ("_rid",),
+    tie_cols: Sequence[str] | None = None,
     seq_col: str = "_seq",
     method: str = "bucketed",
     bucket_minutes: int = 1,
@@ -57,6 +64,7 @@ def number_within_date(
     locally numbered rows are written once into the shared checkpoint folder, so the count branch and the
     main branch read the same files instead of running the upstream plan twice.
     """
+    tie_cols = input_order(df) if tie_cols is None else list(tie_cols)
     d = F.col(date_col).cast("date")
     df = df.where(d.isNotNull()).withColumn("_d", d)
     order: list[Column] = ([F.col(order_col).asc_nulls_last()] if order_col else []) + [
@@ -68,30 +76,34 @@ def number_within_date(
     if method not in ("bucketed", "range"):
         raise ValueError(f"unknown numbering method {method!r}")
 
+    # Buckets in the sort order: the minute, in it first the rows at its very start (all
+    # of date-only times), and only among equal times the batch and the input split.
+    equal = F.lit(True)
+    tb = F.lit(0).cast("bigint")
     if order_col:
-        # Minutes from the date's midnight (wall clock; no time-zone arithmetic).
         t = F.col(order_col)
         mins = F.datediff(F.to_date(t), F.col("_d")) * 1440 + F.hour(t) * 60 + F.minute(t)
-        tb = F.coalesce(F.floor(mins / bucket_minutes), F.lit(_NULL_LAST))
-    else:
-        tb = F.lit(0).cast("bigint")
-    first_tie = F.col(tie_cols[0]) if tie_cols else None
-    rb = (F.coalesce(F.shiftright(first_tie.cast("bigint"), _POS_SHIFT), F.lit(_NULL_LAST))
-          if first_tie is not None and dict(df.dtypes).get(tie_cols[0]) in ("bigint", "int")
-          else F.lit(0).cast("bigint"))
-    df = df.withColumn("_tb", tb.cast("bigint")).withColumn("_rb", rb.cast("bigint"))
-    keys = ["_d", "_tb", "_rb"]
+        at_start = (F.pmod(mins, F.lit(bucket_minutes)) == 0) & (F.date_trunc("minute", t) == t)
+        tb = F.coalesce(2 * F.floor(mins / bucket_minutes) + F.when(at_start, 0).otherwise(1), F.lit(_NULL_LAST))
+        equal = t.isNull() | at_start
+    named = [c for c, n in zip(tie_cols, input_order(df), strict=False) if c == n]
+    last = F.lit(_NULL_LAST)
+    batch = F.coalesce(F.col("_batch").cast("bigint"), last) if "_batch" in named else F.lit(0)
+    split = F.coalesce(F.shiftright(F.col("_rid").cast("bigint"), _POS_SHIFT), last) if "_rid" in named else F.lit(0)
+    df = df.withColumns({"_tb": tb.cast("bigint"), "_pb": F.when(equal, batch).otherwise(0).cast("bigint"),
+                         "_rb": F.when(equal, split).otherwise(0).cast("bigint")})
+    keys = ["_d", "_tb", "_pb", "_rb"]
     local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     if materialize:
         from ..session import materialize as _materialize
         local = _materialize(local)
     # One row per (date, time bucket, tie bucket): map-side partial aggregation.
     counts = local.groupBy(*keys).agg(F.max("_local").alias("_n"))
-    before = Window.partitionBy("_d").orderBy("_tb", "_rb").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_d").orderBy("_tb", "_pb", "_rb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     out = local.join(offsets, keys)
     return (out.withColumn(seq_col, (F.col("_local") + F.col("_base")).cast("bigint"))
-            .drop("_tb", "_rb", "_local", "_base", "_d"))
+            .drop("_tb", "_pb", "_rb", "_local", "_base", "_d"))
 
 
 def occurrence_id(hosp: Column, date: Column, domain_code: str, seq: Column, seq_width: int) -> Column:
@@ -108,7 +120,7 @@ def assign_occurrence_id(
     domain_code: str,
     seq_width: int = 5,
     hosp_col: str = "hosp",
-    tie_cols: Sequence[str] = ("_rid",),
+    tie_cols: Sequence[str] | None = None,
     keep_seq: bool = False,
     method: str = "bucketed",
 ) -> DataFrame:
@@ -145,7 +157,7 @@ def assign_ids_with_offsets(
     domain_code: str,
     seq_width: int = 6,
     hosp_col: str = "hosp",
-    arrival_cols: Sequence[str] = ("_rid",),
+    arrival_cols: Sequence[str] | None = None,
     method: str = "window",
 ) -> DataFrame:
     """Streaming ids.  ``offsets`` holds (``_d`` date, ``_issued`` count issued

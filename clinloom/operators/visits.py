@@ -139,8 +139,9 @@ def match_visit_single(events: DataFrame, visits: DataFrame, *, date_col: str, p
 
 
 def add_preceding_visit(vo: DataFrame, *, person_col: str = "person_id", bucket_days: int = 30) -> DataFrame:
-    """Previous visit of the person (order start, end, id) if it ended on or
-    before this start, else 0.  Looks one row back only.
+    """Previous visit of the person if it ended on or before this start, else 0.  The
+    order is start, end and the number of the visit in its date (``_seq``; the id where the
+    frame has none: its first digits are the hospital's).  Looks one row back only.
 
     Two levels so that a person with very many visits is not one task: the lag runs
     inside (person, ``bucket_days`` bucket of the start date); the first row of a
@@ -149,9 +150,10 @@ def add_preceding_visit(vo: DataFrame, *, person_col: str = "person_id", bucket_
     previous visit of a dated row (they sort last).
     """
     start, end, vid = F.col("visit_start_date"), F.col("visit_end_date"), F.col("visit_occurrence_id")
+    seq = F.col("_seq") if "_seq" in vo.columns else vid
     b = F.floor(_epoch_day(start) / bucket_days)
     v = vo.withColumn("_b", b)
-    order = [start.asc_nulls_last(), end.asc_nulls_last(), vid.asc_nulls_last()]
+    order = [start.asc_nulls_last(), end.asc_nulls_last(), seq.asc_nulls_last()]
     w = Window.partitionBy(person_col, "_b").orderBy(*order)
     v = v.withColumn("_prev_id", F.lag(vid).over(w)).withColumn("_prev_end", F.lag(end).over(w)).withColumn(
         "_first", F.row_number().over(w) == 1)
@@ -159,7 +161,7 @@ def add_preceding_visit(vo: DataFrame, *, person_col: str = "person_id", bucket_
     last = (vo.where(start.isNotNull()).withColumn("_b", b)
             .groupBy(person_col, "_b")
             .agg(F.max(F.struct(start.alias("s"), F.coalesce(end, F.lit("9999-12-31").cast("date")).alias("e"),
-                                F.when(end.isNull(), 1).otherwise(0).alias("n"), vid.alias("i"),
+                                F.when(end.isNull(), 1).otherwise(0).alias("n"), seq.alias("q"), vid.alias("i"),
                                 end.alias("end"))).alias("_last")))
     wb = Window.partitionBy(person_col).orderBy("_b")
     prev_bucket = last.select(person_col, "_b", F.lag("_last").over(wb).alias("_pl"))

@@ -96,7 +96,7 @@ def apply_standard_mapping(df: DataFrame, table: DataFrame, rule: MappingRule,
     out = df.withColumn("_code", code).join(t, "_code", "left")
     concept = F.coalesce(F.col("_std_cid"), F.lit(0)).cast("bigint")
     if supplement is not None:
-        s = supplement.select(F.col("code").alias("_code"), F.col("concept_id").alias("_supp"))
+        s = supplement.groupBy(F.col("code").alias("_code")).agg(F.max("concept_id").alias("_supp"))  # one row per code
         out = out.join(s, "_code", "left")
         concept = F.when(concept == 0, F.coalesce(F.col("_supp"), F.lit(0))).otherwise(concept).cast("bigint")
     out = out.withColumn(rule.concept_col, concept).withColumn(

@@ -401,9 +401,14 @@ def q_pipeline_qc(spark, sf):
 
 
 # ---------------------------------------------------------------- compare / reconcile
+def _older(spark, batch):
+    feed = batch.frame(spark) if callable(batch.frame) else batch.frame
+    return replace(batch, frame=feed.withColumn("condition_source_value", F.concat(F.lit("X"), "condition_source_value")))
+
+
 def _gen_base(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """gen: condition table without the supplement; base: with the supplement,
-    built from the first two batches only."""
+    """gen: condition table without the supplement; base: with the supplement, and with
+    the codes of the last batch as an older delivery wrote them (a site letter in front)."""
     from ..session import materialize
     key = (id(spark), sf, "gen_base")
     if key not in _BUILT:
@@ -413,7 +418,7 @@ def _gen_base(spark, sf) -> tuple[DataFrame, DataFrame]:
         # The two builds are independent: their jobs run side by side.
         gen, base = _run_all(lambda f: f(), [
             lambda: built(spark, sf, "condition", supplement=False)[0],
-            lambda: materialize(D.condition_build(replace(dom, batches=dom.batches[:2]), ctx)[0])], 2)
+            lambda: materialize(D.condition_build(replace(dom, batches=(*dom.batches[:2], _older(spark, dom.batches[2]))), ctx)[0])], 2)
         _BUILT[key] = (gen, base)
     return _BUILT[key]
 

@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import lenient
+from ..schema import CDM_TABLES
+
 # Per-domain natural key, concept column and source value column.
 COMPARE_SPEC: dict[str, tuple[list[str], str | None, str | None]] = {
     "condition": (["person_id", "condition_start_date", "condition_source_value"],
@@ -26,20 +29,22 @@ COMPARE_SPEC: dict[str, tuple[list[str], str | None, str | None]] = {
 }
 
 
-def _norm_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Dates as ``YYYY-MM-DD`` text, other keys as text."""
-    cols = {c.lower(): c for c in df.columns}
-    out = []
-    for k in keys:
-        c = F.col(cols[k])
-        out.append((F.date_format(c.cast("date"), "yyyy-MM-dd") if "date" in k else c.cast("string")).alias(k))
-    return df.select(*out)
+DATE_TYPES = {t: {c for c, kind in layout if kind in ("date", "timestamp_ntz", "timestamp")} for t, layout in CDM_TABLES.items()}
+DATES = set().union(*DATE_TYPES.values())  # every CDM column that holds a date or a time
+
+
+def key_columns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A key that the CDM layouts type as a date or time as ``YYYY-MM-DD`` text (null
+    when it is no date), any other as text; names match in any case."""
+    own = {c.lower(): c for c in df.columns}
+    day = lambda k: F.date_format(lenient(F.col(own[k]), "date"), "yyyy-MM-dd")
+    return df.select([(day(k) if k in DATES else F.col(own[k]).cast("string")).alias(k) for k in keys])
 
 
 def compare_keys(gen: DataFrame, base: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct natural keys of both sides: (n_both, n_only_gen, n_only_base)."""
-    g = _norm_keys(gen, keys).distinct().withColumn("_g", F.lit(True))
-    b = _norm_keys(base, keys).distinct().withColumn("_b", F.lit(True))
+    g = key_columns(gen, keys).distinct().withColumn("_g", F.lit(True))
+    b = key_columns(base, keys).distinct().withColumn("_b", F.lit(True))
     cond = None
     for k in keys:
         c = g[k].eqNullSafe(b[k])

@@ -308,7 +308,7 @@ MEASUREMENT_DEDUPE_KEY = ["measurement_date", "measurement_time", "person_id", "
 
 
 def measurement_prepare(src: DataFrame) -> DataFrame:
-    """F5, P10, P18, P19, U3 (distinct keeps the lowest row id as the tie key)."""
+    """F5, P10, P18, P19, U3 (of equal rows the first in input order stays)."""
     a = cohort.date_window(src, date_col="measurement_date", start="2001-01-01", end="2025-12-31")
     a = a.withColumn("measurement_concept_id", C.zero_if_null("measurement_concept_id")
                      if "measurement_concept_id" in a.columns else F.lit(0).cast("bigint"))
@@ -318,14 +318,15 @@ def measurement_prepare(src: DataFrame) -> DataFrame:
         if c in a.columns:
             a = a.withColumn(c, C.zero_if_null(c))
     keep = [c for c in MEASUREMENT_KEEP if c in a.columns]
-    return a.groupBy(*keep).agg(F.min("_rid").alias("_rid"))
+    order = ids.input_order(a)
+    return a.groupBy(*keep).agg(F.min(F.struct(*order)).alias("_first")).select(*keep, "_first.*")
 
 
 def measurement_build(dom: DomainSpec, ctx: Context, source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     src = source if source is not None else load_batches(ctx.spark, dom)
     a = measurement_prepare(src)
     a = _map(a, dom, ctx)  # T6: replaces the whole concept column when a rule is active
-    a = cohort.first_per_key(a, MEASUREMENT_DEDUPE_KEY, ["_rid"])  # W13
+    a = cohort.first_per_key(a, MEASUREMENT_DEDUPE_KEY, ids.input_order(a))  # W13
     a = _assign(a, ctx, dom, id_col="measurement_id", datetime_col="measurement_time", date_col="measurement_date")
     a = _id_length(a, ctx)
     a = cohort.exclude_persons(a, ctx.excluded)
@@ -345,7 +346,7 @@ def lab_parse(raw: DataFrame, *, site1_keyword: str = "") -> DataFrame:
     """Positional lab export (0 department, 1 person, 5 time, 6 local code,
     8 result, 9 provider, ``code`` from the file name) -> measurement feed."""
     res = F.col("_c8")
-    ts = C.lenient_timestamp(F.col("_c5")).cast("timestamp_ntz")
+    ts = C.lenient(F.col("_c5"), "timestamp_ntz")
     out = raw.select(
         C.hosp_from_department(F.col("_c0"), site1_keyword).alias("hosp"),
         C.integral_long(F.col("_c1")).alias("person_id"),

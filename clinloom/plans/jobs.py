@@ -7,39 +7,37 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import dedupe_natural_key
+from ..functions.columns import lenient
+from ..operators.dedupe import dedupe_natural_key, keep_rule
 from ..schema import CDM_TABLES
-from ..sources.batches import _exists
+from ..sources.batches import CSV_READ, path_exists
 from ..sources.files import read_db, write_cdm
 from . import compare as CMP
 from . import quality as Q
 
 
 def load_cdm_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """``<root>/<name>`` as parquet, else ``<root>/<name>.csv`` / CSV folder, else absent.
+    """``<root>/<name>`` (parquet, or CSV when its files are CSV), ``<root>/<name>.parquet``
+    or ``<root>/<name>.csv``; ``None`` when there is none of them.  A table that is there
+    but cannot be read is an error.
 
     CSV is read as text in one pass (no schema inference, which would scan the
-    files twice); the columns of a CDM table are cast to their layout types."""
-    for path, fmt in ((f"{root}/{name}", "parquet"), (f"{root}/{name}.parquet", "parquet"),
-                      (f"{root}/{name}.csv", "csv"), (f"{root}/{name}_csv", "csv")):
-        if _exists(spark, path):
-            r = spark.read.format(fmt)
-            if fmt == "csv":
-                r = r.option("header", "true")
-            try:
-                df = r.load(path)
-            except Exception:  # an empty or foreign folder: try the next form
-                continue
+    files twice); the columns of a CDM table are read leniently as their layout types."""
+    for path, fmt in ((f"{root}/{name}", None), (f"{root}/{name}.parquet", "parquet"), (f"{root}/{name}.csv", "csv")):
+        if path_exists(spark, path):
+            fmt = fmt or ("csv" if path_exists(spark, f"{path}/*.csv") else "parquet")
+            df = spark.read.options(**CSV_READ if fmt == "csv" else {}).format(fmt).load(path)
             return _cast_layout(df, name) if fmt == "csv" else df
     return None
 
 
 def _cast_layout(df: DataFrame, name: str | None) -> DataFrame:
-    """Cast the columns of a CDM table read as text to their layout types."""
+    """Read the text columns of a CDM table as their layout types (C4 / C5): ``8507.0`` is
+    an integer, a value that cannot be read is null."""
     if name not in CDM_TABLES:
         return df
     types = dict(CDM_TABLES[name])
-    return df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types})
+    return df.withColumns({c: lenient(F.col(c), types[c]) for c in df.columns if types.get(c, "string") != "string"})
 
 
 def load_cdm_tables(spark: SparkSession, root: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
@@ -63,7 +61,7 @@ def dedupe_job(spark: SparkSession, root: str, out_root: str, names: Iterable[st
     returns (table_name, rows_before, rows_after, removed) from the written data."""
     parts = []
     for name, df in load_cdm_tables(spark, root, names).items():
-        write_cdm(dedupe_natural_key(df, name), f"{out_root}/{name}")
+        write_cdm(dedupe_natural_key(df, name, keep=keep_rule(name)), f"{out_root}/{name}")
         after = spark.read.parquet(f"{out_root}/{name}")
         parts.append(df.select(F.lit(name).alias("table_name"), F.lit(1).alias("_b"), F.lit(0).alias("_a"))
                      .unionByName(after.select(F.lit(name).alias("table_name"), F.lit(0).alias("_b"),
@@ -86,7 +84,7 @@ def load_side(spark: SparkSession, *, path: str | None = None, url: str | None =
         fmt = "csv" if path.endswith(".csv") else "parquet"
         r = spark.read.format(fmt)
         if fmt == "csv":
-            r = r.option("header", "true")
+            r = r.options(**CSV_READ)
             if cdm_table in CDM_TABLES:
                 return _cast_layout(r.load(path), cdm_table)
             r = r.option("inferSchema", "true")

@@ -154,7 +154,7 @@ SELECT {EPID} AS person_id, CAST(9201 + event_id % 3 AS BIGINT) AS visit_concept
        CAST(1 + event_id % 2 AS INTEGER) AS hosp, event_id AS _rid
 FROM events WHERE event_type IN ('view', 'signup')""")
 cte("vis_num", ("vis_feed",), """
-SELECT *, row_number() OVER (PARTITION BY visit_start_date ORDER BY visit_start_time ASC NULLS LAST, _rid) AS _seq
+SELECT *, row_number() OVER (PARTITION BY visit_start_date ORDER BY visit_start_time ASC NULLS LAST, _rid % 2, _rid) AS _seq
 FROM vis_feed WHERE visit_start_date IS NOT NULL""")
 cte("vis_pre", ("vis_num", "death_min", "excluded"), f"""
 SELECT v.*, {occ_id('v.hosp', 'v.visit_start_date', '01', 'v._seq', 5)} AS visit_occurrence_id
@@ -167,7 +167,7 @@ cte("vis_kept", ("vis_pre", "person_tbl"), "SELECT * FROM vis_pre WHERE person_i
 cte("vis_lag", ("vis_kept",), """
 SELECT *, lag(visit_occurrence_id) OVER w AS _prev_id, lag(visit_end_date) OVER w AS _prev_end FROM vis_kept
 WINDOW w AS (PARTITION BY person_id ORDER BY visit_start_date ASC NULLS LAST, visit_end_date ASC NULLS LAST,
-             visit_occurrence_id ASC NULLS LAST)""")
+             _seq ASC NULLS LAST)""")
 cte("vis_tbl", ("vis_lag",), "SELECT " + project("visit_occurrence", {
     "visit_start_datetime": "visit_start_time", "visit_end_datetime": "visit_end_time",
     "visit_type_concept_id": "44818518", "visit_source_value": "''", "visit_source_concept_id": "0",
@@ -316,22 +316,21 @@ WHERE (dm.dd IS NULL OR e.{date_col} <= dm.dd) {len_cond} {extra_where}
 
 
 def numbered(name: str, src: str, date_col: str, dt_col: str, code: str, width: int, id_col: str,
-             where: str = "") -> None:
+             where: str = "", tie: str = "_rid") -> None:
     cte(name, (src,), f"""
 SELECT * EXCLUDE (_seq), {occ_id('hosp', date_col, code, '_seq', width)} AS {id_col}, _seq FROM (
-  SELECT *, row_number() OVER (PARTITION BY {date_col} ORDER BY {dt_col} ASC NULLS LAST, _rid) AS _seq
+  SELECT *, row_number() OVER (PARTITION BY {date_col} ORDER BY {dt_col} ASC NULLS LAST, {tie}) AS _seq
   FROM {src} WHERE {date_col} IS NOT NULL {where})""")
 
 
-def condition_ctes(prefix: str, *, supplement: bool, batches: tuple[int, ...] = (0, 1, 2)) -> None:
-    blist = ", ".join(str(b) for b in batches)
-    cte(f"{prefix}_c0", ("cond_union",), f"SELECT * FROM cond_union WHERE person_id IS NOT NULL AND _batch IN ({blist})")
+def condition_ctes(prefix: str, *, supplement: bool, feed: str = "cond_union") -> None:
+    cte(f"{prefix}_c0", (feed,), f"SELECT * FROM {feed} WHERE person_id IS NOT NULL")
     mapped_feed(f"{prefix}_cm", f"{prefix}_c0", kcd("condition_source_value"), "KCD7", "condition_concept_id",
                 "condition_source_concept_id", supplement)
     match_ctes(f"{prefix}_cv", f"{prefix}_cm", "_rid", "condition_start_date", provider=True, pre=0, diff=False,
                null_9203="none")
     numbered(f"{prefix}_cn", f"{prefix}_cv", "condition_start_date", "condition_start_datetime", "02", 5,
-             "condition_occurrence_id", "AND condition_start_date < DATE '2026-01-01'")
+             "condition_occurrence_id", "AND condition_start_date < DATE '2026-01-01'", tie="_batch, _rid")
     event_tail(prefix, f"{prefix}_cn", "condition_start_date", "condition_occurrence", provided={
         "condition_status_concept_id": "0", "condition_status_source_value": "''",
         "visit_detail_id": "visit_occurrence_id", "condition_concept_id": "COALESCE(condition_concept_id, 0)"})
@@ -339,7 +338,9 @@ def condition_ctes(prefix: str, *, supplement: bool, batches: tuple[int, ...] =
 
 condition_ctes("cond", supplement=True)
 condition_ctes("cgen", supplement=False)
-condition_ctes("cbase", supplement=True, batches=(0, 1))
+cte("cond_older", ("cond_union",), "SELECT * REPLACE (CASE WHEN _batch = 2 THEN 'X' || condition_source_value "
+    "ELSE condition_source_value END AS condition_source_value) FROM cond_union")
+condition_ctes("cbase", supplement=True, feed="cond_older")
 
 # ---------------------------------------------------------------- drug
 cte("drug_feed", (), f"""
@@ -379,7 +380,7 @@ SELECT * EXCLUDE (rn, procedure_concept_id), COALESCE(procedure_concept_id, 0) A
   SELECT *, row_number() OVER (PARTITION BY person_id, procedure_datetime, procedure_source_value
                                ORDER BY _batch, _rid) AS rn
   FROM proc_union WHERE procedure_datetime IS NOT NULL) WHERE rn = 1""")
-numbered("proc_n", "proc_w", "procedure_date", "procedure_datetime", "04", 6, "procedure_occurrence_id")
+numbered("proc_n", "proc_w", "procedure_date", "procedure_datetime", "04", 6, "procedure_occurrence_id", tie="_batch, _rid")
 event_tail("proc", "proc_n", "procedure_date", "procedure_occurrence", provided={
     "modifier_concept_id": "0", "modifier_source_value": "''", "visit_occurrence_id": "NULL",
     "visit_detail_id": "NULL"}, extra_where="AND e.procedure_date < DATE '2026-01-01'")

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cohort, vocab
-from ..operators.dedupe import dedupe_natural_key
+from ..operators.dedupe import dedupe_natural_key, keep_rule
 from ..operators.rollup import care_site_build, provider_build
 from ..schema import CDM_TABLES
 from ..session import materialize
@@ -130,7 +130,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
     if spec.output_root:
         def save(item: tuple[str, DataFrame]) -> None:
             name, df = item
-            final = dedupe_natural_key(df, name) if name in CDM_TABLES else df
+            final = dedupe_natural_key(df, name, keep=keep_rule(name)) if name in CDM_TABLES else df
             write_cdm(final, f"{spec.output_root}/{name}", fmt=spec.output_format)
 
         todo = [(n, df) for n, df in out.items() if n not in ("person", "death", "visit_occurrence")]  # written

@@ -35,8 +35,8 @@ def get_session(master: str | None = None, app: str = "clinloom", conf: dict | N
 
 def checkpoint_dir(spark: SparkSession, *, fallback_prefix: str = "clinloom-ckpt-") -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (registered with the
-    SparkContext).  Only when the session names none (local tests) a scratch
-    folder is created and registered instead."""
+    SparkContext).  Only a session in local mode that names none (tests) gets a scratch
+    folder; on a cluster that is an error."""
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -45,6 +45,8 @@ def checkpoint_dir(spark: SparkSession, *, fallback_prefix: str = "clinloom-ckpt
         return d
     if sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix=fallback_prefix)
     sc.setCheckpointDir(d)
     return d

@@ -1,4 +1,4 @@
-"""File and JDBC scans (S2, S4-S12) and sinks (K1-K3, K6, K7)."""
+"""File and JDBC scans (S2, S4-S7, S9-S12) and sinks (K1, K2, K6)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import integral_long
 from ..schema import VOCAB_TABLES
-from .batches import normalise_columns
+from .batches import CSV_READ, normalise_columns
 
 _FORMATS = {".parquet": "parquet", ".csv": "csv", ".orc": "orc", ".json": "json", ".tsv": "csv"}
 
@@ -27,7 +27,7 @@ def read_table(spark: SparkSession, path: str, *, fmt: str | None = None, encodi
             raise ValueError(f"unsupported file type: {path}")
     r = spark.read
     if fmt == "csv":
-        r = r.option("header", "true")
+        r = r.options(**CSV_READ)
         if encoding:
             r = r.option("encoding", encoding)
         if sep or path.lower().endswith(".tsv"):
@@ -66,11 +66,6 @@ def read_vocab_tsv(spark: SparkSession, path: str, table: str) -> DataFrame:
             .schema(schema).csv(path))
 
 
-def read_person_sheet(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """Override / exclusion sheet saved as CSV or Parquet (names case-insensitive)."""
-    return normalise_columns(read_table(spark, path, **kw))
-
-
 def read_lab_directory(spark: SparkSession, raw_dir: str, codes: Sequence[str] = (), *,
                        ext: str = "csv") -> DataFrame:
     """One headerless file per lab code; the code is the file name.  All files
@@ -83,10 +78,14 @@ def read_lab_directory(spark: SparkSession, raw_dir: str, codes: Sequence[str] =
 
 
 def read_supplement(df: DataFrame) -> DataFrame:
-    """First column = code, second = concept id; row-wise parse (T16), nulls dropped."""
-    c0, c1 = df.columns[0], df.columns[1]
-    return (df.select(F.col(c0).cast("string").alias("code"), integral_long(F.col(c1)).alias("concept_id"))
-            .where(F.col("code").isNotNull() & F.col("concept_id").isNotNull()))
+    """First column = code, second = concept id; row-wise parse (T16), nulls dropped.
+    Of entries that repeat a code the last in input order stays, so the fill of J16 never
+    multiplies a row."""
+    c0, c1 = df.columns[:2]
+    rows = df.select(F.col(c0).cast("string").alias("code"), integral_long(F.col(c1)).alias("concept_id"),
+                     F.monotonically_increasing_id().alias("_at"))
+    return (rows.where(F.col("code").isNotNull() & F.col("concept_id").isNotNull())
+            .groupBy("code").agg(F.max_by("concept_id", "_at").alias("concept_id")))
 
 
 def read_pseudonym_map(df: DataFrame) -> DataFrame:
@@ -109,12 +108,12 @@ def read_provider_list(df: DataFrame, *, order_col: str | None = None) -> DataFr
 
 # ---------------------------------------------------------------- sinks
 def write_cdm(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """K1: parquet (default) or CSV with a header (no byte-order mark).  CSV
-    timestamps keep microseconds; an empty string and a null both become an
-    empty field, as in any plain CSV."""
+    """K1: parquet (default) or CSV with a header (no byte-order mark).  CSV quotes are
+    doubled and fields may hold line breaks; timestamps keep microseconds; an empty
+    string and a null both become an empty field, as in any plain CSV."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        (w.option("header", "true").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        (w.option("header", "true").option("escape", '"').option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
          .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
     else:
         w.format(fmt).save(path)
@@ -129,14 +128,6 @@ def write_db(df: DataFrame, table: str, url: str, *, schema: str | None = None,
     df.write.mode(mode).jdbc(url, name, properties=props)
 
 
-def save_cdm_table(df: DataFrame, table: str, path: str, *, fmt: str = "parquet") -> None:
-    """K3: natural-key dedupe when the table is a CDM table, then write."""
-    from ..operators.dedupe import dedupe_natural_key
-    from ..schema import CDM_TABLES
-    out = dedupe_natural_key(df, table) if table in CDM_TABLES else df
-    write_cdm(out, path, fmt=fmt)
-
-
 def write_tsv(df: DataFrame, path: str) -> None:
     """K6: tab separated with a header (used-vocabulary export).  Empty strings
     are written as empty fields, as in the vocabulary files S6 reads back."""

@@ -19,7 +19,8 @@ class Batch:
     Either ``path`` (+ ``fmt``: parquet, csv, orc, json; ``None`` picks the first
     existing of parquet/csv, S3) or ``frame`` (a DataFrame or a function of the
     session).  ``hosp`` tags every row (P3).  ``options``: ``int_person_id``,
-    ``drop``, ``rename``, ``year_min``, ``date_between``, ``group``.
+    ``drop``, ``rename``, ``year_min``, ``date_between``, ``group``.  A path that does not
+    exist is an error unless the batch is ``optional``.
     """
     name: str
     path: str | None = None
@@ -28,6 +29,7 @@ class Batch:
     hosp: int | None = None
     options: Mapping[str, Any] = field(default_factory=dict)
     read_options: Mapping[str, str] = field(default_factory=dict)
+    optional: bool = False
 
 
 @dataclass(frozen=True)

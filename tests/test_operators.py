@@ -10,7 +10,7 @@ from clinloom.operators.rollup import care_site_build
 from clinloom.plans import compare as CMP
 from clinloom.plans import quality as Q
 from clinloom.plans.domains import lab_parse
-from clinloom.sources.batches import apply_batch_options, normalise_columns
+from clinloom.sources.batches import compile_batch, normalise_columns
 from clinloom.sources.files import read_lab_directory, read_supplement
 from clinloom.spec import Batch
 
@@ -59,10 +59,10 @@ def test_batch_options(spark):
     df = normalise_columns(df)
     b = Batch("b", hosp=2, options={"int_person_id": True, "drop": ["junk"], "rename": {"code": "src"},
                                     "year_min": 2018})
-    out = apply_batch_options(df, b).collect()
+    out = compile_batch(df, b).collect()
     assert out == []  # 2.5 is not integral; 2017 is before year_min
     b2 = Batch("b", hosp=2, options={"date_between": ["2017-01-01", "2017-12-31"]})
-    r = apply_batch_options(df, b2).collect()
+    r = compile_batch(df, b2).collect()
     assert len(r) == 1 and r[0].hosp == 2
 
 

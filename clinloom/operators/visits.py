@@ -36,13 +36,24 @@ def dedupe_visit_lookup(visits: DataFrame, *, person_col: str = "person_id", wit
     return visits.groupBy(*keys).agg(*aggs)
 
 
-def _binned_visits(visits: DataFrame, person_col: str, window_pre_days: int, bin_days: int) -> DataFrame:
+MOST_BINS = 64  # a visit over more bins is laid only into bins that have events of its person
+
+
+def _binned_visits(visits: DataFrame, event_bins: DataFrame, person_col: str, window_pre_days: int, bin_days: int) -> DataFrame:
+    """One row per visit and bin of its window.  A long (open-ended) visit would be
+    hundreds of thousands of rows; it takes its bins from ``event_bins`` (_v_person, _v_bin)."""
     lo = F.floor((_epoch_day(F.col("visit_start_date")) - window_pre_days) / bin_days)
     hi = F.floor(_epoch_day(F.col("visit_end_date")) / bin_days)
-    bins = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-    return visits.select(
-        F.col(person_col).alias("_v_person"),
-        F.explode(bins).alias("_v_bin"),
+    v = visits.where(lo <= hi).withColumns({"_lo": lo, "_hi": hi})
+    is_long = F.col("_hi") - F.col("_lo") >= MOST_BINS
+    binned = v.where(~is_long).withColumn("_v_bin", F.explode(F.sequence("_lo", "_hi")))
+    long_visits = v.where(is_long)
+    if not long_visits.isEmpty():
+        bins = event_bins.distinct().withColumnRenamed("_v_person", person_col)
+        inside = long_visits.join(bins, person_col).where(F.col("_v_bin").between(F.col("_lo"), F.col("_hi")))
+        binned = binned.unionByName(inside)
+    return binned.select(
+        F.col(person_col).alias("_v_person"), "_v_bin",
         F.col("visit_occurrence_id").alias("_v_id"),
         F.col("visit_concept_id").alias("_v_concept"),
         F.col("visit_start_date").alias("_v_start"),
@@ -89,10 +100,15 @@ def match_visits(
     eid = event_key or "_eid"
     if event_key is None:
         ev = ev.withColumn("_eid", F.monotonically_increasing_id())
-    ev = ev.withColumn("_e_bin", F.floor(_epoch_day(F.col(date_col).cast("date")) / bin_days))
+    # An event without a person or a date matches nothing; bins of its own, far before any
+    # visit's, keep such events from meeting in one task.
+    day_bin = F.floor(_epoch_day(F.col(date_col).cast("date")) / bin_days)
+    nowhere = -F.lit(1 << 40) - F.pmod(F.xxhash64(F.col(eid)), F.lit(1 << 20))
+    ev = ev.withColumn("_e_bin", F.when(F.col(person_col).isNotNull(), F.coalesce(day_bin, nowhere)).otherwise(nowhere))
 
     lookup = dedupe_visit_lookup(visits, person_col=person_col) if dedupe_lookup else visits
-    vb = _binned_visits(lookup, person_col, window_pre_days, bin_days)
+    event_bins = ev.select(F.col(person_col).alias("_v_person"), F.col("_e_bin").alias("_v_bin"))
+    vb = _binned_visits(lookup, event_bins, person_col, window_pre_days, bin_days)
     ev = ev.withColumn("_salt", F.pmod(F.xxhash64(F.col(eid)), F.lit(salt)) if salt > 1 else F.lit(0))
     vb = vb.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if salt > 1 else F.lit(0))
     d = F.col(date_col).cast("date")

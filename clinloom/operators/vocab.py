@@ -111,8 +111,7 @@ def code_counts(df: DataFrame, rule: MappingRule) -> DataFrame:
             .groupBy("source_code").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _coded_status(df: DataFrame, table: DataFrame, rule: MappingRule, supplement: DataFrame | None) -> DataFrame:
-    counts = code_counts(df, rule)
+def _coded_status(counts: DataFrame, table: DataFrame, supplement: DataFrame | None) -> DataFrame:
     j = counts.join(table, "source_code", "left")
     mapped = F.coalesce(F.col("mapped"), F.lit(False))
     if supplement is not None:
@@ -124,19 +123,19 @@ def _coded_status(df: DataFrame, table: DataFrame, rule: MappingRule, supplement
         mapped.alias("mapped"), "n_rows")
 
 
-def unmapped_report(df: DataFrame, table: DataFrame, rule: MappingRule,
+def unmapped_report(counts: DataFrame, table: DataFrame, rule: MappingRule,
                     supplement: DataFrame | None = None) -> DataFrame:
-    """K5: codes left unmapped, with row counts."""
-    st = _coded_status(df, table, rule, supplement)
+    """K5: codes (of ``code_counts``) left unmapped, with row counts."""
+    st = _coded_status(counts, table, supplement)
     return st.where(~F.col("mapped")).select(F.lit(rule.vocabulary_id).alias("vocabulary_id"), "source_code",
                                              "source_concept_id", "concept_id", "mapped", "n_rows")
 
 
-def used_concept_ids(df: DataFrame, table: DataFrame, rule: MappingRule,
+def used_concept_ids(counts: DataFrame, table: DataFrame, rule: MappingRule,
                      supplement: DataFrame | None = None) -> DataFrame:
-    """A5: mapped targets and source concepts of the codes present, plus every
+    """A5: mapped targets and source concepts of the codes present (``code_counts``), plus every
     supplement target; zero removed."""
-    st = _coded_status(df, table, rule, None)
+    st = _coded_status(counts, table, None)
     parts = [st.select(F.col("concept_id").alias("concept_id")),
              st.select(F.col("source_concept_id").alias("concept_id"))]
     if supplement is not None:

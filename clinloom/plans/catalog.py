@@ -257,12 +257,14 @@ def q_supplement_fill(spark, sf):
 
 
 def q_unmapped_report(spark, sf):
-    return vocab.unmapped_report(dv.condition_feed(spark, sf), _kcd_table(spark, sf), dv.CONDITION_RULE,
+    counts = vocab.code_counts(dv.condition_feed(spark, sf), dv.CONDITION_RULE)
+    return vocab.unmapped_report(counts, _kcd_table(spark, sf), dv.CONDITION_RULE,
                                  dv.supplement_table(spark, sf))
 
 
 def _used(spark, sf):
-    return vocab.used_concept_ids(dv.condition_feed(spark, sf), _kcd_table(spark, sf), dv.CONDITION_RULE,
+    counts = vocab.code_counts(dv.condition_feed(spark, sf), dv.CONDITION_RULE)
+    return vocab.used_concept_ids(counts, _kcd_table(spark, sf), dv.CONDITION_RULE,
                                   dv.supplement_table(spark, sf))
 
 
@@ -535,10 +537,96 @@ def stream_condition(spark, sf, *, files: int = 4) -> tuple[str, DataFrame]:
     return base, read_output(spark, f"{base}/out")
 
 
+def _streamed(spark, sf) -> tuple[str, DataFrame]:
+    key = (id(spark), sf, "stream")
+    if key not in _BUILT:
+        _BUILT[key] = stream_condition(spark, sf)
+    return _BUILT[key]
+
+
 def q_stream_ids(spark, sf):
-    """Streamed condition build; ids are numbered by arrival (T27), so the
-    content is compared without the id (uniqueness is asserted in the tests)."""
-    return stream_condition(spark, sf)[1].drop("condition_occurrence_id")
+    """Streamed condition build; ids are numbered by arrival (T27), so the content is
+    compared without the id (see ``stream_id_check``)."""
+    return _streamed(spark, sf)[1].drop("condition_occurrence_id")
+
+
+def q_stream_id_check(spark, sf):
+    """Per date rows, distinct ids, and whether all sequences lie in 1..issued."""
+    from ..operators.dedupe import sequence_of
+    from ..streaming.incremental import issued_per_date
+    base, out = _streamed(spark, sf)
+    per_date = out.withColumn("seq", sequence_of("condition_occurrence")).groupBy(F.col("condition_start_date").alias("event_date")).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("condition_occurrence_id").alias("n_ids"),
+        F.min("seq").alias("lo"), F.max("seq").alias("hi"))
+    return per_date.join(issued_per_date(spark, f"{base}/state"), "event_date").select(
+        "event_date", "n_rows", "n_ids", "issued", ((F.col("lo") >= 1) & (F.col("hi") <= F.col("issued"))).alias("in_range"))
+
+
+def q_stream_unmapped(spark, sf):
+    """K5 while streaming."""
+    from ..streaming.incremental import stream_unmapped
+    spec, ctx, _ = context(spark, sf)
+    return stream_unmapped(spark, f"{_streamed(spark, sf)[0]}/state", spec.domains["condition"], ctx)
+
+
+def q_stream_dedupe(spark, sf):
+    """T-S6: the natural-key dedupe after the stream (content without the ids)."""
+    from ..streaming.incremental import finalize
+    return finalize(spark, f"{_streamed(spark, sf)[0]}/out", "condition_occurrence").drop("condition_occurrence_id")
+
+
+# ---------------------------------------------------------------- feeds from text files
+def q_csv_feed_text_ids(spark, sf):
+    """A CSV feed whose integers are written ``N.0``, with empty providers and
+    a batch option for integer persons; read like the typed feed."""
+    from ..sources.files import write_cdm
+    from ..spec import Batch, domain
+    feed = dv.condition_feed(spark, sf)
+    text = feed.withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("person_id", "provider_id", "hosp")})
+    path = f"{_scratch(spark)}/condition"
+    write_cdm(text, path, fmt="csv")
+    b = load_batches(spark, domain("condition", (Batch("csv", path=path, fmt="csv", options={"int_person_id": True}),)))
+    return _src(b, "person_id", "provider_id", "hosp", "condition_start_date", "condition_start_datetime", "condition_source_value")
+
+
+def q_note_csv_load(spark, sf):
+    """K1 (csv) -> S13: notes with line breaks and quotes written as CSV and loaded back."""
+    from ..sources.files import write_cdm
+    from .jobs import load_cdm_table
+    root = _scratch(spark)
+    write_cdm(built(spark, sf, "note")[0], f"{root}/note", fmt="csv")
+    return select_columns(load_cdm_table(spark, root, "note"), "note")
+
+
+def q_supplement_repeated_code(spark, sf):
+    """An older entry in front of every code; the last one counts, rows stay."""
+    from ..sources.files import read_supplement
+    now = dv.supplement_table(spark, sf)
+    old = now.withColumn("concept_id", F.col("concept_id") + 500_000)
+    m = vocab.apply_standard_mapping(dv.condition_feed(spark, sf), _kcd_table(spark, sf), dv.CONDITION_RULE,
+                                     read_supplement(old.unionByName(now)))
+    return _src(m, "condition_concept_id", "condition_source_concept_id")
+
+
+def q_visit_match_open_ended(spark, sf):
+    """Every fifth visit without an end (9999-12-31), which no bin table may spell out."""
+    _, ctx, _ = context(spark, sf)
+    open_end = F.when(F.col("visit_occurrence_id") % 5 == 0, F.lit("9999-12-31").cast("date")).otherwise(F.col("visit_end_date"))
+    m = visits.match_visit_two_pass(dv.condition_feed(spark, sf), ctx.visit.withColumn("visit_end_date", open_end),
+                                    date_col="condition_start_date", event_key="_rid")
+    return _src(m, "visit_occurrence_id", "visit_concept_id")
+
+
+def q_visit_match_salted(spark, sf):
+    """J8 with each (person, bin) spread over four tasks, and events without a person."""
+    _, ctx, _ = context(spark, sf)
+    feed = dv.condition_feed(spark, sf).withColumn("person_id", F.when(F.col("_rid") % 3 != 0, F.col("person_id")))
+    m = visits.match_visit_two_pass(feed, ctx.visit, date_col="condition_start_date", event_key="_rid", salt=4)
+    return _src(m, "visit_occurrence_id", "visit_concept_id")
+
+
+def q_qc_totals(spark, sf):
+    return Q.qc_totals(q_qc_report(spark, sf))
 
 
 QUERIES: dict[str, Query] = {
@@ -614,6 +702,15 @@ QUERIES: dict[str, Query] = {
     "recon_concept_top10": q_recon_concept_top10,
     "recon_date_range": q_recon_date_range,
     "stream_ids": q_stream_ids,
+    "stream_id_check": q_stream_id_check,
+    "stream_unmapped": q_stream_unmapped,
+    "stream_dedupe": q_stream_dedupe,
+    "csv_feed_text_ids": q_csv_feed_text_ids,
+    "note_csv_load": q_note_csv_load,
+    "supplement_repeated_code": q_supplement_repeated_code,
+    "visit_match_open_ended": q_visit_match_open_ended,
+    "visit_match_salted": q_visit_match_salted,
+    "qc_totals": q_qc_totals,
     "vocab_tsv_concept_lookup": q_vocab_tsv_concept_lookup,
     "provider_sheet_csv": q_provider_sheet_csv,
     "supplement_csv_fill": q_supplement_csv_fill,

@@ -192,7 +192,7 @@ FROM vis_tbl GROUP BY person_id, visit_start_date, visit_end_date, provider_id""
 
 
 def match_ctes(name: str, src: str, key: str, date_col: str, *, provider: bool, pre: int, diff: bool,
-               null_9203: str) -> None:
+               null_9203: str, lookup: str = "vis_lookup") -> None:
     """Visit match of ``src`` (unique ``key``) -> CTE ``name`` with visit columns added."""
     pm = "COALESCE(e.provider_id = v.provider_id, FALSE)" if provider else "FALSE"
     order = ["_pm DESC", "vconcept ASC NULLS LAST"]
@@ -201,12 +201,12 @@ def match_ctes(name: str, src: str, key: str, date_col: str, *, provider: bool,
     order.append("vid ASC NULLS LAST")
     vid = {"none": "vid", "pass2": "CASE WHEN NOT _pm AND vconcept = 9203 THEN NULL ELSE vid END",
            "all": "CASE WHEN vconcept = 9203 THEN NULL ELSE vid END"}[null_9203]
-    cte(name, (src, "vis_lookup"), f"""
+    cte(name, (src, lookup), f"""
 SELECT * EXCLUDE (_pm, _vend, vid, vconcept, _rn), CAST({vid} AS BIGINT) AS visit_occurrence_id,
        CAST(vconcept AS BIGINT) AS visit_concept_id
 FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {', '.join(order)}) AS _rn
       FROM (SELECT e.*, v.vid, v.vconcept, v.visit_end_date AS _vend, {pm} AS _pm
-            FROM {src} e LEFT JOIN vis_lookup v
+            FROM {src} e LEFT JOIN {lookup} v
               ON e.person_id = v.person_id AND v.visit_start_date - {pre} <= e.{date_col}
              AND e.{date_col} <= v.visit_end_date))
 WHERE _rn = 1""")
@@ -789,9 +789,32 @@ q("recon_date_range", "SELECT (SELECT min(condition_start_date) FROM cgen_tbl) A
 q("stream_ids", "SELECT * EXCLUDE (condition_occurrence_id) FROM cond_tbl", "cond_tbl")
 
 
+cte("cond_ids", ("cond_cn",), "SELECT condition_start_date AS event_date, count(*) AS issued FROM cond_cn GROUP BY 1")
+q("stream_id_check", "SELECT condition_start_date AS event_date, count(*) AS n_rows, count(*) AS n_ids, any_value(issued) AS issued, "
+  "TRUE AS in_range FROM cond_tbl JOIN cond_ids ON condition_start_date = event_date GROUP BY 1", "cond_tbl", "cond_ids")
+cte("code_counts_u", ("cond_union",), CTES["code_counts"][1].replace("FROM cond_feed", "FROM cond_union"))
+cte("code_status_u", ("code_counts_u", "map_KCD7", "supp"), CTES["code_status"][1].replace("code_counts c", "code_counts_u c"))
+q("stream_unmapped", "SELECT 'KCD7' AS vocabulary_id, source_code, source_concept_id, concept_id, mapped, n_rows "
+                     "FROM code_status_u WHERE NOT mapped", "code_status_u")
+q("stream_dedupe", "SELECT DISTINCT " + ", ".join(_NK) + " FROM cond_tbl", "cond_tbl")
+q("csv_feed_text_ids", "SELECT _rid AS source_row, person_id, provider_id, hosp, condition_start_date, condition_start_datetime, "
+  "condition_source_value FROM cond_feed WHERE person_id IS NOT NULL", "cond_feed")
+q("note_csv_load", "SELECT * REPLACE (NULLIF(note_title, '') AS note_title, NULLIF(note_text, '') AS note_text, "
+  "NULLIF(note_source_value, '') AS note_source_value) FROM note_tbl", "note_tbl")
+cte("vis_open", ("vis_tbl",), "SELECT * REPLACE (CASE WHEN visit_occurrence_id % 5 = 0 THEN DATE '9999-12-31' "
+    "ELSE visit_end_date END AS visit_end_date) FROM vis_tbl")
+cte("vis_lookup_open", ("vis_open",), CTES["vis_lookup"][1].replace("FROM vis_tbl", "FROM vis_open"))
+match_ctes("m_open", "cond_feed", "_rid", "condition_start_date", provider=True, pre=0, diff=False, null_9203="none",
+           lookup="vis_lookup_open")
+cte("cond_third", ("cond_feed",), "SELECT * REPLACE (CASE WHEN _rid % 3 <> 0 THEN person_id END AS person_id) FROM cond_feed")
+match_ctes("m_salt", "cond_third", "_rid", "condition_start_date", provider=True, pre=0, diff=False, null_9203="none")
+for _n, _c in (("visit_match_open_ended", "m_open"), ("visit_match_salted", "m_salt")):
+    q(_n, f"SELECT _rid AS source_row, visit_occurrence_id, visit_concept_id FROM {_c}", _c)
+q("qc_totals", f"SELECT count_if(severity = 'ERROR') AS n_error, count_if(severity = 'WARN') AS n_warn FROM ({qc_report_sql('qc')})", *_qc_names)
+
 # File round trips return what their in-memory counterparts return.
 for _name, _same in (("vocab_tsv_concept_lookup", "concept_lookup"), ("provider_sheet_csv", "care_site_rollup"),
-                     ("supplement_csv_fill", "supplement_fill")):
+                     ("supplement_csv_fill", "supplement_fill"), ("supplement_repeated_code", "supplement_fill")):
     Q[_name] = Q[_same]
 # Plain CSV does not tell an empty string from a null: both load back as null.
 q("condition_csv_load", "SELECT * REPLACE (NULLIF(stop_reason, '') AS stop_reason, NULLIF(condition_source_value, '') "

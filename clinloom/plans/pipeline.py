@@ -70,6 +70,10 @@ def build_context(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
     return ctx, out
 
 
+# K6: the used vocabulary is written as vocabulary files (tab separated, with a header).
+VOCABULARY_EXPORT = {"used_concept": "CONCEPT", "used_concept_relationship": "CONCEPT_RELATIONSHIP", "used_vocabulary": "VOCABULARY"}
+
+
 def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame, *,
                  domains: Iterable[str] | None = None, provider_list: DataFrame | None = None,
                  pseudonym_raw: DataFrame | None = None, concept: DataFrame | None = None,
@@ -106,9 +110,11 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
             if feed is None:
                 from ..sources.batches import load_batches
                 feed = src if src is not None else load_batches(spark, dom)
-            table_map = vocab.mapping_table(concept, relationship, dom.mapping.vocabulary_id)
-            res[f"{name}_unmapped"] = vocab.unmapped_report(feed, table_map, dom.mapping, dom.supplement)
-            used_ids = vocab.used_concept_ids(feed, table_map, dom.mapping, dom.supplement)
+            table_map = vocab.mapping_table(concept, relationship, dom.mapping.vocabulary_id,
+                                            require_standard=dom.mapping.require_standard)
+            counts = materialize(vocab.code_counts(feed, dom.mapping))  # a row per code, for the report and the export
+            res[f"{name}_unmapped"] = vocab.unmapped_report(counts, table_map, dom.mapping, dom.supplement)
+            used_ids = vocab.used_concept_ids(counts, table_map, dom.mapping, dom.supplement)
         return res, used_ids
 
     events = [n for n in wanted if n in EVENT_BUILDERS and n in spec.domains
@@ -131,7 +137,10 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
         def save(item: tuple[str, DataFrame]) -> None:
             name, df = item
             final = dedupe_natural_key(df, name, keep=keep_rule(name)) if name in CDM_TABLES else df
-            write_cdm(final, f"{spec.output_root}/{name}", fmt=spec.output_format)
+            if name in VOCABULARY_EXPORT:
+                write_tsv(final, f"{spec.output_root}/vocabulary/{VOCABULARY_EXPORT[name]}")
+            else:
+                write_cdm(final, f"{spec.output_root}/{name}", fmt=spec.output_format)
 
         todo = [(n, df) for n, df in out.items() if n not in ("person", "death", "visit_occurrence")]  # written
         _run_all(save, todo, spec.concurrent_jobs)

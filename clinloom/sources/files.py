@@ -113,7 +113,8 @@ def write_cdm(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "ov
     string and a null both become an empty field, as in any plain CSV."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        (w.option("header", "true").option("escape", '"').option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        (w.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+         .option("ignoreTrailingWhiteSpace", "false").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
          .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path))
     else:
         w.format(fmt).save(path)

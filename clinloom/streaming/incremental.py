@@ -12,7 +12,8 @@ continue per date across batches through a counter table:
 Data and counters of a batch are written with overwrite into their own
 ``batch=<id>`` folders, so a batch replayed after a failure (same checkpoint)
 reads the same offsets and rewrites the same ids.  The query checkpoint lives in
-``<state>/checkpoint/<stream>``.  After the stream, ``finalize`` removes
+``<state>/checkpoint/<stream>``.  The codes at the mapping step are counted per batch under
+``<state>/codes`` and summed for the unmapped report.  After the stream, ``finalize`` removes
 duplicates across batches on the natural key (T-S6, T13).
 """
 from __future__ import annotations
@@ -24,9 +25,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import vocab
 from ..operators.dedupe import dedupe_natural_key
 from ..plans import domains as D
-from ..spec import DomainSpec
+from ..sources.batches import SOURCE_COLUMNS, compile_batch, path_exists
+from ..spec import Batch, DomainSpec
 
 Builder = Callable[[DomainSpec, D.Context, DataFrame], tuple[DataFrame, DataFrame]]
 BUILDERS: dict[str, Builder] = {
@@ -37,17 +40,11 @@ BUILDERS: dict[str, Builder] = {
 INPATIENT_BUILDER: Builder = lambda dom, ctx, src: D.observation_build(dom, ctx, inpatient=src)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def issued_before(spark: SparkSession, state_dir: str, stream_no: int, batch_id: int) -> DataFrame:
     """Offsets ``(_d, _issued)``: ids issued by earlier streams and earlier batches."""
     path = f"{state_dir}/counters"
     schema = T.StructType([T.StructField("_d", T.DateType()), T.StructField("_issued", T.LongType())])
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     c = spark.read.parquet(path)
     prior = (F.col("s") < stream_no) | ((F.col("s") == stream_no) & (F.col("batch") < batch_id))
@@ -57,24 +54,25 @@ def issued_before(spark: SparkSession, state_dir: str, stream_no: int, batch_id:
 def stream_domain(spark: SparkSession, name: str, dom: DomainSpec, ctx: D.Context, *, source_dir: str,
                   schema: T.StructType, out_dir: str, state_dir: str, stream_no: int = 0,
                   max_files_per_trigger: int = 1, fmt: str = "parquet", builder: Builder | None = None,
-                  table: str | None = None) -> int:
+                  options: Batch | None = None) -> int:
     """T-S1 + T-S2 + T-S3 + K4: run ``name``'s domain job over a file stream until
     the files present at start are processed (``availableNow``); returns the
-    number of rows written (read from the written files' metadata)."""
+    number of rows written.  ``options`` (a batch without path or frame) gives the hospital
+    tag and the batch options; a micro-batch is compiled like any batch (P1-P6, F2, F3)."""
     build = builder or BUILDERS[name]
     written: dict[int, int] = {}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = compile_batch(batch, options or Batch(name), SOURCE_COLUMNS.get(name)).persist()
         try:
-            if "_rid" not in batch.columns:
-                batch = batch.withColumn("_rid", F.monotonically_increasing_id())  # arrival order
             offsets = issued_before(spark, state_dir, stream_no, batch_id)
-            sctx = replace(ctx, id_offsets=offsets, issued=None)
+            sctx = replace(ctx, id_offsets=offsets, issued=None, mapped_input={})
             out, invalid = build(dom, sctx, batch)
             out.write.mode("overwrite").parquet(f"{out_dir}/s={stream_no}/batch={batch_id}")
             written[batch_id] = spark.read.parquet(f"{out_dir}/s={stream_no}/batch={batch_id}").count()
             invalid.write.mode("overwrite").parquet(f"{state_dir}/invalid/s={stream_no}/batch={batch_id}")
+            if (mapped := sctx.mapped_input.get(name)) is not None:  # K5: codes of this batch
+                vocab.code_counts(mapped, dom.mapping).write.mode("overwrite").parquet(f"{state_dir}/codes/s={stream_no}/batch={batch_id}")
             issued = sctx.issued if sctx.issued is not None else spark.createDataFrame([], "_d date, n long")
             issued.write.mode("overwrite").parquet(f"{state_dir}/counters/s={stream_no}/batch={batch_id}")
         finally:
@@ -99,6 +97,19 @@ def stream_observation(spark: SparkSession, dom: DomainSpec, ctx: D.Context, *,
                   builder=INPATIENT_BUILDER)
 
 
+def stream_unmapped(spark: SparkSession, state_dir: str, dom: DomainSpec, ctx: D.Context) -> DataFrame:
+    """K5 of a streamed domain: the batches' code counts summed, then reported."""
+    rule = dom.mapping
+    counts = spark.read.parquet(f"{state_dir}/codes").groupBy("source_code").agg(F.sum("n_rows").alias("n_rows"))
+    table = vocab.mapping_table(ctx.concept, ctx.relationship, rule.vocabulary_id, require_standard=rule.require_standard)
+    return vocab.unmapped_report(counts, table, rule, dom.supplement)
+
+
+def issued_per_date(spark: SparkSession, state_dir: str) -> DataFrame:
+    """A7 / T-S3: (event_date, issued) over all finished batches."""
+    return spark.read.parquet(f"{state_dir}/counters").groupBy(F.col("_d").alias("event_date")).agg(F.sum("n").cast("bigint").alias("issued"))
+
+
 def read_output(spark: SparkSession, out_dir: str) -> DataFrame:
     """All batches written so far (``s`` and ``batch`` partition columns dropped)."""
     return spark.read.parquet(out_dir).drop("s", "batch")

@@ -90,5 +90,5 @@ def test_standard_mapping(spark):
     out = vocab.apply_standard_mapping(df, table, rule).orderBy("k").collect()
     assert [r.condition_concept_id for r in out] == [9001, 0]
     assert [r.condition_source_concept_id for r in out] == [100, 0]
-    rep = vocab.unmapped_report(df, table, rule).collect()
+    rep = vocab.unmapped_report(vocab.code_counts(df, rule), table, rule).collect()
     assert [(r.source_code, r.n_rows, r.mapped) for r in rep] == [("ZZZ", 1, False)]

@@ -45,7 +45,7 @@ def nearest_tile(k: int):
             ends = np.searchsorted(rows, np.arange(len(ids) + 1))
             for i, query in enumerate(ids.tolist()):
                 at = cols[ends[i]:ends[i + 1]]
-                score = (c[at] * part[i]).sum(axis=1)
+                score = np.cumsum(c[at] * part[i], axis=1)[:, -1]  # summed in order: equal vectors, equal scores
                 best = np.lexsort((cid[at], -score))[:k]
                 if len(best):
                     yield query, list(zip((-score[best]).tolist(), cid[at][best].tolist(), strict=True))

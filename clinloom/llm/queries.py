@@ -25,4 +25,39 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_USABLE = """SELECT vec_id, min([CAST(x AS DOUBLE) for x in embedding]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id"""
+
+
+def _top(vectors: str, score: str, step: int, k: int) -> str:
+    return f"""
+WITH e AS ({vectors}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, {score} AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {step} = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= {k}"""
+
+
+# Tokenizers, trained models and packing are beyond SQL: tests/llm holds those queries
+# against the libraries, plain Python versions and brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:least(i + 4, len(w))], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n, sha256(string_agg(g, chr(10) ORDER BY g)) AS set_hash FROM s GROUP BY doc_id),
+c AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY set_hash) AS class_id FROM n),
+l AS (SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+      JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+      GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 80 * (nx.n + ny.n - count(*))),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM t UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.root = l.a)
+SELECT t.doc_id, coalesce(c.n, 0) AS n_shingles, m.component_id, coalesce(c.class_id, t.doc_id) AS class_id
+FROM t LEFT JOIN c ON t.doc_id = c.doc_id
+JOIN (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) m ON t.doc_id = m.doc_id""",
+    "op6_nearest": _top(f"SELECT * FROM ({_USABLE}) WHERE len([x for x in v if x <> 0]) > 0", "list_inner_product(q.v, c.v)", 20, 20),
+    "op7_bit_sliced": _top(f"SELECT vec_id, [CAST(floor(1024 * x) AS BIGINT) for x in v] AS v FROM ({_USABLE})",
+                           "CAST(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) AS BIGINT)", 100, 10),
+}

@@ -20,7 +20,7 @@ from ..operators.rollup import care_site_build, provider_build
 from ..schema import CDM_TABLES
 from ..session import materialize
 from ..sources.batches import normalise_columns
-from ..sources.files import write_cdm
+from ..sources.files import write_cdm, write_tsv
 from ..spec import PipelineSpec
 from . import domains as D
 

@@ -23,7 +23,8 @@ the largest component of a list.  No link between components is lost.
 *Skew.*  A shingle whose estimate is small has a list no longer than that (the sketch never
 counts too low); these lists are looked through one by one in sorted partitions.  Longer
 lists are never gathered: they are handled by aggregates with map-side combination and
-joins of written tables, which Spark can split.
+joins of written tables, which Spark can split.  Before whole sets are moved for a pair, its
+sets' outlines (counts by 256 hash ranges) must allow the threshold.
 
 Defined results: a null or empty text, or one without words, has an empty set and is
 its own component; repeated rows are copies; a row with a null doc_id has a null
@@ -90,30 +91,34 @@ class Shingles:
 
 
 def sets_and_sketch(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, cls) of every row, and the count sketch of all shingles."""
+    """(doc_id, n, cls, outline) of every row, and the count sketch of all shingles.  The
+    outline counts a set's shingles by their highest byte (empty if a count exceeds a byte)."""
     chunk = 1 << CHUNK_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         sets, counts = Shingles(width), np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["doc_id", "n", "cls", "chunk", "counts"]
+        names = ["doc_id", "n", "cls", "outline", "chunk", "counts"]
         doc_type = pa.int64()
         for b in batches:
             doc, text = arrow_columns(b, "doc_id", "text")
-            doc_type, n, cls = doc.type, [], []
+            doc_type, n, cls, outlines = doc.type, [], [], []
             for t in text.to_pylist():
                 s = sets(t)
                 n.append(len(s))
+                high = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256)
+                outlines.append(high.astype(np.uint8).tobytes() if high.max() < 256 else b"")
                 cls.append(sets.class_of(s) if len(s) else None)
                 np.add.at(counts, s >> np.uint64(64 - SKETCH_BITS), 1)
             rows = len(n)
-            yield pa.record_batch([doc, pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
+            yield pa.record_batch([doc, pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(outlines, pa.binary()),
+                                   pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
         if counts.any():
             parts = counts.reshape(-1, chunk)
             k = len(parts)
             packed = [zstandard.compress(p.tobytes(), 1) for p in parts]
-            yield pa.record_batch([pa.nulls(k, doc_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+            yield pa.record_batch([pa.nulls(k, doc_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
                                    pa.array(range(k), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +133,7 @@ def sets_and_sketch(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]
                               names=["chunk", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = materialize(map_arrow(docs, run, f"doc_id {kind}, n long, cls long, chunk int, counts binary"))
+    rows = materialize(map_arrow(docs, run, f"doc_id {kind}, n long, cls long, outline binary, chunk int, counts binary"))
     parts = map_arrow(rows.where("chunk is not null").select("chunk", "counts"), add, "chunk int, counts binary")
     parts = map_arrow(parts.repartition("chunk"), add, "chunk int, counts binary").collect()  # 64 rows, 8 MB unpacked
     import zstandard
@@ -136,7 +141,7 @@ def sets_and_sketch(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]
     sketch = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), chunk), np.int64)
     for r in parts:
         sketch[r.chunk] += np.frombuffer(zstandard.decompress(bytes(r.counts), max_output_size=8 * chunk), np.int64)
-    return rows.where("chunk is null").select("doc_id", "n", "cls"), np.minimum(sketch.reshape(-1), (1 << 31) - 1).astype(np.uint32)
+    return rows.where("chunk is null").select("doc_id", "n", "cls", "outline"), np.minimum(sketch.reshape(-1), (1 << 31) - 1).astype(np.uint32)
 
 
 def prefix(shingles: np.ndarray, estimate: np.ndarray, noise: float, percent: int, most: int) -> tuple[np.ndarray, int]:
@@ -196,18 +201,19 @@ def postings(docs: DataFrame, sketch: np.ndarray, width: int, percent: int, most
 
 def shared(posted: DataFrame) -> DataFrame:
     """The postings of tokens that more than one class may have, once each: token, cls,
-    n, pos, asked."""
+    n, pos, asked.  Long lists are spread by class and kept without a look at them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Streams sorted lists; a list that a batch ends in waits for the next one."""
+        """Streams sorted lists; a list that a batch ends in waits for the next one, but
+        a long list, which is not looked at, goes on at once."""
         tail = None
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [c.to_numpy() for c in b.columns]
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             if tail is not None:
                 cols = [np.concatenate(x) for x in zip(tail, cols, strict=True)]
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))
+            cut = len(cols[0]) - 1 if cols[3][-1] else int(np.searchsorted(cols[0], cols[0][-1]))
             tail = [c[cut:] for c in cols]
             if cut:
                 yield from listed([c[:cut] for c in cols])
@@ -218,17 +224,17 @@ def shared(posted: DataFrame) -> DataFrame:
         token, cls = cols[0], cols[1]
         new = np.ones(len(token), bool)  # rows are sorted by token and class: copies go
         new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
-        token, cls, meta = (c[new] for c in cols)
+        token, cls, meta, long_list = (c[new] for c in cols)
         same = token[1:] == token[:-1]
-        keep = np.zeros(len(token), bool)
+        keep = long_list.copy()
         keep[1:] |= same
         keep[:-1] |= same
         if keep.any():
             yield pa.record_batch([pa.array(c[keep]) for c in (token, cls, meta)], names=["token", "cls", "meta"])
 
-    posted = posted.where("not long_list").drop("long_list"), posted.where("long_list").drop("long_list").dropDuplicates(["token", "cls"])
-    short = map_arrow(posted[0].repartition("token").sortWithinPartitions("token", "cls"), run, "token long, cls long, meta long")
-    return short.union(posted[1]).select(
+    spread = F.when(F.col("long_list"), F.pmod(F.col("cls"), F.lit(256))).otherwise(0)
+    dealt = posted.repartition("token", spread).sortWithinPartitions("token", "cls")
+    return map_arrow(dealt, run, "token long, cls long, meta long").select(
         "token", "cls", F.shiftright("meta", N_SHIFT).alias("n"),
         F.shiftright("meta", POS_SHIFT).bitwiseAND(F.lit(POS_MASK)).alias("pos"), F.col("meta").bitwiseAND(F.lit(255)).alias("asked"))
 
@@ -259,8 +265,28 @@ class Verifier:
         made = map_arrow(texts, run, "cls long, shingles array<long>")
         return made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose outlines allow the threshold: the sum of the smaller counts is
+        never less than what the sets share."""
+        percent = self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                oa, ob, na, nb = (b.column(b.schema.get_field_index(c)) for c in ("oa", "ob", "na", "nb"))
+                most = np.minimum(na.to_numpy(), nb.to_numpy())
+                both = np.array([bool(x) and bool(y) for x, y in zip(oa.to_pylist(), ob.to_pylist(), strict=True)], bool)
+                if both.any():
+                    x, y = (np.frombuffer(b"".join(o.filter(pa.array(both)).to_pylist()), np.uint8).reshape(-1, 256) for o in (oa, ob))
+                    most[both] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                fits = (100 + percent) * most >= percent * (na.to_numpy() + nb.to_numpy())
+                yield b.filter(pa.array(fits)).select(["a", "b"])
+
+        of = lambda x: self.classes.select(F.col("cls").alias(x), F.col("outline").alias(f"o{x}"), F.col("n").alias(f"n{x}"))
+        return map_arrow(pairs.join(of("a"), "a").join(of("b"), "b"), run, "a long, b long")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The (written) pairs (a, b) whose sets are similar enough."""
+        pairs = materialize(self.possible(pairs))
         sets = materialize(self.sets(pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()))
         left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa"))
         right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb"))
@@ -278,7 +304,7 @@ def labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The postings with each class's component, of the tokens that meet two of them."""
     if labels is None:
         return lists.withColumn("comp", F.col("cls"))
-    named = lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = lists.drop("comp").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     named = materialize(named)
     open_lists = materialize(named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"))
     return materialize(named.join(open_lists, "token"))
@@ -311,7 +337,7 @@ def _most_met(met: DataFrame, percent: int, partners: int, seed: int) -> DataFra
     return best.select("a", F.explode(F.slice("s", 1, partners)).alias("p")).select("a", "p.b")
 
 
-def remaining(lists: DataFrame, percent: int) -> DataFrame:
+def remaining(lists: DataFrame, percent: int, most: int) -> DataFrame:
     """All candidates between components that are left."""
     size = lists.groupBy("token", "comp").agg(F.count("*").alias("size"))
     base = materialize(size.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("base")))
@@ -320,6 +346,10 @@ def remaining(lists: DataFrame, percent: int) -> DataFrame:
     b = lists.select("token", "in_base", *(F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "n", "pos", "asked")))
     met = a.join(b, "token").where((F.col("comp_a") != F.col("comp_b")) & (F.col("in_base") | (F.col("cls_a") < F.col("cls_b"))))
     met = met.where(_fits("n_a", "n_b", percent))
+    # each of a linked pair's first common tokens, as many as are asked for (``most`` at most),
+    # has fewer than ``most`` before it; so what lies behind it must nearly do
+    behind = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + (most - 1)
+    met = met.where((100 + percent) * behind >= percent * (F.col("n_a") + F.col("n_b")))
     # a pair may meet as (outside, base) in one list and as (base, outside) in another
     swap = F.col("cls_a") > F.col("cls_b")
     pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
@@ -337,22 +367,23 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     its smallest doc_id."""
     docs = id_text(docs)
     sets, sketch = sets_and_sketch(docs, width)
-    classes = materialize(sets.where("doc_id is not null and cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep")))
+    classes = materialize(sets.where("doc_id is not null and cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("outline").alias("outline")))
     lists = materialize(shared(postings(docs.where("doc_id is not null"), sketch, width, percent, most)))
     verify = Verifier(docs, classes, width, percent)
     tried = links = labels = None
     for step in range(4):
-        open_lists = labelled(lists, labels)
-        pairs = materialize(first_partners(open_lists, percent) if step == 0 else remaining(open_lists, percent) if step == 3
-                            else further_partners(open_lists, percent, tried, links, step, 8))
+        lists = labelled(lists, labels)
+        pairs = materialize(first_partners(lists, percent) if step == 0 else remaining(lists, percent, most) if step == 3
+                            else further_partners(lists, percent, tried, links, step, 8))
         found = verify.links(pairs)
         tried, links = (pairs, found) if step == 0 else (tried.union(pairs), materialize(links.union(found)))
         labels = components(links)
-    named = materialize(classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
+    named = materialize(classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     least = materialize(named.groupBy("comp").agg(F.min("rep").alias("component")))
     named = materialize(named.join(least, "comp").select("cls", "rep", "component"))
     own = F.col("doc_id").isNotNull()
-    return sets.join(named, "cls", "left").select(
+    return sets.drop("outline").join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(own, F.coalesce("component", "doc_id")).alias("component_id"),
         F.when(own, F.coalesce("rep", "doc_id")).alias("class_id"))
 

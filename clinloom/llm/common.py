@@ -1,16 +1,20 @@
 """Small helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import gc
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Unicode White_Space, the class that `\s` means in the tokenizer patterns.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_RARE = [c for c in WHITE if c not in " \n"]
 _SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
@@ -18,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers can import this library: from its installation on
     the executors, or else from the folder that the driver imported it from."""
     env = df.sparkSession.sparkContext.environment
@@ -41,23 +45,80 @@ def segments(text: str) -> list[str]:
     return _SEGMENT.findall(text)
 
 
-class SegmentCache(dict):
-    """Bounded memo of segment -> encoded value, kept while a worker lives.
-    ``fill(texts)`` encodes the segments not seen yet in one call and returns the
-    segments of each text; a full memo starts anew, results never depend on it."""
-
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 500_000):
-        super().__init__()
-        self.encode, self.most = encode, most
-
-    def fill(self, texts: list[str]) -> list[list[str]]:
-        if len(self) > self.most:
-            self.clear()
-        cut = [segments(t) for t in texts]
-        new = list(dict.fromkeys(s for c in cut for s in c if s not in self))
+def spaced(text: str) -> list[str] | None:
+    """The segments of a text whose only white space is single spaces and line feeds,
+    without their leading space (a segment behind a line feed keeps that); else None."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or any(w in text for w in _RARE):
+        return None
+    return text.replace("\n", " \n").split(" ")
+
+
+_MARKS = frozenset(".,;:!?|")
+
+
+def units(segment: str) -> tuple[str, ...]:
+    """The pre-tokens of the commonest segments: a word after a space or at a line's
+    start, perhaps with one mark behind it.  Any other segment is one unit."""
+    head = segment[0]
+    if segment[1:].isalpha() and (head == " " or head.isalpha()):
+        return (segment,)
+    body, mark = (segment[:-1], segment[-1:]) if segment[-1] in _MARKS and len(segment) > 1 else (segment, "")
+    if body[1:].isalpha() and (head == " " or head == "\n" or head.isalpha()) or len(body) == 1 and body.isalpha():
+        parts = ("\n", body[1:]) if head == "\n" else (body,)
+        return (*parts, mark) if mark else parts
+    return (segment,)
+
+
+class Memo:
+    """Bounded memo of key -> value that a worker keeps between tasks.  It has two
+    generations: when the young one is full the old one goes, so common keys stay."""
+
+    def __init__(self, make: Callable[[list[str]], list], most: int):
+        self.make, self.most = make, most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def ensure(self, keys: Iterable[str]) -> dict:
+        """A dict that holds at least these keys; the unknown ones are made in one call."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = set(keys).difference(young)
+        known = missing.intersection(old) if old else ()
+        young.update((k, old[k]) for k in known)
+        new = list(missing.difference(known))
         if new:
-            self.update(zip(new, self.encode(new), strict=True))
-        return cut
+            young.update(zip(new, self.make(new), strict=True))
+        return young
+
+
+class SegmentCache:
+    """Encodes texts through memos of their segments and of the segments' units (without
+    ``split``, of segments only); ``encode(units)`` gives the bytes of the ids of each.  An
+    entry takes about 200 bytes, and there are twice as many as the bounds say at most."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], split: Callable[[str], Sequence[str]] | None = units,
+                 most_segments: int = 400_000, most_units: int = 400_000):
+        gc.set_threshold(100_000, 20, 100)  # strings and bytes by the million, hardly a cycle
+        self.split = split
+        self.units = Memo(encode, most_units)
+        self.segments = Memo(self._join, most_segments // 8)
+        self.spaced = Memo(lambda cut: self._join([s if s[:1] == "\n" else " " + s for s in cut]), most_segments)
+
+    def _join(self, cut: list[str]) -> list[bytes]:
+        if self.split is None:
+            return self.units.make(cut)
+        parts = [self.split(s) if s else () for s in cut]
+        get = self.units.ensure(u for p in parts for u in p).__getitem__
+        return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        easy = [spaced(t) for t in texts]
+        first = [segments(t) if e is None else e[:1] for t, e in zip(texts, easy, strict=True)]
+        rest = [[] if e is None else e[1:] for e in easy]
+        raw = self.segments.ensure(chain.from_iterable(first)).__getitem__
+        get = self.spaced.ensure(chain.from_iterable(rest)).__getitem__
+        return [b"".join(chain(map(raw, f), map(get, r))) for f, r in zip(first, rest, strict=True)]
 
 
 def slices(texts: list[str], most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:

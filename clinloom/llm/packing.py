@@ -19,6 +19,7 @@ the input should be files or a written table, as everywhere where tasks may run
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -112,12 +113,14 @@ class ByteCodec:
 
         self.t = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.t.encode_special_tokens = True
-        self.memo = SegmentCache(lambda cut: [np.array(e.ids, "<u4").tobytes() for e in
-                                              self.t.encode_batch_fast(cut, add_special_tokens=False)])
+        self.kind = "H" if self.t.get_vocab_size() <= 1 << 16 else "I"
+        self.memo = SegmentCache(lambda units: [array(self.kind, e.ids).tobytes() for e in
+                                                self.t.encode_batch_fast(units, add_special_tokens=False)],
+                                 split=None, most_segments=400_000)
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        get, end = self.memo.__getitem__, end_id.to_bytes(4, "little")
-        return [np.frombuffer(b"".join(map(get, cut)) + end, "<u4") for cut in self.memo.fill(texts)]
+        end = array(self.kind, [end_id]).tobytes()
+        return [np.frombuffer(b + end, self.kind).astype("<u4") for b in self.memo(texts)]
 
 
 @lru_cache(maxsize=2)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import SegmentCache, arrow_columns, id_text, map_arrow, slices, table
+from clinloom.llm.common import WHITE, SegmentCache, arrow_columns, id_text, map_arrow, slices, table, units
 from clinloom.session import checkpoint_dir, materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -48,15 +49,20 @@ class WordCodec:
         self.t = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.t.encode_special_tokens = True
         self.width = 2 if self.t.get_vocab_size() <= 1 << 16 else 4
-        self.memo = SegmentCache(self.encode_segments)
-
-    def encode_segments(self, cut: list[str]) -> list[bytes]:
-        return [np.array(e.ids, f"<u{self.width}").tobytes()
-                for e in self.t.encode_batch_fast(cut, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        get = self.memo.__getitem__
-        return [b"".join(map(get, cut)) for cut in self.memo.fill(texts)]
+        self.encode = SegmentCache(self._ids, self._units)
+
+    def _ids(self, units: list[str]) -> list[bytes]:
+        kind = "H" if self.width == 2 else "I"
+        return [array(kind, e.ids).tobytes()
+                for e in self.t.encode_batch_fast(units, add_special_tokens=False)]
+
+    @staticmethod
+    def _units(segment: str) -> list[str]:
+        """The vocabulary drops white space and case, so neither makes a new unit."""
+        seen = segment.strip(WHITE)
+        if "\u0130" in seen:  # its lower case ends in a mark that joins what follows
+            return [seen]
+        return [u.lower() if u.isascii() else u for u in units(seen)] if seen else [""]
 
 
 @lru_cache(maxsize=2)

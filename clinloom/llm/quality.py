@@ -58,7 +58,7 @@ def gram_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[inside], starts
 
 
-def chunks(texts: list[bytes], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[bytes], most: int = 500_000) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
         if i > lo and size + len(t) > most:
@@ -97,7 +97,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
             raw = arrow_columns(b, "text")[0].cast(pa.binary()).to_pylist()
             for lo, hi in chunks(raw):
                 held.append(np.unique(gram_keys(raw[lo:hi])[0], return_counts=True))
-                if len(held) >= 16:
+                if len(held) >= 32:
                     held[:] = [merged()]
                     if len(held[0][0]) > 2_000_000:
                         yield pa.record_batch([pa.array(x) for x in held.pop()], names=["key", "c"])

@@ -2,7 +2,7 @@
 
 Each query is run to completion with a ``noop`` write (no driver collect).  The
 shared person / death / visit build is timed first as ``context``; later queries
-reuse its materialised tables.  Prints one JSON line on stdout.
+reuse its materialised tables, but ``person_build`` and ``visit_build`` build theirs again.  Prints one JSON line on stdout.
 """
 from __future__ import annotations
 
@@ -19,6 +19,20 @@ HEADLINE = ["person_build", "visit_build", "condition_build", "drug_build", "pro
             "pipeline_qc"]
 
 
+def own_builds(spark, sf_dir: str) -> dict:
+    """Builds that the shared context has made already, made again to be timed."""
+    from clinloom.plans import domains as D
+    from clinloom.plans.catalog import context
+    from clinloom.sources import derived as dv
+    spec, ctx, _ = context(spark, sf_dir)
+    return {
+        "person_build": lambda: D.person_build(spark, spec.domains["person"], dv.override_sheet_raw(spark, sf_dir),
+                                               dv.pseudonym_raw(spark, sf_dir))["person"],
+        "visit_build": lambda: D.visit_build(spark, spec.domains["visit"], ctx.person, ctx.death, ctx.excluded,
+                                             spec)["visit_occurrence"],
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -31,9 +45,10 @@ def main() -> None:
     t = time.perf_counter()
     context(spark, sf_dir)
     times["context"] = round(time.perf_counter() - t, 3)
+    builds = own_builds(spark, sf_dir)
     for name in HEADLINE:
         t = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        builds.get(name, lambda: QUERIES[name](spark, sf_dir))().write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -138,15 +138,17 @@ def override_sheet(sheet: DataFrame) -> DataFrame:
     return sheet.select(integral_long(F.col("person_id")).alias("person_id"),
                         sex_to_gender(F.col("sex")).alias("gender_concept_id"),
                         F.col("year_of_birth").try_cast("int").alias("year_of_birth"),
-                        F.col("month_of_birth").try_cast("int").alias("month_of_birth")).where(
-        F.col("person_id").isNotNull())
+                        F.col("month_of_birth").try_cast("int").alias("month_of_birth"),
+                        F.monotonically_increasing_id().alias("_sheet_row")).where(F.col("person_id").isNotNull())
 
 
 def apply_person_override(base: DataFrame, overrides: DataFrame, excluded: DataFrame) -> DataFrame:
     """J5 + P14 minus J2: full outer join with the override sheet; sheet values win
     for gender, birth year and month; sheet-only persons are added; excluded
-    persons are removed."""
-    o = overrides.select("person_id", *[F.col(c).alias(f"_ovr_{c}") for c in
+    persons are removed.  ``_sheet_row`` is the sheet's order, null without an entry."""
+    if "_sheet_row" not in overrides.columns:
+        overrides = overrides.withColumn("_sheet_row", F.lit(0).cast("bigint"))
+    o = overrides.select("person_id", "_sheet_row", *[F.col(c).alias(f"_ovr_{c}") for c in
                                         ("gender_concept_id", "year_of_birth", "month_of_birth")])
     m = base.join(o, "person_id", "full_outer")
     m = exclude_persons(m, excluded)

@@ -106,8 +106,7 @@ def person_build(spark: SparkSession, dom: DomainSpec, sheet_raw: DataFrame,
         merged = merged.join(pm, "person_id", "left")
         out["person_m"] = merged.select("person_id", "pid")
     out["duplicated_person_id"] = cohort.duplicated_person_ids(merged)  # T4: before the dedupe
-    person = select_columns(merged, "person")
-    person = cohort.first_per_key(person, ["person_id"], [])
+    person = select_columns(cohort.first_per_key(merged, ["person_id"], ["_sheet_row"]), "person")  # sheet order
     out["person"] = person
     out["invalid_person_id"] = cohort.invalid_person_ids(person)
     return out

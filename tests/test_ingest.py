@@ -143,3 +143,15 @@ def test_compare_keys_reads_dates_leniently(spark):
     base = spark.createDataFrame([(1, D(2024, 1, 5), "A")], "person_id long, CONDITION_START_DATE date, condition_source_value string")
     r = CMP.compare_keys(gen, base, CMP.COMPARE_SPEC["condition"][0]).first()
     assert (r.n_both, r.n_only_gen, r.n_only_base) == (1, 1, 0)
+
+
+def test_first_sheet_entry_of_a_person_stays(spark):
+    from clinloom.plans.domains import person_build
+    base = spark.createDataFrame([(12345678, 0, 1970)], "person_id long, gender_concept_id long, year_of_birth int").withColumns(
+        {c: F.lit(None).cast("bigint") for c in ("month_of_birth", "day_of_birth", "race_concept_id", "ethnicity_concept_id", "location_id")})
+    sheet = spark.createDataFrame([("12345678", "여", "1980", "3", "a"), ("12345678", None, "1990", "4", "a")],
+                                  "person_id string, sex string, year_of_birth string, month_of_birth string, name string").coalesce(1)
+    out = person_build(spark, domain("person", (Batch("b", frame=base, hosp=1),)), sheet)
+    r = out["person"].collect()
+    assert len(r) == 1 and r[0].year_of_birth == 1980 and r[0].gender_concept_id == 8532
+    assert out["duplicated_person_id"].count() == 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Per-table QC spec (primary key, person FK, main date, end date,
@@ -136,29 +136,65 @@ def qc_start_end(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(out)
 
 
-def qc_report(tables: Mapping[str, DataFrame], *, lo: str = DATE_LO, hi: str = DATE_HI) -> DataFrame:
-    """One row per (table, check) with its count and severity ERROR / WARN / OK."""
-    person, visit, death = tables.get("person"), tables.get("visit_occurrence"), tables.get("death")
-
-    def rows(df: DataFrame | None, check: str, value: str, bad: str) -> DataFrame | None:
-        if df is None:
-            return None
-        v = F.col(value).cast("bigint")
-        return df.select("table_name", F.lit(check).alias("check_name"), v.alias("n"),
-                         F.when(v > 0, F.lit(bad)).otherwise(F.lit("OK")).alias("severity"))
-
-    pk = qc_pk(tables)
-    parts = [rows(pk, "pk_duplicates", "pk_duplicates", "ERROR"),
-             rows(pk.where(F.col("pk_nulls") > 0) if pk is not None else None, "pk_nulls", "pk_nulls", "ERROR")]
+def _people(person: DataFrame | None, death: DataFrame | None) -> DataFrame | None:
+    """(person_id, _known, _dd): the master's persons and the first death of each person."""
+    parts = []
     if person is not None:
-        parts.append(rows(qc_person_fk(tables, person), "person_fk", "person_fk_missing", "ERROR"))
-    if visit is not None:
-        parts.append(rows(qc_visit_fk(tables, visit), "visit_fk", "visit_fk_missing", "ERROR"))
-    parts.append(rows(qc_mapping_rate(tables), "concept_unmapped", "n_unmapped", "WARN"))
-    parts.append(rows(qc_date_range(tables, lo=lo, hi=hi), "date_range", "out_of_range", "WARN"))
+        parts.append(person.select("person_id", F.lit(True).alias("_known"), F.lit(None).cast("date").alias("_dd")))
     if death is not None:
-        parts.append(rows(qc_after_death(tables, death), "after_death", "after_death", "ERROR"))
-    parts.append(rows(qc_start_end(tables), "start_after_end", "start_after_end", "ERROR"))
+        parts.append(death.select("person_id", F.lit(None).cast("boolean").alias("_known"), F.col("death_date").cast("date").alias("_dd")))
+    both = _union(parts)
+    return None if both is None else both.groupBy("person_id").agg(F.max("_known").alias("_known"), F.min("_dd").alias("_dd"))
+
+
+def _rows(frame: DataFrame, name: str, checks: list[tuple[str, Column, str]]) -> DataFrame | None:
+    """One aggregate over ``frame``, a row per (check, count, severity if not 0)."""
+    if not checks:
+        return None
+    one = frame.agg(*[n.cast("bigint").alias(check) for check, n, _ in checks])
+    found = F.explode(F.array(*[F.struct(F.lit(check).alias("check_name"), F.col(check).alias("n"), F.lit(bad).alias("bad"))
+                                for check, _, bad in checks])).alias("r")
+    rows = one.select(found).where((F.col("r.check_name") != "pk_nulls") | (F.col("r.n") > 0))
+    return rows.select(F.lit(name).alias("table_name"), "r.check_name", "r.n",
+                       F.when(F.col("r.n") > 0, F.col("r.bad")).otherwise(F.lit("OK")).alias("severity"))
+
+
+def qc_report(tables: Mapping[str, DataFrame], *, lo: str = DATE_LO, hi: str = DATE_HI) -> DataFrame:
+    """One row per (table, check) with its count and severity ERROR / WARN / OK.
+
+    A table is read once for A8-A11, once against the persons (J18 and J20 in one join)
+    and once against the visits (J19)."""
+    person, visit, death = tables.get("person"), tables.get("visit_occurrence"), tables.get("death")
+    people = _people(person, death)
+    visits = None if visit is None else visit.select(F.col("visit_occurrence_id").alias("_vid"), F.lit(True).alias("_hit")).distinct()
+    parts: list[DataFrame | None] = []
+    for name, df in tables.items():
+        spec = QC_SPEC.get(name, {})
+        has = {k: v for k in ("pk", "date", "end", "concept") if (v := spec.get(k)) and v in df.columns}
+        own: list[tuple[str, Column, str]] = []
+        if "pk" in has:
+            c = F.col(has["pk"])
+            nulls = F.count_if(c.isNull())
+            own += [("pk_duplicates", F.count(F.lit(1)) - F.count_distinct(c) - F.when(nulls > 0, 1).otherwise(0), "ERROR"),
+                    ("pk_nulls", nulls, "ERROR")]
+        if "concept" in has:
+            own.append(("concept_unmapped", F.count_if(F.coalesce(F.col(has["concept"]).cast("bigint"), F.lit(0)) == 0), "WARN"))
+        if "date" in has:
+            day = F.col(has["date"]).cast("date")
+            own.append(("date_range", F.count_if((day < F.lit(lo).cast("date")) | (day >= F.lit(hi).cast("date"))), "WARN"))
+        if "end" in has:
+            own.append(("start_after_end", F.count_if(F.col(spec["date"]) > F.col(has["end"])), "ERROR"))
+        parts.append(_rows(df, name, own))
+        joined: list[tuple[str, Column, str]] = []
+        if person is not None and spec.get("person_fk") and "person_id" in df.columns:
+            joined.append(("person_fk", F.count_if(F.col("_known").isNull()), "ERROR"))
+        if death is not None and "date" in has and "person_id" in df.columns:
+            joined.append(("after_death", F.count_if(F.col(has["date"]).cast("date") > F.col("_dd")), "ERROR"))
+        if joined:
+            parts.append(_rows(df.select("person_id", *([has["date"]] if "date" in has else [])).join(people, "person_id", "left"), name, joined))
+        if visits is not None and spec.get("visit_fk") and "visit_occurrence_id" in df.columns:
+            seen = df.select(F.col("visit_occurrence_id").alias("_vid")).where("_vid is not null").join(visits, "_vid", "left")
+            parts.append(_rows(seen, name, [("visit_fk", F.count_if(F.col("_hit").isNull()), "ERROR")]))
     return _union([p for p in parts if p is not None])
 
 

@@ -19,14 +19,14 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import SegmentCache, arrow_columns, id_text, map_arrow, slices, table
+from clinloom.llm.common import SegmentCache, arrow_columns, id_text, map_arrow, slices, table, worker_cache
 
 LONG_WORD = 256
 RANKS = "byte_bpe_50k.tiktoken"
@@ -172,7 +172,7 @@ class Codec:
         return out
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def codec(ranks_path: str | None, pattern: str | None) -> Codec:
     import public_tokenizers
 

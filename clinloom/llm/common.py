@@ -1,10 +1,13 @@
 """Small helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import re
+import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -29,7 +32,47 @@ def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFra
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if root not in (paths := [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]):
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
-    return df.mapInArrow(run, schema)
+    owner = run.__module__
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_caches_of(owner)
+        try:
+            yield from run(batches)
+        finally:
+            give_back_memory()
+
+    return df.mapInArrow(task, schema)
+
+
+_CACHES: dict[str, list[Callable]] = {}
+
+
+def worker_cache(make: Callable) -> Callable:
+    """What ``make`` returns is kept by a worker as long as it runs the same operator."""
+    made = lru_cache(maxsize=2)(make)
+    _CACHES.setdefault(make.__module__, []).append(made.cache_clear)
+    return made
+
+
+def keep_caches_of(owner: str) -> None:
+    for module, clear in _CACHES.items():
+        if module != owner:
+            for c in clear:
+                c()
+
+
+def give_back_memory() -> None:
+    """Freed memory of a finished task goes back to the system; idle workers stay small."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def each_text(column: pa.Array, rows: int = 500) -> Iterator[str]:
+    """The texts of a column, some hundred at a time as Python strings."""
+    for lo in range(0, len(column), rows):
+        yield from column.slice(lo, rows).to_pylist()
 
 
 def id_text(docs: DataFrame, *more: str) -> DataFrame:
@@ -98,7 +141,7 @@ class SegmentCache:
     entry takes about 200 bytes, and there are twice as many as the bounds say at most."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], split: Callable[[str], Sequence[str]] | None = units,
-                 most_segments: int = 400_000, most_units: int = 400_000):
+                 most_segments: int = 250_000, most_units: int = 250_000):
         gc.set_threshold(100_000, 20, 100)  # strings and bytes by the million, hardly a cycle
         self.split = split
         self.units = Memo(encode, most_units)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import arrow_columns, id_text, map_arrow, table
+from clinloom.llm.common import arrow_columns, each_text, id_text, map_arrow, table
 from clinloom.llm.graph import IdFilter, components
 from clinloom.session import materialize
 
@@ -60,7 +60,7 @@ class Shingles:
 
         class Hashes(dict):
             def __missing__(self, word: bytes) -> int:
-                if len(self) > 400_000:
+                if len(self) > 200_000:
                     self.clear()
                 self[word] = h = xxhash.xxh64_intdigest(word)
                 return h
@@ -104,7 +104,7 @@ def sets_and_sketch(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]
         for b in batches:
             doc, text = arrow_columns(b, "doc_id", "text")
             doc_type, n, cls, outlines = doc.type, [], [], []
-            for t in text.to_pylist():
+            for t in each_text(text):
                 s = sets(t)
                 n.append(len(s))
                 high = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256)
@@ -179,7 +179,7 @@ def postings(docs: DataFrame, sketch: np.ndarray, width: int, percent: int, most
                 return out
 
             size = 0
-            for text in arrow_columns(b, "text")[0].to_pylist():
+            for text in each_text(arrow_columns(b, "text")[0]):
                 s = sets(text)
                 if not len(s):
                     continue
@@ -255,7 +255,7 @@ class Verifier:
             for b in batches:
                 h, text = arrow_columns(b, "h", "text")
                 passed = text.filter(pa.array(near.passes(h.to_numpy())))
-                found = [s for t in passed.to_pylist() if len(s := sets(t))]
+                found = [s for t in each_text(passed) if len(s := sets(t))]
                 if found:
                     ends = np.cumsum([0, *map(len, found)])
                     yield pa.record_batch([pa.array(map(sets.class_of, found), pa.int64()), pa.ListArray.from_arrays(

@@ -21,13 +21,12 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clinloom.llm.common import SegmentCache, arrow_columns, id_text, map_arrow, slices, table
+from clinloom.llm.common import SegmentCache, arrow_columns, id_text, map_arrow, slices, table, worker_cache
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY, END_ID = 1024, 0
@@ -116,14 +115,14 @@ class ByteCodec:
         self.kind = "H" if self.t.get_vocab_size() <= 1 << 16 else "I"
         self.memo = SegmentCache(lambda units: [array(self.kind, e.ids).tobytes() for e in
                                                 self.t.encode_batch_fast(units, add_special_tokens=False)],
-                                 split=None, most_segments=400_000)
+                                 split=None, most_segments=300_000)
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         end = array(self.kind, [end_id]).tobytes()
         return [np.frombuffer(b + end, self.kind).astype("<u4") for b in self.memo(texts)]
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def byte_codec(path: str | None) -> ByteCodec:
     import os
 
@@ -154,9 +153,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabu
         for b in batches:
             doc, text = arrow_columns(b, "doc_id", "text")
             doc_type = doc.type
-            names, texts = doc.to_pylist(), text.to_pylist()
-            for lo, hi in slices(texts):
-                done = [p for d, ids in zip(names[lo:hi], c.encode(texts[lo:hi], end_id), strict=True) for p in windows.put(d, ids)]
+            names = doc.to_pylist()
+            for lo in range(0, len(names), 1_000):
+                texts = text.slice(lo, 1_000).to_pylist()
+                ids = (i for a, z in slices(texts) for i in c.encode(texts[a:z], end_id))
+                done = [p for d, i in zip(names[lo:lo + 1_000], ids, strict=True) for p in windows.put(d, i)]
                 if done:
                     yield rows(done, doc_type)
         if done := list(windows.close()):

@@ -24,14 +24,13 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import WHITE, SegmentCache, arrow_columns, id_text, map_arrow, slices, table, units
+from clinloom.llm.common import WHITE, SegmentCache, arrow_columns, id_text, map_arrow, slices, table, units, worker_cache
 from clinloom.session import checkpoint_dir, materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -65,7 +64,7 @@ class WordCodec:
         return [u.lower() if u.isascii() else u for u in units(seen)] if seen else [""]
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def word_codec(path: str | None) -> WordCodec:
     import os
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import arrow_columns, id_text, map_arrow, table
+from clinloom.llm.common import arrow_columns, each_text, id_text, map_arrow, table
 from clinloom.session import materialize
 
 _WORDS = bytes(i + 32 if 65 <= i <= 90 else i if i > 127 or chr(i).isalnum() else 32 for i in range(256))
@@ -88,7 +88,7 @@ class Model:
 
         class Memo(dict):
             def __missing__(self, word: bytes) -> float:
-                if len(self) > 500_000:
+                if len(self) > 200_000:
                     self.clear()
                 w = weights.get(word)
                 if w is None and (s := stem(word)) is not None:
@@ -132,7 +132,7 @@ def one_of_copies(training: DataFrame) -> DataFrame:
 
         class Hash(dict):
             def __missing__(self, word: bytes) -> int:
-                if len(self) > 300_000:
+                if len(self) > 200_000:
                     self.clear()
                 self[word] = h = xxhash.xxh64_intdigest(word)
                 return h
@@ -141,7 +141,7 @@ def one_of_copies(training: DataFrame) -> DataFrame:
         for b in batches:
             doc, text, toxic = arrow_columns(b, "doc_id", "text", "toxic")
             least = []
-            for t in text.to_pylist():
+            for t in each_text(text):
                 w = words(t)
                 h = np.fromiter(map(get, w), np.uint64, len(w))
                 pair = (h[1:] ^ (h[:-1] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F) if len(h) > 1 else h
@@ -168,11 +168,12 @@ def count_tokens(training: DataFrame) -> DataFrame:
             return out
 
         for b in batches:
-            for text, toxic in zip(*(c.to_pylist() for c in arrow_columns(b, "text", "toxic")), strict=True):
+            texts, classes = arrow_columns(b, "text", "toxic")
+            for text, toxic in zip(each_text(texts), classes.to_pylist(), strict=True):
                 found = set(words(text))
                 found |= {s for w in found if (s := stem(w)) is not None}
                 seen[toxic].update(found)
-                if len(seen[0]) + len(seen[1]) > 1_000_000:
+                if len(seen[0]) + len(seen[1]) > 400_000:
                     yield rows()
         yield rows()
 
@@ -242,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most_labelled: int
         read = model.reader()
         for b in batches:
             text, toxic = arrow_columns(b, "text", "toxic")
-            got = [(n, max((s for _, _, s in segs), default=0.0), len(segs)) for n, segs in map(read, text.to_pylist())]
+            got = [(n, max((s for _, _, s in segs), default=0.0), len(segs)) for n, segs in map(read, each_text(text))]
             yield pa.record_batch([toxic, *(pa.array([g[i] for g in got], t) for i, t in enumerate((pa.int64(), pa.float64(), pa.int64())))],
                                   names=["toxic", "n", "best", "segments"])
 
@@ -266,7 +267,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             doc, text = arrow_columns(b, "doc_id", "text")
             scores, passages = [], []
-            for n, segs in map(read, text.to_pylist()):
+            for n, segs in map(read, each_text(text)):
                 scores.append(model.score(model.evidence(n, segs)))
                 limit = model.log_k + math.log(max(n, 1))
                 passages.append([{"first": a, "last": z, "score": s} for a, z, s in segs if model.rate * s > limit])
@@ -283,7 +284,7 @@ def drop_toxic(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = model.reader()
         for b in batches:
-            texts = arrow_columns(b, "text")[0].to_pylist()
+            texts = each_text(arrow_columns(b, "text")[0])
             yield b.filter(pa.array([model.score(model.evidence(*read(t or ""))) < least for t in texts], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)

@@ -340,6 +340,16 @@ def q_dedupe_counts(spark, sf):
                           "visit_occurrence": context(spark, sf)[2]["visit_occurrence"]})
 
 
+def q_dedupe_job(spark, sf):
+    """Written tables deduped into another folder, one of them CSV."""
+    from ..sources.files import write_cdm
+    from .jobs import dedupe_job
+    root = _scratch(spark)
+    write_cdm(_condition_with_copies(spark, sf), f"{root}/condition_occurrence", fmt="csv")
+    write_cdm(context(spark, sf)[2]["visit_occurrence"], f"{root}/visit_occurrence")
+    return dedupe_job(spark, root, f"{root}/deduped")
+
+
 # ---------------------------------------------------------------- quality
 def _qc_tables(spark, sf) -> dict[str, DataFrame]:
     _, _, out = context(spark, sf)
@@ -683,6 +693,7 @@ QUERIES: dict[str, Query] = {
     "lab_parse": q_lab_parse,
     "natural_key_dedupe": q_natural_key_dedupe,
     "dedupe_counts": q_dedupe_counts,
+    "dedupe_job": q_dedupe_job,
     "qc_pk": q_qc_pk,
     "qc_person_fk": q_qc_person_fk,
     "qc_visit_fk": q_qc_visit_fk,

@@ -107,3 +107,20 @@ def gap_job(gen: DataFrame, base: DataFrame, domain: str, out_dir: str | None =
             for k in ("mapping_compare", "missing", "common_unmapped"):
                 write_cdm(out[k], f"{out_dir}/{domain}_{k}", fmt="csv")
     return out
+
+
+def reconcile_job(spark: SparkSession, gen: DataFrame, base: DataFrame, domain: str, *, top: int = 10,
+                  out_dir: str | None = None) -> dict[str, DataFrame]:
+    """A table against another: row counts, columns of one side, key overlap, date
+    range and the largest differences of the concept distribution; written as CSV under
+    ``out_dir`` when given."""
+    keys, concept, _ = CMP.COMPARE_SPEC[domain]
+    date = next(k for k in keys if k in CMP.DATES)
+    out = {"counts": CMP.recon_counts(gen, base), "columns": CMP.recon_columns(spark, gen, base),
+           "keys": CMP.recon_keys(gen, base, [k for k in keys if k != date]), "dates": CMP.recon_date_range(gen, base, date)}
+    if concept is not None:
+        out["concepts"] = CMP.recon_concept_top(gen, base, concept, top)
+    if out_dir:
+        for k, df in out.items():
+            write_cdm(df, f"{out_dir}/{domain}_{k}", fmt="csv")
+    return out

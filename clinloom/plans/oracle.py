@@ -814,7 +814,8 @@ q("qc_totals", f"SELECT count_if(severity = 'ERROR') AS n_error, count_if(severi
 
 # File round trips return what their in-memory counterparts return.
 for _name, _same in (("vocab_tsv_concept_lookup", "concept_lookup"), ("provider_sheet_csv", "care_site_rollup"),
-                     ("supplement_csv_fill", "supplement_fill"), ("supplement_repeated_code", "supplement_fill")):
+                     ("supplement_csv_fill", "supplement_fill"), ("supplement_repeated_code", "supplement_fill"),
+                     ("dedupe_job", "dedupe_counts")):
     Q[_name] = Q[_same]
 # Plain CSV does not tell an empty string from a null: both load back as null.
 q("condition_csv_load", "SELECT * REPLACE (NULLIF(stop_reason, '') AS stop_reason, NULLIF(condition_source_value, '') "

@@ -155,3 +155,17 @@ def test_first_sheet_entry_of_a_person_stays(spark):
     r = out["person"].collect()
     assert len(r) == 1 and r[0].year_of_birth == 1980 and r[0].gender_concept_id == 8532
     assert out["duplicated_person_id"].count() == 1
+
+
+def test_reconcile_job(spark, tmpdir_path):
+    from clinloom.plans.jobs import reconcile_job
+    cols = "person_id long, condition_start_date date, condition_source_value string, condition_concept_id long"
+    gen = spark.createDataFrame([(1, D(2024, 1, 1), "A", 5), (2, D(2024, 1, 2), "A", 5)], cols)
+    base = spark.createDataFrame([(1, D(2024, 1, 1), "A", 6)], cols).withColumn("extra", F.lit(1))
+    out = reconcile_job(spark, gen, base, "condition", out_dir=f"{tmpdir_path}/r")
+    assert set(out) == {"counts", "columns", "keys", "dates", "concepts"}
+    assert [tuple(r) for r in out["columns"].collect()] == [("extra", "base")]
+    assert {r.key_name: (r.n_both, r.n_gen_only, r.n_base_only) for r in out["keys"].collect()} == {
+        "person_id": (1, 1, 0), "condition_source_value": (1, 0, 0)}
+    assert out["dates"].first().gen_max == D(2024, 1, 2) and out["concepts"].count() == 2
+    assert read_table(spark, f"{tmpdir_path}/r/condition_counts", fmt="csv").count() == 1

@@ -158,19 +158,18 @@ def assign_ids_with_offsets(
     seq_width: int = 6,
     hosp_col: str = "hosp",
     arrival_cols: Sequence[str] | None = None,
-    method: str = "window",
+    method: str = "bucketed",
 ) -> DataFrame:
     """Streaming ids.  ``offsets`` holds (``_d`` date, ``_issued`` count issued
     before this batch); the sequence continues from there in arrival order.
 
-    Within one micro-batch the plain window is used by default: the batch size is
-    bounded by the trigger (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``), so
-    is the largest date of a batch.  The offsets frame has one row per date and is
-    left to AQE's runtime size check.
+    A micro-batch may be one very large file of one date, so it is numbered in buckets of
+    the input splits like a batch build; ``df`` should be a written table, as it is read
+    twice.  The offsets frame has one row per date and is left to AQE's runtime size check.
     """
     hosp = _hosp_text(df, hosp_col)
     numbered = number_within_date(df.withColumn("_hosp_txt", hosp), date_col=date_col,
-                                  order_col=None, tie_cols=arrival_cols, method=method)
+                                  order_col=None, tie_cols=arrival_cols, method=method, materialize=False)
     numbered = numbered.withColumn("_d", F.col(date_col).cast("date"))
     out = numbered.join(offsets.select("_d", "_issued"), "_d", "left")
     seq = F.col("_seq") + F.coalesce(F.col("_issued"), F.lit(0))

@@ -42,3 +42,45 @@ def test_domain_ids_unique_and_one_visit_per_event(spark):
     _, ctx, _ = context(spark, SF)
     m = QUERIES["visit_match_two_pass"](spark, SF)
     assert m.count() == m.select("source_row").distinct().count()
+
+
+def test_stream_takes_batch_options(spark, tmpdir_path):
+    """A raw feed: upper-case names, a renamed code column, text ids, no hospital."""
+    from dataclasses import replace
+
+    from clinloom.sources.batches import load_batches
+    from clinloom.spec import Batch
+    from clinloom.streaming.incremental import issued_per_date, read_output, stream_domain, stream_unmapped
+    spec, ctx, _ = context(spark, SF)
+    dom = spec.domains["condition"]
+    feed = load_batches(spark, replace(dom, batches=dom.batches[:1]))
+    raw = feed.drop("hosp", "_rid", "_batch").withColumnRenamed("condition_source_value", "DX").withColumn(
+        "PERSON_ID", F.concat(F.col("person_id").cast("string"), F.lit(".0")))
+    raw.repartition(2).write.parquet(f"{tmpdir_path}/source")
+    schema = spark.read.parquet(f"{tmpdir_path}/source").schema
+    n = stream_domain(spark, "condition", dom, ctx, source_dir=f"{tmpdir_path}/source", schema=schema,
+                      out_dir=f"{tmpdir_path}/out", state_dir=f"{tmpdir_path}/state",
+                      options=Batch("raw", hosp=2, options={"rename": {"dx": "condition_source_value"}, "int_person_id": True}))
+    out = read_output(spark, f"{tmpdir_path}/out")
+    ids = [r[0] for r in out.select("condition_occurrence_id").collect()]
+    assert n == len(ids) == len(set(ids)) > 0 and all(str(i).startswith("2") for i in ids)
+    assert out.where("condition_source_value is null").count() == 0
+    assert issued_per_date(spark, f"{tmpdir_path}/state").agg(F.sum("issued")).first()[0] >= n
+    assert stream_unmapped(spark, f"{tmpdir_path}/state", dom, ctx).agg(F.sum("n_rows")).first()[0] > 0
+
+
+def test_observation_streams_share_a_counter(spark, tmpdir_path):
+    from clinloom.sources.batches import load_batches
+    from clinloom.streaming.incremental import read_output, stream_observation
+    spec, ctx, _ = context(spark, SF)
+    dom = spec.domains["observation"]
+    for group in ("exam", "inpatient"):
+        load_batches(spark, dom, group=group).coalesce(1).write.parquet(f"{tmpdir_path}/{group}")
+    schema = spark.read.parquet(f"{tmpdir_path}/exam").schema
+    stream_observation(spark, dom, ctx, exam_dir=f"{tmpdir_path}/exam", inpatient_dir=f"{tmpdir_path}/inpatient",
+                       schema=schema, out_dir=f"{tmpdir_path}/out", state_dir=f"{tmpdir_path}/state")
+    out = read_output(spark, f"{tmpdir_path}/out")
+    batch = QUERIES["observation_build"](spark, SF)
+    cols = [c for c in batch.columns if c != "observation_id"]
+    assert out.select("observation_id").distinct().count() == out.count() == batch.count()
+    assert out.select(cols).exceptAll(batch.select(cols)).count() == 0

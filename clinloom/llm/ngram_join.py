@@ -337,7 +337,7 @@ def _most_met(met: DataFrame, percent: int, partners: int, seed: int) -> DataFra
     return best.select("a", F.explode(F.slice("s", 1, partners)).alias("p")).select("a", "p.b")
 
 
-def remaining(lists: DataFrame, percent: int, most: int) -> DataFrame:
+def remaining(lists: DataFrame, percent: int) -> DataFrame:
     """All candidates between components that are left."""
     size = lists.groupBy("token", "comp").agg(F.count("*").alias("size"))
     base = materialize(size.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("base")))
@@ -346,9 +346,10 @@ def remaining(lists: DataFrame, percent: int, most: int) -> DataFrame:
     b = lists.select("token", "in_base", *(F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "n", "pos", "asked")))
     met = a.join(b, "token").where((F.col("comp_a") != F.col("comp_b")) & (F.col("in_base") | (F.col("cls_a") < F.col("cls_b"))))
     met = met.where(_fits("n_a", "n_b", percent))
-    # each of a linked pair's first common tokens, as many as are asked for (``most`` at most),
-    # has fewer than ``most`` before it; so what lies behind it must nearly do
-    behind = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + (most - 1)
+    # of a linked pair's first common tokens, as many as are asked for, each has fewer common
+    # ones before it than that, and no more than its positions say; the rest lies behind it
+    before = F.least(F.col("asked_a") - 1, F.col("asked_b") - 1, "pos_a", "pos_b")
+    behind = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + before
     met = met.where((100 + percent) * behind >= percent * (F.col("n_a") + F.col("n_b")))
     # a pair may meet as (outside, base) in one list and as (base, outside) in another
     swap = F.col("cls_a") > F.col("cls_b")
@@ -374,7 +375,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     tried = links = labels = None
     for step in range(4):
         lists = labelled(lists, labels)
-        pairs = materialize(first_partners(lists, percent) if step == 0 else remaining(lists, percent, most) if step == 3
+        pairs = materialize(first_partners(lists, percent) if step == 0 else remaining(lists, percent) if step == 3
                             else further_partners(lists, percent, tried, links, step, 8))
         found = verify.links(pairs)
         tried, links = (pairs, found) if step == 0 else (tried.union(pairs), materialize(links.union(found)))

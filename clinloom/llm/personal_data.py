@@ -115,12 +115,14 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced by [KIND]; a null text stays null."""
-    marks = personal_data(docs).select("doc_id", F.col("text_hash").alias("_hash"), F.concat("base", "found").alias("_spans"))
-    marks = materialize(marks.where(F.size("_spans") > 0).groupBy("doc_id", "_hash").agg(F.first("_spans").alias("_spans")))
-    marks = marks.withColumnRenamed("doc_id", "_doc")
-    rows = docs.join(marks, docs["doc_id"].eqNullSafe(marks["_doc"]) & (F.xxhash64(docs["text"]) == marks["_hash"]), "left")
-    text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(masked(docs["text"], F.col("_spans")))
+    """``docs`` with personal data in ``text`` replaced by [KIND]; a null text stays null.
+    Base spans are found again in place, so that only the few added ones are joined."""
+    scanned = materialize(scan(docs))
+    found = materialize(found_spans(scanned, trusted_patterns(scanned)))
+    found = found.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("found").alias("_found"))
+    rows = docs.join(found, docs["doc_id"].eqNullSafe(found["_doc"]) & (F.xxhash64(docs["text"]) == found["_hash"]), "left")
+    rows = rows.withColumn("_spans", F.concat(base_spans(docs["text"]), F.coalesce("_found", F.array().cast(SPAN))))
+    text = F.when(docs["text"].isNotNull(), masked(docs["text"], F.col("_spans")))
     return rows.select(*(text.alias("text") if c == "text" else docs[c] for c in docs.columns))
 
 

@@ -155,7 +155,7 @@ def log_probs(asked: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
     return out.select("key", F.log("p").cast("float").alias("logp"))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, pa.Table, list[bytes]]]:
+def blocks(batches: Iterator[pa.RecordBatch], most: int, with_text: bool = False) -> Iterator[tuple[int, pa.Table, list[bytes]]]:
     """Runs of rows with about ``most`` bytes of text: name, rows without texts, texts."""
     import xxhash
     from pyspark import TaskContext
@@ -171,7 +171,7 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
 
     for b in batches:
         raw = arrow_columns(b, "text")[0].cast(pa.binary()).to_pylist()
-        rest, lo = b.select([n for n in b.schema.names if n != "text"]), 0
+        rest, lo = b.select([n for n in b.schema.names if with_text or n != "text"]), 0
         for i, t in enumerate(raw):
             texts.append(t)
             size += len(t)
@@ -185,8 +185,9 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
         yield block()
 
 
-def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The columns of ``docs`` but ``text``, n_bytes and perplexity, of every row."""
+def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float], block_bytes: int = BLOCK_BYTES,
+               with_text: bool = False) -> DataFrame:
+    """The columns of ``docs`` (``text`` only if asked for), n_bytes and perplexity, of every row."""
     spark = docs.sparkSession
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in blocks(batches, block_bytes):
@@ -203,7 +204,7 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
         import pyarrow.parquet as pq
 
         store, root = open_store(folder)
-        for name, rows, texts in blocks(batches, block_bytes):
+        for name, rows, texts in blocks(batches, block_bytes, with_text):
             sums, sizes = np.zeros(len(texts)), np.array([len(t) for t in texts], np.int64)
             if sizes.any():
                 found = pq.read_table(f"{root}/block={name}", filesystem=store, columns=["key", "logp"], partitioning=None)
@@ -218,25 +219,46 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
             ppl = np.exp(-sums / np.maximum(sizes, 1))
             yield from rows.append_column("n_bytes", pa.array(sizes)).append_column("perplexity", pa.array(ppl, mask=sizes == 0)).combine_chunks().to_batches()
 
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if with_text or f.name != "text")
     return map_arrow(docs, score, f"{kept}, n_bytes long, perplexity double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
-    """doc_id, lang, text_hash, n_bytes, perplexity, threshold, keep of every row of ``docs``."""
-    docs = id_text(docs, F.col("lang").cast("string").alias("lang")).withColumn("text_hash", F.xxhash64("text"))
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple]:
+    """(doc_id) of the trusted documents, and the model of their texts."""
     trusted = materialize(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
-    model = kneser_ney(count_grams(trusted_texts(docs, trusted)))
-    scored = materialize(perplexity(docs, model))
-    own = scored.where("perplexity is not null").join(trusted, "doc_id", "left_semi")
+    return trusted, kneser_ney(count_grams(trusted_texts(docs, trusted)))
+
+
+def judged(scored: DataFrame, trusted: DataFrame, quantile: float, margin: float) -> DataFrame:
+    """``scored`` (doc_id, lang, perplexity, ...) with threshold and keep."""
+    own = scored.where("perplexity is not null").join(trusted, "doc_id", "left_semi").select("lang", "perplexity")
     limit = F.percentile_approx("perplexity", quantile, 10_000) * margin
     of_lang = materialize(own.groupBy("lang").agg(limit.alias("own_limit")))  # a row per language
     overall = own.agg(limit.alias("limit")).first().limit
     named = of_lang.withColumnRenamed("lang", "named")
-    return scored.join(named, scored["lang"].eqNullSafe(named["named"]), "left").select(
-        "doc_id", "lang", "text_hash", "n_bytes", "perplexity", F.coalesce("own_limit", F.lit(overall).cast("double")).alias("threshold")).withColumn(
+    return scored.join(named, scored["lang"].eqNullSafe(named["named"]), "left").withColumn(
+        "threshold", F.coalesce("own_limit", F.lit(overall).cast("double"))).drop("named", "own_limit").withColumn(
         "keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
 
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
+    """doc_id, lang, n_bytes, perplexity, threshold, keep of every row of ``docs``."""
+    docs = id_text(docs, F.col("lang").cast("string").alias("lang"))
+    trusted, model = fit(docs, labels)
+    return judged(materialize(perplexity(docs, model)), trusted, quantile, margin)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``classify`` keeps.  The rows go
+    along with their scores, so none has to be found again by a join."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*(F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True) if c != "text"), F.col("text").isNull().alias("no_text"),
+                       "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
+    trusted, model = fit(rows, labels)
+    kept = judged(materialize(perplexity(rows, model, with_text=True)), trusted, quantile, margin).where("keep")
+    text = F.when(~F.col("no_text"), F.col("text")).alias("text")
+    return kept.select(*(text if c == "text" else F.col(o).alias(c) for c, o in zip(docs.columns, own, strict=True)))
+
+
 def op9_quality(spark, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -19,7 +19,7 @@ from clinloom.llm.common import table
 from clinloom.llm.ngram_join import one_of_each
 from clinloom.llm.packing import pack
 from clinloom.llm.personal_data import mask
-from clinloom.llm.quality import classify
+from clinloom.llm.quality import keep_good
 from clinloom.llm.toxicity import drop_toxic, train
 from clinloom.session import materialize
 
@@ -29,10 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = classify(docs, table(spark, sf_dir, "labels"))
-    gone = materialize(judged.where("not keep").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct())
-    same = docs["doc_id"].eqNullSafe(gone["_doc"]) & (F.xxhash64(docs["text"]) == gone["_hash"])
-    return docs.join(gone, same, "left_anti")
+    return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,3 +84,11 @@ def test_ownership_separates_copies(spark):
     assert [len(got[i].found) for i in (0, 3, 10, 11, 12)] == [0, 0, 1, 1, 0]
     assert (got[0].n_copied, got[0].n_live, got[10].n_live, got[12].n_live) == (1, 0, 1, 1)
     assert [s.kind for s in got[12].base] == ["assign"]
+
+
+def test_value_in_many_documents_of_one_source(spark):
+    copied, own = "ghp_0123Q456789XabcdZefAB", "ghp_zyxwvutsrq9876543210AA"
+    rows = [(i, f"page {i} says {copied} here", "hot") for i in range(12)] + [(100 + i, f"my {own} x", "hot") for i in range(12)]
+    got = {r.doc_id: r for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [(len(got[i].found), got[i].n_live, got[i].n_copied) for i in (0, 11, 100, 111)] == [(0, 0, 1), (0, 0, 1), (1, 1, 0), (1, 1, 0)]
+    assert [(v.owners, v.repositories) for i in (0, 100) for v in got[i].ownership] == [(1, 12), (1, 1)]

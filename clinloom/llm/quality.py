@@ -1,22 +1,28 @@
 """Quality by an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-The model is over bytes (order 5), so it needs no vocabulary and its keys are exact
-integers.  Training counts the n-grams of all trusted documents; lower orders count the
+There are two models: over bytes (order 5), for spelling, and over words (order 3), for
+words that do not belong together.  A byte key is exact; a word key has three word hashes
+of 21 bits each, so neither needs a vocabulary, and distinct word n-grams grow with the
+input.  The word model counts nine tenths of the trusted documents, by a hash of doc_id: its
+thresholds come from the others, as a counted document knows its own n-grams.  Training counts the n-grams of all trusted documents; lower orders count the
 distinct bytes in front.  Discounts come from the counts of counts, and each order joins
 its counts with its contexts' sums and with the next lower order, as tables dealt by key.
 
 Scoring reads the texts twice.  First each task lists the distinct n-grams of every
 block of documents.  The distinct n-grams of all blocks are joined with the tables of all
 orders (back-off where one is unseen), and the probabilities go back to each block
-as one file of a table partitioned by block.  Then each task scores its blocks with that
+as one file of a table partitioned by block.  Of word 3-grams only the seen ones go back;
+others are put together from the block's back-off weights and 2-grams.  Then each task scores its blocks with that
 file.  So neither the model nor a text is broadcast or shuffled, and a block's file
 is bounded by the block.  A block's name is a hash of its content: were it cut differently
 the second time, its file would be missing and the task would fail.  The input should be
 files or a written table.
 
-A document's perplexity is per byte.  Its language's threshold is a quantile of the
-perplexities of that language's trusted documents (of all trusted documents where a language has
-none) times a margin; documents above it are rejected.
+A document's perplexity is per byte, its word_perplexity per word, and repeats is the share
+of words that equal one of the two before.  A language's threshold of each is a quantile
+over that language's trusted documents (over all trusted documents where a language has
+none) times a margin, that of repeats a quarter at least; documents above one are rejected.
+``reason`` says why: repeated (words), bytes, words.
 
 Defined results: a null or empty text has no perplexity and is kept; repeated rows score
 alike; a null doc_id is scored but never trusted; a null language is one more language;
@@ -26,11 +32,12 @@ nothing is rejected; other columns are ignored; an empty table gives an empty on
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.llm.common import arrow_columns, id_text, map_arrow, table
@@ -41,6 +48,8 @@ from clinloom.session import checkpoint_dir, materialize
 ORDER = 5
 BLOCK_BYTES = 16_000_000
 _PAD = b"\n" * (ORDER - 1)
+WORD_ORDER, WORD_BITS = 3, 21
+_WORD = (1 << WORD_BITS) - 1
 
 
 def gram_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,6 +67,37 @@ def gram_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[inside], starts
 
 
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word n-gram that ends at each word of each text (a text begins after zeros, which
+    no word has), the texts' offsets in them and numbers of words."""
+    import xxhash
+
+    hashes: dict[bytes, int] = {}
+    cut = [t.split() for t in texts]
+    for w in {w for c in cut for w in c}:
+        hashes[w] = xxhash.xxh64_intdigest(w) % _WORD + 1
+    sizes = np.array([len(c) for c in cut], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    words = np.fromiter((hashes[w] for c in cut for w in c), np.int64, int(sizes.sum()))
+    at = np.arange(len(words)) - np.repeat(starts, sizes)
+    keys = words.copy()
+    for i in range(1, WORD_ORDER):
+        keys[i:] |= np.where(at[i:] >= i, words[:-i], 0) << (WORD_BITS * i)
+    return keys, starts, sizes
+
+
+@dataclass(frozen=True)
+class Grams:
+    """A kind of n-grams: its order, the bits of a symbol in a key, and its keys."""
+
+    order: int
+    bits: int
+    keys: Callable
+
+
+BYTES, WORDS = Grams(ORDER, 8, gram_keys), Grams(WORD_ORDER, WORD_BITS, word_keys)
+
+
 def chunks(texts: list[bytes], most: int = 500_000) -> Iterator[tuple[int, int]]:
     lo = size = 0
     for i, t in enumerate(texts):
@@ -83,7 +123,12 @@ def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return thinned.join(trusted, "doc_id", "left_semi")
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
+def held_out() -> Column:
+    """Trusted documents that the word model does not count."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0
+
+
+def count_grams(texts: DataFrame, kind: Grams = BYTES) -> DataFrame:
     """(key, c): the n-grams of the highest order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +141,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
         for b in batches:
             raw = arrow_columns(b, "text")[0].cast(pa.binary()).to_pylist()
             for lo, hi in chunks(raw):
-                held.append(np.unique(gram_keys(raw[lo:hi])[0], return_counts=True))
+                held.append(np.unique(kind.keys(raw[lo:hi])[0], return_counts=True))
                 if len(held) >= 32:
                     held[:] = [merged()]
                     if len(held[0][0]) > 2_000_000:
@@ -115,17 +160,17 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) if n[i] else 0.5 * i for i in (1, 2, 3))
 
 
-def kneser_ney(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame], float]:
+def kneser_ney(counts: DataFrame, kind: Grams = BYTES) -> tuple[list[DataFrame], list[DataFrame], float]:
     """Per order (from 1): probabilities (key, p) and back-off weights (key of the
     context, gamma); and the probability of an unseen byte."""
-    c = {ORDER: materialize(counts)}
-    for k in range(ORDER - 1, 0, -1):
-        c[k] = materialize(c[k + 1].groupBy(F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("key")).agg(F.count("*").alias("c")))
-    probs, weights, unseen = [], [], 1 / 256
-    for k in range(1, ORDER + 1):
+    c = {kind.order: materialize(counts)}
+    for k in range(kind.order - 1, 0, -1):
+        c[k] = materialize(c[k + 1].groupBy(F.col("key").bitwiseAND(F.lit((1 << kind.bits * k) - 1)).alias("key")).agg(F.count("*").alias("c")))
+    probs, weights, unseen = [], [], 0.5 ** kind.bits
+    for k in range(1, kind.order + 1):
         d1, d2, d3 = discounts(c[k])
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        rows = c[k].select("key", F.shiftright("key", 8).alias("context"), (F.col("c") - cut).alias("left"), cut.alias("cut"), "c")
+        rows = c[k].select("key", F.shiftright("key", kind.bits).alias("context"), (F.col("c") - cut).alias("left"), cut.alias("cut"), "c")
         sums = materialize(rows.groupBy("context").agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("gamma")))
         p = rows.join(sums, "context")
         if k == 1:
@@ -134,22 +179,23 @@ def kneser_ney(counts: DataFrame) -> tuple[list[DataFrame], list[DataFrame], flo
             unseen *= first.gamma if first else 1.0
         else:
             lower = probs[-1].select(F.col("key").alias("suffix"), F.col("p").alias("q"))
-            p = p.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(lower, "suffix").select(
+            p = p.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << kind.bits * (k - 1)) - 1))).join(lower, "suffix").select(
                 "key", (F.col("left") / F.col("total") + F.col("gamma") * F.col("q")).alias("p"))
         probs.append(materialize(p))
         weights.append(sums.select(F.col("context").alias("key"), "gamma"))
     return probs, weights, unseen
 
 
-def log_probs(asked: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float]) -> DataFrame:
-    """(key, logp) of n-grams of the highest order, with back-off."""
+def log_probs(asked: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float],
+              kind: Grams = BYTES, order: int = ORDER) -> DataFrame:
+    """(key, logp) of n-grams of the given order, with back-off."""
     probs, weights, unseen = model
     out = asked.select("key").withColumn("p", F.lit(unseen))
-    for k in range(1, ORDER + 1):
-        low = F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1))
+    for k in range(1, order + 1):
+        low = F.col("key").bitwiseAND(F.lit((1 << kind.bits * k) - 1))
         out = out.withColumn("g", low).join(probs[k - 1].select(F.col("key").alias("g"), F.col("p").alias("seen")), "g", "left")
         if k > 1:
-            out = out.withColumn("h", F.shiftright("g", 8)).join(weights[k - 1].withColumnRenamed("key", "h"), "h", "left")
+            out = out.withColumn("h", F.shiftright("g", kind.bits)).join(weights[k - 1].withColumnRenamed("key", "h"), "h", "left")
             out = out.withColumn("p", F.col("p") * F.coalesce("gamma", F.lit(1.0))).drop("h", "gamma")
         out = out.withColumn("p", F.coalesce("seen", "p")).drop("g", "seen")
     return out.select("key", F.log("p").cast("float").alias("logp"))
@@ -185,25 +231,70 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int, with_text: bool = False
         yield block()
 
 
+def word_scores(asked: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float]) -> DataFrame:
+    """(block, part, key, value) of the (block, part, key) asked for: part 3 has log p of the
+    seen 3-grams, part 2 log p of all 2-grams and part 1 log of their back-off weights."""
+    probs, weights, _ = model
+    pairs = materialize(asked.where("part = 2").select("block", "key"))
+    known = materialize(log_probs(pairs.select("key").distinct(), model, WORDS, 2).withColumnRenamed("logp", "value"))
+    seen = probs[-1].select("key", F.log("p").cast("float").alias("value"))
+    back = weights[-1].select("key", F.log("gamma").cast("float").alias("value"))
+    parts = [(3, asked.where("part = 3").select("block", "key").join(seen, "key")), (2, pairs.join(known, "key")), (1, pairs.join(back, "key"))]
+    rows = [x.select("block", F.lit(n).alias("part"), "key", "value") for n, x in parts]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+def word_logs(found: pa.Table, keys: np.ndarray) -> np.ndarray:
+    """log p of each of the (distinct) 3-grams, from a block's rows of ``word_scores``."""
+    part, key, value = (found[c].to_numpy() for c in ("part", "key", "value"))
+
+    def look(n: int, wanted: np.ndarray, otherwise: float) -> tuple[np.ndarray, np.ndarray]:
+        own = part == n
+        k, v = key[own], value[own].astype(np.float64)
+        order = np.argsort(k)
+        k, v = k[order], v[order]
+        at = np.minimum(np.searchsorted(k, wanted), max(len(k) - 1, 0))
+        hit = k[at] == wanted if len(k) else np.zeros(len(wanted), bool)
+        return hit, np.where(hit, v[at], otherwise) if len(k) else np.full(len(wanted), otherwise)
+
+    hit, seen = look(3, keys, 0.0)
+    backed = look(1, keys >> WORD_BITS, 0.0)[1] + look(2, keys & ((1 << 2 * WORD_BITS) - 1), 0.0)[1]
+    return np.where(hit, seen, backed)
+
+
 def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float], block_bytes: int = BLOCK_BYTES,
-               with_text: bool = False) -> DataFrame:
-    """The columns of ``docs`` (``text`` only if asked for), n_bytes and perplexity, of every row."""
+               with_text: bool = False, word_model: tuple[list[DataFrame], list[DataFrame], float] | None = None) -> DataFrame:
+    """The columns of ``docs`` (``text`` only if asked for), n_bytes and perplexity, of every
+    row; with a model of words also n_words, word_perplexity and repeats."""
     spark = docs.sparkSession
+
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in blocks(batches, block_bytes):
             parts = [np.unique(gram_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)]
             keys = np.unique(np.concatenate(parts))
             yield pa.record_batch([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["block", "key"])
 
+    def word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, _, texts in blocks(batches, block_bytes):
+            triples = np.unique(np.concatenate([np.unique(word_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)]))
+            pairs = np.unique(np.concatenate([triples >> WORD_BITS, triples & ((1 << 2 * WORD_BITS) - 1)]))
+            for part, keys in ((3, triples), (2, pairs)):
+                yield pa.record_batch([pa.array(np.full(len(keys), name)), pa.array(np.full(len(keys), part, np.int32)), pa.array(keys)],
+                                      names=["block", "part", "key"])
+
     asked = materialize(map_arrow(docs, grams, "block long, key long"))
     known = materialize(log_probs(asked.select("key").distinct(), model))
     folder = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
     asked.join(known, "key").repartition("block").write.partitionBy("block").parquet(folder)
+    word_folder = f"{folder}-words" if word_model else None
+    if word_folder:
+        word_scores(map_arrow(docs, word_grams, "block long, part int, key long"), word_model).repartition("block").write.partitionBy("block").parquet(word_folder)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
         store, root = open_store(folder)
+        word_store, word_root = open_store(word_folder) if word_folder else (None, None)
         for name, rows, texts in blocks(batches, block_bytes, with_text):
             sums, sizes = np.zeros(len(texts)), np.array([len(t) for t in texts], np.int64)
             if sizes.any():
@@ -217,35 +308,65 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
                     total = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(keys, distinct)][at])])
                     sums[lo:hi] = total[starts + sizes[lo:hi]] - total[starts]
             ppl = np.exp(-sums / np.maximum(sizes, 1))
-            yield from rows.append_column("n_bytes", pa.array(sizes)).append_column("perplexity", pa.array(ppl, mask=sizes == 0)).combine_chunks().to_batches()
+            rows = rows.append_column("n_bytes", pa.array(sizes)).append_column("perplexity", pa.array(ppl, mask=sizes == 0))
+            if word_folder:
+                sums, again, sizes = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+                cuts = [(lo, hi, *word_keys(texts[lo:hi])) for lo, hi in chunks(texts)]
+                if any(len(c[2]) for c in cuts):
+                    found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["part", "key", "value"], partitioning=None)
+                    triples = np.unique(np.concatenate([c[2] for c in cuts]))
+                    logs = word_logs(found, triples)
+                    for lo, hi, asked, starts, n in cuts:
+                        sizes[lo:hi] = n
+                        word = asked & _WORD
+                        same = (word == (asked >> WORD_BITS) & _WORD) | (word == asked >> 2 * WORD_BITS)
+                        for out, x in ((sums, logs[np.searchsorted(triples, asked)]), (again, same)):
+                            total = np.concatenate([[0.0], np.cumsum(x)])
+                            out[lo:hi] = total[starts + n] - total[starts]
+                none = sizes == 0
+                rows = rows.append_column("n_words", pa.array(sizes))
+                rows = rows.append_column("word_perplexity", pa.array(np.exp(-sums / np.maximum(sizes, 1)), mask=none))
+                rows = rows.append_column("repeats", pa.array(again / np.maximum(sizes, 1), mask=none))
+            yield from rows.combine_chunks().to_batches()
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if with_text or f.name != "text")
-    return map_arrow(docs, score, f"{kept}, n_bytes long, perplexity double")
+    more = ", n_words long, word_perplexity double, repeats double" if word_model else ""
+    return map_arrow(docs, score, f"{kept}, n_bytes long, perplexity double{more}")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple]:
-    """(doc_id) of the trusted documents, and the model of their texts."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple, tuple]:
+    """(doc_id) of the trusted documents, and the byte and word models of their texts."""
     trusted = materialize(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
-    return trusted, kneser_ney(count_grams(trusted_texts(docs, trusted)))
+    texts = trusted_texts(docs, trusted)
+    return trusted, kneser_ney(count_grams(texts)), kneser_ney(count_grams(texts.where(~held_out()), WORDS), WORDS)
+
+
+MEASURES = (("perplexity", "threshold"), ("word_perplexity", "word_threshold"), ("repeats", "repeat_threshold"))
 
 
-def judged(scored: DataFrame, trusted: DataFrame, quantile: float, margin: float) -> DataFrame:
-    """``scored`` (doc_id, lang, perplexity, ...) with threshold and keep."""
-    own = scored.where("perplexity is not null").join(trusted, "doc_id", "left_semi").select("lang", "perplexity")
-    limit = F.percentile_approx("perplexity", quantile, 10_000) * margin
-    of_lang = materialize(own.groupBy("lang").agg(limit.alias("own_limit")))  # a row per language
-    overall = own.agg(limit.alias("limit")).first().limit
-    named = of_lang.withColumnRenamed("lang", "named")
-    return scored.join(named, scored["lang"].eqNullSafe(named["named"]), "left").withColumn(
-        "threshold", F.coalesce("own_limit", F.lit(overall).cast("double"))).drop("named", "own_limit").withColumn(
-        "keep", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
+def judged(scored: DataFrame, trusted: DataFrame, quantile: float, margin: float, least_repeats: float = 0.25) -> DataFrame:
+    """``scored`` (doc_id, lang, perplexity, ...) with the thresholds, reason and keep."""
+    own = scored.where("perplexity is not null").join(trusted, "doc_id", "left_semi").select(
+        "lang", "perplexity", F.when(held_out(), F.col("word_perplexity")).alias("word_perplexity"), "repeats")
+    limit = [(F.percentile_approx(m, quantile, 10_000) * margin).alias(t) for m, t in MEASURES]
+    of_lang = materialize(own.groupBy("lang").agg(*limit))  # a row per language
+    overall = own.agg(*limit).first()
+    named = of_lang.select(F.col("lang").alias("named"), *(F.col(t).alias(f"own_{t}") for _, t in MEASURES))
+    out = scored.join(named, scored["lang"].eqNullSafe(named["named"]), "left")
+    for _, t in MEASURES:
+        out = out.withColumn(t, F.coalesce(f"own_{t}", F.lit(overall[t]).cast("double"))).drop(f"own_{t}")
+    out = out.drop("named").withColumn("repeat_threshold", F.when(F.col("repeat_threshold").isNotNull(), F.greatest("repeat_threshold", F.lit(least_repeats))))
+    reason = (F.when(F.col("repeats") > F.col("repeat_threshold"), "repeated").when(F.col("perplexity") > F.col("threshold"), "bytes")
+              .when(F.col("word_perplexity") > F.col("word_threshold"), "words"))
+    return out.withColumn("reason", reason).withColumn("keep", F.col("reason").isNull())
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
-    """doc_id, lang, n_bytes, perplexity, threshold, keep of every row of ``docs``."""
+    """doc_id, lang, n_bytes, perplexity, n_words, word_perplexity, repeats, their
+    thresholds, reason and keep of every row of ``docs``."""
     docs = id_text(docs, F.col("lang").cast("string").alias("lang"))
-    trusted, model = fit(docs, labels)
-    return judged(materialize(perplexity(docs, model)), trusted, quantile, margin)
+    trusted, model, word_model = fit(docs, labels)
+    return judged(materialize(perplexity(docs, model, word_model=word_model)), trusted, quantile, margin)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
@@ -254,8 +375,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margi
     own = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.select(*(F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True) if c != "text"), F.col("text").isNull().alias("no_text"),
                        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
-    trusted, model = fit(rows, labels)
-    kept = judged(materialize(perplexity(rows, model, with_text=True)), trusted, quantile, margin).where("keep")
+    trusted, model, word_model = fit(rows, labels)
+    kept = judged(materialize(perplexity(rows, model, with_text=True, word_model=word_model)), trusted, quantile, margin).where("keep")
     text = F.when(~F.col("no_text"), F.col("text")).alias("text")
     return kept.select(*(text if c == "text" else F.col(o).alias(c) for c, o in zip(docs.columns, own, strict=True)))
 

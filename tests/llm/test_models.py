@@ -174,3 +174,31 @@ def test_pipeline_stages(spark, sf):
     assert len(clean - left) <= 4
     packed = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == left
+
+
+def test_word_model_grows_and_names_repeated_words(spark, sf):
+    docs, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r.doc_id: r for r in quality.classify(docs, lab).collect()}
+    assert (got[403].keep, got[403].reason) == (False, "repeated")
+    assert got[400].keep and got[400].repeats is None and sum(r.reason == "repeated" for r in got.values()) == 1
+    texts = quality.id_text(docs.where("doc_id < 400"))
+    sizes = [quality.count_grams(texts.where(F.col("doc_id") < n), quality.WORDS).count() for n in (100, 200, 400)]
+    assert sizes[1] > 1.7 * sizes[0] and sizes[2] > 1.7 * sizes[1]
+
+
+def test_word_perplexity_against_plain_model(spark, sf):
+    rows, _ = corpus()
+    texts = [t.encode() for i, t, *_ in rows if t and i is not None and i < 200]
+    keys, starts, sizes = quality.word_keys([b"a b c d", b"", b"a"])
+    assert starts.tolist() == [0, 4, 4] and sizes.tolist() == [4, 0, 1] and keys[0] == keys[4] and len(set(keys.tolist())) == 4
+    docs = quality.id_text(spark.read.parquet(f"{sf}/documents.parquet"))
+    train = docs.where("doc_id < 200")
+    model = quality.kneser_ney(quality.count_grams(train), quality.BYTES)
+    words = quality.kneser_ney(quality.count_grams(train, quality.WORDS), quality.WORDS)
+    got = {r.doc_id: r.word_perplexity for r in quality.perplexity(docs, model, word_model=words).collect()}
+    wanted = {i: quality.word_keys([t.encode()])[0] for i, t, *_ in rows if t and i is not None}
+    asked = spark.createDataFrame([(int(k),) for k in {int(k) for v in wanted.values() for k in v}], "key long")
+    logp = {r.key: r.logp for r in quality.log_probs(asked, words, quality.WORDS, 3).collect()}
+    assert len(texts) == 200
+    for i, v in wanted.items():
+        assert math.isclose(got[i], math.exp(-sum(logp[int(k)] for k in v) / len(v)), rel_tol=1e-4)

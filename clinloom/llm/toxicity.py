@@ -2,7 +2,7 @@
 
 Training: the documents of the labelled rows given (at most about ``most_labelled`` of
 them, chosen by a hash of their id) are counted by token and class, one count per document and
-one document of a group of copies; the log-odds of a token between the classes has an informative Dirichlet prior, ``prior``
+one document of each group of equal words (case and marks aside); the log-odds of a token between the classes has an informative Dirichlet prior, ``prior``
 tokens spread like the whole corpus and half a token each, and its z-score says whether it is significant.
 The ``most_tokens`` most significant toxic tokens carry their log-odds; all other tokens
 share one slightly negative weight, that of the rest of the mass.  A token is a word and,
@@ -124,32 +124,19 @@ def labelled(labels: DataFrame, usable: Column, most: int) -> DataFrame:
 
 
 def one_of_copies(training: DataFrame) -> DataFrame:
-    """(doc_id, toxic) of one document for each smallest hash of two neighbouring words
-    and class: near copies mostly share it, so a copied text is not many witnesses."""
+    """(doc_id, toxic) of one document for each sequence of words (128-bit hash) and class,
+    so a copied text is not many witnesses.  Documents that differ in a word all count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        class Hash(dict):
-            def __missing__(self, word: bytes) -> int:
-                if len(self) > 200_000:
-                    self.clear()
-                self[word] = h = xxhash.xxh64_intdigest(word)
-                return h
-
-        get = Hash().__getitem__
         for b in batches:
             doc, text, toxic = arrow_columns(b, "doc_id", "text", "toxic")
-            least = []
-            for t in each_text(text):
-                w = words(t)
-                h = np.fromiter(map(get, w), np.uint64, len(w))
-                pair = (h[1:] ^ (h[:-1] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F) if len(h) > 1 else h
-                least.append(int(pair.min()) >> 1 if len(pair) else -1)
-            yield pa.record_batch([doc, toxic, pa.array(least, pa.int64())], names=["doc_id", "toxic", "least"])
+            same = [xxhash.xxh3_128_digest(b" ".join(words(t))) for t in each_text(text)]
+            yield pa.record_batch([doc, toxic, pa.array(same, pa.binary())], names=["doc_id", "toxic", "same"])
 
     kind = training.schema["doc_id"].dataType.simpleString()
-    return map_arrow(training, run, f"doc_id {kind}, toxic int, least long").groupBy("least", "toxic").agg(
+    return map_arrow(training, run, f"doc_id {kind}, toxic int, same binary").groupBy("same", "toxic").agg(
         F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
 
 

@@ -202,3 +202,10 @@ def test_word_perplexity_against_plain_model(spark, sf):
     assert len(texts) == 200
     for i, v in wanted.items():
         assert math.isclose(got[i], math.exp(-sum(logp[int(k)] for k in v) / len(v)), rel_tol=1e-4)
+
+
+def test_only_equal_words_are_copies(spark):
+    shared = "licensed under the terms of the zebra license "
+    rows = [(i, shared + f"w{i} x{i} y{i}", i % 2) for i in range(40)] + [(100 + i, "Same words, here" if i % 2 else "same WORDS here!", 0) for i in range(6)]
+    got = toxicity.one_of_copies(spark.createDataFrame(rows, "doc_id long, text string, toxic int")).collect()
+    assert sorted(r.doc_id for r in got) == [*range(40), 100]

@@ -4,7 +4,7 @@ Training: the documents of the labelled rows given (at most about ``most_labelle
 them, chosen by a hash of their id) are counted by token and class, one count per document and
 one document of each group of equal words (case and marks aside); the log-odds of a token between the classes has an informative Dirichlet prior, ``prior``
 tokens spread like the whole corpus and half a token each, and its z-score says whether it is significant.
-The ``most_tokens`` most significant toxic tokens carry their log-odds; all other tokens
+All significant toxic tokens carry their log-odds, however many they are; all other tokens
 share one slightly negative weight, that of the rest of the mass.  A token is a word and,
 if the word is not significant by itself, its first five letters.
 
@@ -168,7 +168,7 @@ def count_tokens(training: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def token_weights(counts: DataFrame, prior: float, least_z: float, least_odds: float, most_tokens: int) -> tuple[dict[bytes, float], list, float]:
+def token_weights(counts: DataFrame, prior: float, least_z: float, least_odds: float) -> tuple[dict[bytes, float], list, float]:
     """Weights of the significant tokens, their (weight, clean share) and the rest's weight."""
     n = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
     nt, nc = float(n.t or 0), float(n.c or 0)
@@ -179,7 +179,7 @@ def token_weights(counts: DataFrame, prior: float, least_z: float, least_odds: f
     odds = F.log(t / (nt + prior - t)) - F.log(c / (nc + prior - c))
     z = odds / F.sqrt(1 / t + 1 / c)
     best = (counts.where("toxic >= 3").select("token", "toxic", "clean", odds.alias("odds"), c.alias("c"), z.alias("z"))
-            .where((F.col("z") >= least_z) & (F.col("odds") >= least_odds)).orderBy(F.desc("z"), "token").limit(most_tokens).collect())
+            .where((F.col("z") >= least_z) & (F.col("odds") >= least_odds)).orderBy(F.desc("z"), "token").collect())
     weights = {bytes(r.token): r.odds for r in best}
     top = [(r.odds, r.c / (nc + prior)) for r in best]
     mass_t, mass_c = (sum(r[k] for r in best) / m for k, m in (("toxic", nt), ("clean", nc)))
@@ -215,13 +215,13 @@ def fit_curve(bins: list[tuple[float, int, int]], steps: int = 50) -> tuple[floa
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, most_labelled: int = 200_000, prior: float = 10.0,
-          least_z: float = 3.5, least_odds: float = 2.0, most_tokens: int = 20_000) -> Model:
+          least_z: float = 3.5, least_odds: float = 2.0) -> Model:
     chosen = labelled(labels, usable, most_labelled)
     # at most about ``most_labelled`` rows of two numbers: a proven bound
     docs = id_text(docs)
     chosen = materialize(one_of_copies(docs.join(F.broadcast(chosen), "doc_id")))
     training = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    weights, top, rest = token_weights(materialize(count_tokens(training)), prior, least_z, least_odds, most_tokens)
+    weights, top, rest = token_weights(materialize(count_tokens(training)), prior, least_z, least_odds)
     if not weights:
         return Model()
     model = Model(weights, rest, solve_rate(top, rest))

@@ -209,3 +209,10 @@ def test_only_equal_words_are_copies(spark):
     rows = [(i, shared + f"w{i} x{i} y{i}", i % 2) for i in range(40)] + [(100 + i, "Same words, here" if i % 2 else "same WORDS here!", 0) for i in range(6)]
     got = toxicity.one_of_copies(spark.createDataFrame(rows, "doc_id long, text string, toxic int")).collect()
     assert sorted(r.doc_id for r in got) == [*range(40), 100]
+
+
+def test_all_significant_tokens_carry_weight(spark):
+    counts = spark.range(30_000).select(F.col("id").cast("string").cast("binary").alias("token"), F.lit(600).cast("long").alias("toxic"), F.lit(0).cast("long").alias("clean"))
+    clean = spark.range(30_000).select(F.concat(F.lit("c"), F.col("id")).cast("binary").alias("token"), F.lit(0).cast("long").alias("toxic"), F.lit(600).cast("long").alias("clean"))
+    weights, top, rest = toxicity.token_weights(counts.union(clean), 10.0, 3.5, 2.0)
+    assert len(weights) == len(top) == 30_000 and rest < 0

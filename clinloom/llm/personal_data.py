@@ -8,6 +8,7 @@ scores 0; the others begin at 0.  In each round a pattern's confidence is the su
 distinct instances' scores over their number plus one, and an open instance scores
 1 - prod(1 - confidence) over its patterns.  Patterns of high confidence, held up by
 several instances, mark the unseen identifiers behind them as spans of kind ``id``.
+Words and values may be of any length; the graph knows a value by its SHA-256.
 
 The text is read once; what is kept per document is its spans and labelled values.  All
 counts are aggregates with map-side combination over distinct edges, so a common label
@@ -36,9 +37,9 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"  # shorter chains fail the length test anyway
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-WORD = r"\p{L}[\p{L}\p{N}_'-]{0,39}+"
+WORD = r"\p{L}[\p{L}\p{N}_'-]*+"
 LABEL = rf"(?:(?<![\p{{L}}\p{{N}}_'-]){WORD}\x20)?(?<![\p{{L}}\p{{N}}_'-]){WORD}\x20?[:=#]"
-VALUE = r"[\x20\"']{0,3}+[A-Za-z0-9+(][A-Za-z0-9@._%+()/-]{2,99}+"
+VALUE = r"[\x20\"']{0,3}+[A-Za-z0-9+(][A-Za-z0-9@._%+()/-]{2,}+"
 
 
 def _digits(value: Column) -> Column:
@@ -82,7 +83,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def trusted_patterns(scanned: DataFrame, rounds: int = 3, confidence: float = 0.7, support: float = 3.0) -> DataFrame:
     """(pattern, confidence, weight) of the patterns that may mark unseen identifiers."""
-    cues = scanned.select(F.explode("cues").alias("c")).select("c.*")
+    cues = scanned.select(F.explode("cues").alias("c")).select("c.pattern", F.sha2("c.value", 256).alias("value"), "c.seed", "c.open")
     edges = materialize(cues.groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.max("open").alias("open")))
     scored = edges.withColumn("score", F.col("seed").cast("double"))
     for step in range(rounds):

@@ -92,3 +92,16 @@ def test_value_in_many_documents_of_one_source(spark):
     got = {r.doc_id: r for r in secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert [(len(got[i].found), got[i].n_live, got[i].n_copied) for i in (0, 11, 100, 111)] == [(0, 0, 1), (0, 0, 1), (1, 1, 0), (1, 1, 0)]
     assert [(v.owners, v.repositories) for i in (0, 100) for v in got[i].ownership] == [(1, 12), (1, 1)]
+
+
+def test_long_values_and_labels(spark):
+    long_word, head = "kennung" * 20, "Ab1-" * 60
+    texts = [f"{long_word}: u{i}@mail.com and so" for i in range(8)] + [f"{long_word}: {head}{i} is new" for i in range(4)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    scanned = personal_data.scan(docs)
+    assert scanned.selectExpr("explode(cues) c").where("c.open").select("c.value").distinct().count() == 4
+    weight = {r.pattern: r.weight for r in personal_data.trusted_patterns(scanned).collect()}[f"{long_word}:"]
+    assert 8 < weight <= 12
+    masked = {r.doc_id: r.text for r in personal_data.mask(docs).collect()}
+    assert all(masked[i] == f"{long_word}: [ID] is new" for i in range(8, 12))
+    assert personal_data.mask(spark.createDataFrame([(1, "a" * 300_000 + " " + "1" * 300_000 + ": " + "b=" * 50_000)], "doc_id long, text string")).count() == 1

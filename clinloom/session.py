@@ -62,3 +62,15 @@ def materialize(df):
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df) -> None:
+    """Remove the written table behind a result of ``materialize`` whose last reader is
+    done (later results that were computed from it must be written themselves)."""
+    spark = df.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if path.rsplit("/", 1)[-1].startswith("table-") and root.rsplit("/", 1)[-1] in path:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

@@ -75,7 +75,7 @@ class Codec:
                 if (l := self.ranks.get(t[:i])) is not None and (r := self.ranks.get(t[i:])) is not None]
         l, r, m = np.array(rows, np.int32).reshape(-1, 3).T
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self._load("merges", pa.table({"l": l, "r": r, "merged": m.astype(np.int64)}))
         self._load("vocab", pa.table({"tok": np.array(list(self.ranks.values()), np.int32),
                                       "bytes": [t.decode("latin-1") for t in self.ranks]}))  # a character for a byte
@@ -201,15 +201,17 @@ def encode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None =
 
 
 def decoded_texts(c: Codec, ids: list[np.ndarray], most: int = 200_000) -> list[bytes]:
-    """Decode in runs of about ``most`` ids."""
-    out: list[bytes] = []
+    """Decode in runs of about ``most`` ids; a longer text in ranges of positions."""
+    ranges = [(i, x[p:p + most]) for i, x in enumerate(ids) for p in range(0, max(len(x), 1), most)]
+    out = [[] for _ in ids]
     lo = size = 0
-    for i, x in enumerate(ids):
-        if i > lo and size + len(x) > most:
-            out += c.decode(ids[lo:i])
-            lo, size = i, 0
+    for hi, (_, x) in enumerate([*ranges, (0, ids[:0])]):
+        if hi > lo and (size + len(x) > most or hi == len(ranges)):
+            for (i, _), b in zip(ranges[lo:hi], c.decode([x for _, x in ranges[lo:hi]]), strict=True):
+                out[i].append(b)
+            lo, size = hi, 0
         size += len(x)
-    return out + c.decode(ids[lo:])
+    return [b"".join(b) for b in out]
 
 
 def decode(rows: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -34,7 +34,6 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom.llm.common import arrow_columns, map_arrow, table
+from clinloom.llm.vector_blocks import floored
 from clinloom.session import discard, materialize
 
 CLUSTERS, ROUNDS, SCALE, DIM, SEED = 40, 5, 256, 64, "2"
@@ -68,14 +68,6 @@ def unpack(packed: list[bytes], dim: int) -> np.ndarray:
                      for p in packed], object).reshape(-1, dim)
 
 
-def floored(values: np.ndarray, scale: int) -> np.ndarray:
-    """floor(scale * x) of doubles, as Python integers where they leave 32 bits."""
-    if values.size and np.abs(values).max() * float(scale) >= 2.0**31:
-        exact = [math.floor(Fraction(v) * scale) for v in values.ravel().tolist()]  # beyond doubles too
-        return np.array(exact, object).reshape(values.shape)
-    return np.floor(values * scale).astype(np.int64)
-
-
 def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Squared distances of the rows of x to those of c, exactly."""
     top = max((int(np.abs(a).max()) if a.size else 0) for a in (x, c))

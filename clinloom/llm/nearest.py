@@ -8,7 +8,8 @@ are computed again from the original vectors in double precision; heaps keep the
 As the bounds hold, no neighbour is lost: recall is 1.
 
 Defined results: see ``vector_blocks``; zero vectors take no part either; ties go to the
-smaller vec_id; with fewer than k candidates all are returned.
+smaller vec_id; with fewer than k candidates all are returned; a score that leaves the range
+of doubles is infinite.
 """
 from __future__ import annotations
 
@@ -32,16 +33,20 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def nearest_tile(k: int):
     def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray) -> Iterator[tuple[int, list[tuple]]]:
-        cq, cs, cn, ce = quantise(c)
+        with np.errstate(over="ignore", invalid="ignore"):
+            yield from scored(qid, q, cid, c, *quantise(c))
+
+    def scored(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, cq: np.ndarray, cs: np.ndarray,
+               cn: np.ndarray, ce: np.ndarray) -> Iterator[tuple[int, list[tuple]]]:
         for lo in range(0, len(q), 256):
             ids, part = qid[lo:lo + 256], q[lo:lo + 256]
             qq, qs, qn, qe = quantise(part)
             near = (qq @ cq.T).astype(np.float64) * qs[:, None] * cs
             err = (qn[:, None] * ce + qe[:, None] * (cn + ce)) * (1 + 1e-9) + 1e-12 * qn[:, None] * cn
             own = ids[:, None] == cid
-            low = np.where(own, -np.inf, near - err)
+            low = np.where(own | ~np.isfinite(near - err), -np.inf, near - err)
             kth = np.partition(low, len(cid) - k, axis=1)[:, len(cid) - k] if len(cid) > k else np.full(len(ids), -np.inf)
-            rows, cols = np.nonzero((near + err >= kth[:, None]) & ~own)
+            rows, cols = np.nonzero(~(near + err < kth[:, None]) & ~own)  # also where the bound is no number
             ends = np.searchsorted(rows, np.arange(len(ids) + 1))
             for i, query in enumerate(ids.tolist()):
                 at = cols[ends[i]:ends[i + 1]]

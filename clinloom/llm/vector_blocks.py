@@ -12,7 +12,10 @@ Vectors of different lengths are never compared.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator
+from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +26,9 @@ from clinloom.llm.common import map_arrow
 from clinloom.session import materialize
 
 
+WIDEST = 10**38 - 1  # integer scores beyond it count as it
+
+
 def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, v): one row per id, usable vectors only, as doubles."""
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -31,6 +37,14 @@ def clean(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             .groupBy("vec_id").agg(F.min("v").alias("v")))
 
 
+def floored(values: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) of doubles, as Python integers where they leave 32 bits."""
+    if values.size and np.abs(values).max() * float(scale) >= 2.0**31:
+        exact = [math.floor(Fraction(v) * scale) for v in values.ravel().tolist()]  # beyond doubles too
+        return np.array(exact, object).reshape(values.shape)
+    return np.floor(values * scale).astype(np.int64)
+
+
 def _blocks(rows: DataFrame, count: int, block_rows: int, prefix: str) -> tuple[DataFrame, int]:
     n = max(1, -(-count // block_rows))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
@@ -40,7 +54,8 @@ def _blocks(rows: DataFrame, count: int, block_rows: int, prefix: str) -> tuple[
 
 def search(vectors: DataFrame, is_query: Column, k: int, block_rows: int, score_type: str,
            tile: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], Iterator[tuple[int, list[tuple]]]]) -> DataFrame:
-    """The ``k`` best of each query over all tiles: query_id, rank, vec_id, score.
+    """The ``k`` best of each query over all tiles: query_id, rank, vec_id, score (an
+    integer score that ``score_type`` cannot hold is ranked and then null).
 
     ``tile(query ids, queries, candidate ids, candidates)`` yields (query id,
     [(-score, vec_id), ...]) with at least the tile's k best of each query."""
@@ -56,7 +71,9 @@ def search(vectors: DataFrame, is_query: Column, k: int, block_rows: int, score_
         def rows_out() -> pa.RecordBatch:
             flat = [(q, v, -s) for q, r in best.items() for s, v in r]
             best.clear()
-            kind = pa.float64() if score_type == "double" else pa.int64()
+            kind = pa.float64()
+            if score_type != "double":
+                kind, flat = pa.decimal128(38, 0), [(q, v, Decimal(s)) for q, v, s in flat]
             return pa.record_batch([pa.array([f[i] for f in flat], t) for i, t in enumerate((pa.int64(), pa.int64(), kind))],
                                    names=["query_id", "vec_id", "score"])
 
@@ -73,7 +90,8 @@ def search(vectors: DataFrame, is_query: Column, k: int, block_rows: int, score_
         if best:
             yield rows_out()
 
-    found = map_arrow(tiles.select("dim", "qids", "qv", "cids", "cv"), run, f"query_id long, vec_id long, score {score_type}")
+    held = "double" if score_type == "double" else "decimal(38,0)"
+    found = map_arrow(tiles.select("dim", "qids", "qv", "cids", "cv"), run, f"query_id long, vec_id long, score {held}")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", F.expr(f"try_cast(score AS {score_type})").alias("score")))

@@ -6,6 +6,7 @@ from fractions import Fraction
 import numpy as np
 
 from clinloom.llm import drift_clustering as D
+from clinloom.llm.vector_blocks import floored
 
 ROWS = [(i, [float((i * 7 + j * j) % 13 - 6) / 5 for j in range(64)]) for i in range(60)]
 ODD = [(62, None), (63, [1.0] * 63), (64, [float("nan")] * 64), (65, [1.0] * 63 + [None]), (66, [math.inf] * 64),
@@ -77,4 +78,4 @@ def test_exact_products():
     assert D.unpack(D.pack(big), 2).tolist() == big.tolist()
     small = np.array([[-5, 2**30]])
     assert D.unpack(D.pack(small) + D.pack(big), 2).tolist() == [[-5, 2**30], *big.tolist()]
-    assert D.floored(np.array([[-0.001, 1e300]]), 256).tolist() == [[-1, int(1e300) * 256]]
+    assert floored(np.array([[-0.001, 1e300]]), 256).tolist() == [[-1, int(1e300) * 256]]

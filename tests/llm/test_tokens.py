@@ -63,6 +63,16 @@ def test_codec_random_strings(library):
         assert [np.frombuffer(g, kind).tolist() if kind else g.tolist()[:-1] for g in got] == want
 
 
+def test_long_texts_decode_in_ranges(tmp_path, monkeypatch):
+    """A document of millions of ids; nothing is written beside it."""
+    monkeypatch.chdir(tmp_path)
+    c = byte_bpe.codec(None, None)
+    ids = np.arange(3_000_000, dtype=np.int32) % 50_000
+    out = byte_bpe.decoded_texts(c, [ids[:0], ids[:3], ids, ids[:5]])
+    assert out[2] == b"".join(map(c.names.__getitem__, ids.tolist())) and out[0] == b"" and out[1] + out[3][len(out[1]):] == out[3]
+    assert not list(tmp_path.iterdir())
+
+
 def test_decode_rejects_unknown_ids(spark):
     with pytest.raises(Exception, match="outside the vocabulary"):
         byte_bpe.decode(spark.createDataFrame([(1, [60000])], "doc_id long, ids array<int>")).collect()

@@ -1,4 +1,7 @@
 """Vector searches against brute force."""
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +33,7 @@ def brute(rows, k, step, integer):
     x = np.floor(1024 * x).astype(np.int64) if integer else x
     out = set()
     for q in ids[ids % step == 0]:
-        s = (x * x[ids == q]).sum(axis=1)
+        s = np.cumsum(x * x[ids == q], axis=1)[:, -1]  # summed in the operator's order
         order = [j for j in np.lexsort((ids, -s)) if ids[j] != q][:k]
         out |= {(int(q), r + 1, int(ids[j]), s[j].item()) for r, j in enumerate(order)}
     return out
@@ -56,6 +59,28 @@ def test_few_candidates_and_empty(spark):
     assert nearest.nearest(few.limit(0), ask).count() == bit_sliced.top_k(few.limit(0), ask).count() == 0
 
 
+def test_large_components(spark):
+    """Scores beyond 64 bits are exact inside and null outside; none wraps."""
+    rng = np.random.default_rng(7)
+    x = [[float(v) for v in rng.integers(-5, 6, 16) * 10.0**rng.integers(0, e, 16)] for e in (1, 1, 4, 7, 7, 12, 12, 30) for _ in range(6)]
+    x += [x[20]] * 3 + [[1e300] * 16, [-1e300] * 16]
+    rows = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = bit_sliced.top_k(rows, F.col("vec_id") % 4 == 0, 10, 3, 16).collect()
+    whole = [[math.floor(1024 * Fraction(v)) for v in r] for r in x]
+    expected = []
+    limit = 10**38 - 1
+    for q in range(0, len(x), 4):
+        s = [(min(limit, max(-limit, sum(a * b for a, b in zip(whole[q], w, strict=True)))), j) for j, w in enumerate(whole) if j != q]
+        best = sorted(s, key=lambda t: (-t[0], t[1]))[:10]
+        expected += [(q, r + 1, j, v if -2**63 <= v < 2**63 else None) for r, (v, j) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(expected)
+    near = nearest.nearest(rows.where("vec_id < 48"), F.col("vec_id") % 4 == 0, 10, 16).collect()
+    exact = np.array(x[:48])
+    for r in near:
+        assert r.score == np.cumsum(exact[r.query_id] * exact[r.vec_id])[-1]
+    assert nearest.nearest(rows, F.col("vec_id") % 4 == 0, 10, 16).count() == 10 * len(range(0, len(x), 4))
+
+
 def test_slices_add_exactly():
     rng = np.random.default_rng(4)
     x, w = rng.integers(-700, 700, (130, 5)), rng.integers(-900, 900, (7, 5))

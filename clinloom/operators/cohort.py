@@ -32,9 +32,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 # ---------------------------------------------------------------- filters
+def before_year(date_col: str, cutoff_year: int) -> Column:
+    return F.col(date_col).cast("date") < F.lit(date(cutoff_year, 1, 1))
+
+
 def apply_cutoff(df: DataFrame, *, date_col: str, cutoff_year: int) -> DataFrame:
     """keep ``date < Jan 1 of cutoff_year``; a null date is dropped."""
-    return df.where(F.col(date_col).cast("date") < F.lit(date(cutoff_year, 1, 1)))
+    return df.where(before_year(date_col, cutoff_year))
 
 
 def date_window(df: DataFrame, *, date_col: str, start: str, end: str) -> DataFrame:
@@ -43,15 +47,23 @@ def date_window(df: DataFrame, *, date_col: str, start: str, end: str) -> DataFr
     return df.where((d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
 
 
+def id_of_length(person: Column, length: int) -> Column:
+    pid = integral_long(person)
+    return pid.isNotNull() & (id_length(pid) == length)
+
+
+def longer_id(person: Column, length: int) -> Column:
+    return id_length(person) > length
+
+
 def filter_person_id_length(df: DataFrame, *, person_col: str = "person_id", length: int = 8) -> DataFrame:
     """integral person id written with exactly ``length`` characters."""
-    pid = integral_long(F.col(person_col))
-    return df.where(pid.isNotNull() & (id_length(pid) == length))
+    return df.where(id_of_length(F.col(person_col), length))
 
 
 def filter_person_id_longer_than(df: DataFrame, *, person_col: str = "person_id", length: int = 1) -> DataFrame:
     """id text longer than ``length`` characters (observation keeps > 1)."""
-    return df.where(id_length(F.col(person_col)) > length)
+    return df.where(longer_id(F.col(person_col), length))
 
 
 def not_null(df: DataFrame, *cols: str) -> DataFrame:
@@ -132,6 +144,35 @@ def split_by_person_master(df: DataFrame, person: DataFrame, *, date_col: str |
     return kept, violations
 
 
+def person_profile(person: DataFrame, death: DataFrame, excluded: DataFrame) -> DataFrame:
+    """What the event domains ask of a person, in one row each: ``_in_master``, birth year and
+    month, first death date, ``_excluded``.  One aggregate over the three sources."""
+    parts = [
+        person.select("person_id", F.lit(True).alias("_in_master"), F.col("year_of_birth").alias("_yob"), F.col("month_of_birth").alias("_mob"),
+                      F.lit(None).cast("date").alias("_death_date"), F.lit(False).alias("_excluded")),
+        death.select("person_id", F.lit(False).alias("_in_master"), F.lit(None).cast("int").alias("_yob"), F.lit(None).cast("int").alias("_mob"),
+                     F.col("death_date").cast("date").alias("_death_date"), F.lit(False).alias("_excluded")),
+        excluded.select("person_id", F.lit(False).alias("_in_master"), F.lit(None).cast("int").alias("_yob"), F.lit(None).cast("int").alias("_mob"),
+                        F.lit(None).cast("date").alias("_death_date"), F.lit(True).alias("_excluded")),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).where(F.col("person_id").isNotNull())
+    return rows.groupBy(F.col("person_id").cast("bigint").alias("person_id")).agg(
+        F.max("_in_master").alias("_in_master"), F.max("_yob").alias("_yob"), F.max("_mob").alias("_mob"),
+        F.min("_death_date").alias("_death_date"), F.max("_excluded").alias("_excluded"))
+
+
+def with_person_flags(df: DataFrame, profile: DataFrame, *, date_col: str, more: Column, person_col: str = "person_id") -> DataFrame:
+    """J1 - J4 from one join, as flags: ``_kept`` (in the master, not excluded, not after the
+    death, and ``more``) and ``_violating`` (the same without the master: not in it, without a birth
+    year, or born after the event)."""
+    p = profile.withColumnRenamed("person_id", "_profile_id")
+    j = df.join(p, F.col(person_col).cast("bigint") == p["_profile_id"], "left")
+    alive = F.col("_death_date").isNull() | F.coalesce(F.col(date_col).cast("date") <= F.col("_death_date"), F.lit(False))
+    stays = alive & ~F.coalesce("_excluded", F.lit(False)) & F.coalesce(more, F.lit(False))
+    bad = F.col("_yob").isNull() | F.coalesce(born_after(F.col("_yob"), F.col("_mob"), F.col(date_col).cast("date")), F.lit(False))
+    return j.withColumns({"_kept": stays & F.coalesce("_in_master", F.lit(False)), "_violating": stays & bad}).drop(*p.columns)
+
+
 # ---------------------------------------------------------------- person helpers
 def override_sheet(sheet: DataFrame) -> DataFrame:
     """Override rows with a gender concept from the sex label."""

@@ -2,11 +2,22 @@
 
 Interval join design.  The equi-key of the match is the person and the residual is
 a date range, so a person with many visits and events would make one huge join
-key.  Visits are therefore exploded into the day bins (width ``bin_days``) their
-window ``[start - window_pre_days, end]`` touches and every event falls in exactly
-one bin: the join key is ``(person, bin)``, the residual is unchanged and no
-candidate is produced twice.  The top-1 choice is a ``row_number() = 1`` window
-partitioned by ``(person, bin, event)``, which the join's hash partitioning
+key.  Time is cut into bins of ``bin_days``; an event lies in one bin, and a visit is laid
+into the bins of its window ``[start - window_pre_days, end]``, so the join key is
+``(person, bin)`` and no candidate is produced twice.
+
+*Long visits.*  Bins form levels by powers of two: a block of level l has 2**(6 l) bins.  A long
+window is cut into whole blocks, the larger the farther from its ends (at most 126 a level;
+the calendar ends before level 3).  Blocks are then opened level by level, from the top down,
+only where the person has events: a block meets the distinct (person, block) cells of the events one level
+below, at most 64, so an open-ended visit never spells out its bins and no join is on the person alone.
+
+*Hot cells.*  With ``hot_rows`` the events per (person, bin) are counted first; cells above
+that are spread over as many tasks as they hold multiples of it (salt), and only their visits are
+repeated.  The list of such cells has at most (events / hot_rows) rows.
+
+The top-1 choice is a ``row_number() = 1`` window partitioned by
+``(person, bin, salt, event)``, which the join's hash partitioning
 already satisfies (no extra shuffle; Spark plans a WindowGroupLimit).
 """
 from __future__ import annotations
@@ -36,30 +47,62 @@ def dedupe_visit_lookup(visits: DataFrame, *, person_col: str = "person_id", wit
     return visits.groupBy(*keys).agg(*aggs)
 
 
-MOST_BINS = 64  # a visit over more bins is laid only into bins that have events of its person
-
-
-def _binned_visits(visits: DataFrame, event_bins: DataFrame, person_col: str, window_pre_days: int, bin_days: int) -> DataFrame:
-    """One row per visit and bin of its window.  A long (open-ended) visit would be
-    hundreds of thousands of rows; it takes its bins from ``event_bins`` (_v_person, _v_bin)."""
-    lo = F.floor((_epoch_day(F.col("visit_start_date")) - window_pre_days) / bin_days)
-    hi = F.floor(_epoch_day(F.col("visit_end_date")) / bin_days)
-    v = visits.where(lo <= hi).withColumns({"_lo": lo, "_hi": hi})
-    is_long = F.col("_hi") - F.col("_lo") >= MOST_BINS
-    binned = v.where(~is_long).withColumn("_v_bin", F.explode(F.sequence("_lo", "_hi")))
-    long_visits = v.where(is_long)
-    if not long_visits.isEmpty():
-        bins = event_bins.distinct().withColumnRenamed("_v_person", person_col)
-        inside = long_visits.join(bins, person_col).where(F.col("_v_bin").between(F.col("_lo"), F.col("_hi")))
-        binned = binned.unionByName(inside)
-    return binned.select(
-        F.col(person_col).alias("_v_person"), "_v_bin",
-        F.col("visit_occurrence_id").alias("_v_id"),
-        F.col("visit_concept_id").alias("_v_concept"),
-        F.col("visit_start_date").alias("_v_start"),
-        F.col("visit_end_date").alias("_v_end"),
-        F.col("provider_id").alias("_v_provider"),
-    )
+LEVEL_SHIFT = 6  # a block has 2**6 blocks of the level below
+_PER = 1 << LEVEL_SHIFT
+
+
+def _blocks(lo: F.Column, hi: F.Column) -> tuple[F.Column, F.Column]:
+    """The blocks lo..hi of a level as (array of single blocks at both ends, [first, last]
+    of the whole blocks of the next level between them).  Few blocks stay single."""
+    up, down = F.shiftright(lo + (_PER - 1), LEVEL_SHIFT), F.shiftright(hi + 1, LEVEL_SHIFT)  # whole: up .. down - 1
+    few = (hi - lo < _PER) | (up >= down)
+    ends = F.concat(_range(lo, F.shiftleft(up, LEVEL_SHIFT) - 1), _range(F.shiftleft(down, LEVEL_SHIFT), hi))
+    return F.when(few, _range(lo, hi)).otherwise(ends), F.when(~few, F.struct(up.alias("lo"), (down - 1).alias("hi")))
+
+
+def _range(lo: F.Column, hi: F.Column) -> F.Column:
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _binned_visits(visits: DataFrame, cells: DataFrame, person_col: str, window_pre_days: int, bin_days: int) -> DataFrame:
+    """One row per visit and bin: all bins of a short window, of a long one those at its
+    ends and those that ``cells`` (_v_person, _v_bin) name."""
+    lo = F.floor((_epoch_day(F.col("visit_start_date")) - window_pre_days) / bin_days).cast("bigint")
+    hi = F.floor(_epoch_day(F.col("visit_end_date")) / bin_days).cast("bigint")
+    v = visits.where(lo <= hi).select(
+        F.col(person_col).alias("_v_person"), F.col("visit_occurrence_id").alias("_v_id"), F.col("visit_concept_id").alias("_v_concept"),
+        F.col("visit_start_date").alias("_v_start"), F.col("visit_end_date").alias("_v_end"), F.col("provider_id").alias("_v_provider"),
+        lo.alias("_lo"), hi.alias("_hi"))
+    kept = [c for c in v.columns if c not in ("_lo", "_hi")]
+    bins, blocks1 = _blocks(F.col("_lo"), F.col("_hi"))
+    v = v.withColumns({"_bins": bins, "_1": blocks1})
+    ones, blocks2 = _blocks(F.col("_1.lo"), F.col("_1.hi"))
+    long_visits = v.where(F.col("_1").isNotNull()).withColumns({"_ones": ones, "_2": blocks2})
+    # from the top down: blocks of level 2 open into those of level 1 with events, these into bins
+    top = long_visits.where(F.col("_2").isNotNull()).select(*kept, F.explode(F.sequence("_2.lo", "_2.hi")).alias("_up"))
+    cells = cells.where(F.col("_v_person").isNotNull()).select("_v_person", F.col("_v_bin").cast("bigint").alias("_v_bin")).distinct()
+    with_events = cells.select("_v_person", F.shiftright("_v_bin", LEVEL_SHIFT).alias("_one")).distinct()
+    opened = top.join(with_events.withColumn("_up", F.shiftright("_one", LEVEL_SHIFT)), ["_v_person", "_up"]).select(*kept, "_one")
+    inner = long_visits.select(*kept, F.explode("_ones").alias("_one")).unionByName(opened)
+    opened = inner.join(cells.withColumn("_one", F.shiftright("_v_bin", LEVEL_SHIFT)), ["_v_person", "_one"]).select(*kept, "_v_bin")
+    return v.select(*kept, F.explode("_bins").alias("_v_bin")).unionByName(opened)
+
+
+def hot_cells(cells: DataFrame, hot_rows: int) -> DataFrame:
+    """(_h_person, _h_bin, _parts): cells of more than ``hot_rows`` events and over how many
+    tasks to spread them.  Written, so that Spark knows its size before it plans the joins."""
+    from ..session import materialize
+    n = cells.where(F.col("_v_person").isNotNull()).groupBy("_v_person", "_v_bin").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(n.where(F.col("n") > hot_rows).select(
+        F.col("_v_person").alias("_h_person"), F.col("_v_bin").alias("_h_bin"), F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts")))
+
+
+def _event_key(events: DataFrame) -> F.Column:
+    """A key of each event that a recomputed task gives again: its place in the input; for a
+    frame without one a number that is unique in a run."""
+    from .ids import input_order
+    place = input_order(events)
+    return F.struct(*place) if "_rid" in place else F.monotonically_increasing_id()
 
 
 def match_visits(
@@ -76,6 +119,7 @@ def match_visits(
     bin_days: int = 7,
     dedupe_lookup: bool = True,
     salt: int = 1,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Attach ``visit_occurrence_id`` and ``visit_concept_id`` of the best visit.
 
@@ -86,10 +130,9 @@ def match_visits(
     the visit when the winner is an emergency visit without provider match) or
     ``"all"`` (null every emergency winner).  Unmatched events keep null visits.
 
-    ``salt`` > 1 spreads every (person, bin) key over ``salt`` tasks: events get a
-    salt from a hash of their key and visits are repeated once per salt value.
-    The window keeps the salt in its partitioning, so the join's hash
-    partitioning still satisfies it (no extra shuffle).
+    ``hot_rows`` spreads the (person, bin) keys of more events than that, ``salt`` > 1 every
+    key over at least ``salt`` tasks: events get a salt from a hash of their key and
+    visits are repeated once per salt value.
     """
     if null_9203 not in ("none", "pass2", "all"):
         raise ValueError("null_9203 must be none, pass2 or all")
@@ -99,7 +142,7 @@ def match_visits(
         ev = ev.withColumn(provider_col, F.lit(None).cast("bigint"))
     eid = event_key or "_eid"
     if event_key is None:
-        ev = ev.withColumn("_eid", F.monotonically_increasing_id())
+        ev = ev.withColumn("_eid", _event_key(ev))
     # An event without a person or a date matches nothing; bins of its own, far before any
     # visit's, keep such events from meeting in one task.
     day_bin = F.floor(_epoch_day(F.col(date_col).cast("date")) / bin_days)
@@ -107,10 +150,17 @@ def match_visits(
     ev = ev.withColumn("_e_bin", F.when(F.col(person_col).isNotNull(), F.coalesce(day_bin, nowhere)).otherwise(nowhere))
 
     lookup = dedupe_visit_lookup(visits, person_col=person_col) if dedupe_lookup else visits
-    event_bins = ev.select(F.col(person_col).alias("_v_person"), F.col("_e_bin").alias("_v_bin"))
-    vb = _binned_visits(lookup, event_bins, person_col, window_pre_days, bin_days)
-    ev = ev.withColumn("_salt", F.pmod(F.xxhash64(F.col(eid)), F.lit(salt)) if salt > 1 else F.lit(0))
-    vb = vb.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if salt > 1 else F.lit(0))
+    cells = ev.select(F.col(person_col).alias("_v_person"), F.col("_e_bin").alias("_v_bin"))
+    vb = _binned_visits(lookup, cells, person_col, window_pre_days, bin_days)
+    parts, v_parts = F.lit(salt), F.lit(salt)
+    if hot_rows is not None:
+        hot = hot_cells(cells, hot_rows)
+        ev = ev.join(hot, (ev[person_col] == hot["_h_person"]) & (ev["_e_bin"] == hot["_h_bin"]), "left").drop("_h_person", "_h_bin")
+        vb = vb.join(hot.withColumnRenamed("_parts", "_v_parts"), (vb["_v_person"] == hot["_h_person"]) & (vb["_v_bin"] == hot["_h_bin"]), "left").drop(
+            "_h_person", "_h_bin")
+        parts, v_parts = (F.greatest(F.coalesce(c, F.lit(1)), F.lit(salt)) for c in ("_parts", "_v_parts"))
+    ev = ev.withColumn("_salt", F.pmod(F.xxhash64(F.col(eid)), parts).cast("int")).drop("_parts")
+    vb = vb.withColumn("_v_salt", F.explode(F.sequence(F.lit(0), v_parts - 1))).drop("_v_parts")
     d = F.col(date_col).cast("date")
     cond = ((ev[person_col] == vb["_v_person"]) & (ev["_e_bin"] == vb["_v_bin"]) & (ev["_salt"] == vb["_v_salt"])
             & (F.date_sub(vb["_v_start"], window_pre_days) <= d) & (d <= vb["_v_end"]))

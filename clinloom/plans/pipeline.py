@@ -26,10 +26,7 @@ from . import domains as D
 
 ORDER = ["person", "death", "care_site", "provider", "visit", "condition", "procedure", "drug",
          "observation", "note", "measurement"]
-EVENT_TABLE = {"condition": "condition_occurrence", "drug": "drug_exposure", "procedure": "procedure_occurrence",
-               "note": "note", "measurement": "measurement", "observation": "observation"}
-EVENT_BUILDERS = {"condition": D.condition_build, "drug": D.drug_build, "procedure": D.procedure_build,
-                  "note": D.note_build, "measurement": D.measurement_build, "observation": D.observation_build}
+EVENT_TABLE = {name: event.table for name, event in D.EVENTS.items()}
 
 
 def _stage(spark: SparkSession, df: DataFrame, name: str, spec: PipelineSpec) -> DataFrame:
@@ -66,8 +63,8 @@ def build_context(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
                    "visit_occurrence", spec)
     out.update({"visit_occurrence": visit, "payer_plan_period": v["payer_plan_period"], "cost": v["cost"],
                 "invalid_person_id_visit": v["invalid_person_id"]})
-    ctx = D.Context(spark, spec, person, death, visit, excluded, concept, relationship)
-    return ctx, out
+    profile = _stage(spark, cohort.person_profile(person, death, excluded), "_person_profile", spec)
+    return D.Context(spark, spec, person, death, visit, excluded, concept, relationship, profile=profile), out
 
 
 # K6: the used vocabulary is written as vocabulary files (tab separated, with a header).
@@ -100,8 +97,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
         src = None
         if name == "measurement" and lab_raw is not None:
             src = D.lab_parse(lab_raw, site1_keyword=site1_keyword)
-        table, invalid = (EVENT_BUILDERS[name](dom, ctx, src) if name != "observation"
-                          else EVENT_BUILDERS[name](dom, ctx))
+        table, invalid = D.event_build(name, dom, ctx, src)
         res[EVENT_TABLE[name]] = table
         res[f"invalid_person_id_{name}"] = invalid
         used_ids = None
@@ -117,7 +113,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
             used_ids = vocab.used_concept_ids(counts, table_map, dom.mapping, dom.supplement)
         return res, used_ids
 
-    events = [n for n in wanted if n in EVENT_BUILDERS and n in spec.domains
+    events = [n for n in wanted if n in D.EVENTS and n in spec.domains
               and not (n == "measurement" and lab_raw is None and not spec.domains[n].batches)]
     for res, used_ids in _run_all(build_event, events, spec.concurrent_jobs):
         out.update(res)

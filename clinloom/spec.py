@@ -82,7 +82,8 @@ class PipelineSpec:
     output_root: str | None = None
     output_format: str = "parquet"
     bin_days: int = 7
-    visit_salt: int = 1  # tasks that share the events of one person and bin in the visit match
+    visit_salt: int = 1  # tasks at least that share the events of one person and bin in the visit match
+    visit_hot_rows: int | None = 1_000_000  # a person and bin of more events is spread over tasks (None: not counted)
     id_method: str = "bucketed"
     # Independent domain builds and table writes submitted at once (Spark runs
     # the jobs side by side; 1 = one after another).

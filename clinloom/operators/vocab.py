@@ -85,6 +85,13 @@ def transform_code(c: Column, code_transform: str | Callable[[Column], Column] |
     return fn(c)
 
 
+def last_entries(supplement: DataFrame) -> DataFrame:
+    """(code, concept_id): of entries that repeat a code the last in input order."""
+    rows = supplement.select("code", "concept_id", F.monotonically_increasing_id().alias("_at"))
+    return (rows.where(F.col("code").isNotNull() & F.col("concept_id").isNotNull())
+            .groupBy("code").agg(F.max_by("concept_id", "_at").alias("concept_id")))
+
+
 def apply_standard_mapping(df: DataFrame, table: DataFrame, rule: MappingRule,
                            supplement: DataFrame | None = None) -> DataFrame:
     """J15 (+ J16): write the standard and source concept columns, 0 when unmapped;
@@ -96,7 +103,7 @@ def apply_standard_mapping(df: DataFrame, table: DataFrame, rule: MappingRule,
     out = df.withColumn("_code", code).join(t, "_code", "left")
     concept = F.coalesce(F.col("_std_cid"), F.lit(0)).cast("bigint")
     if supplement is not None:
-        s = supplement.groupBy(F.col("code").alias("_code")).agg(F.max("concept_id").alias("_supp"))  # one row per code
+        s = last_entries(supplement).withColumnsRenamed({"code": "_code", "concept_id": "_supp"})  # one row per code
         out = out.join(s, "_code", "left")
         concept = F.when(concept == 0, F.coalesce(F.col("_supp"), F.lit(0))).otherwise(concept).cast("bigint")
     out = out.withColumn(rule.concept_col, concept).withColumn(

@@ -297,14 +297,8 @@ def built(spark, sf, name: str, *, supplement: bool = True) -> tuple[DataFrame,
     if key not in _BUILT:
         spec, ctx, _ = context(spark, sf)
         dom = spec.domains[name] if supplement else replace(spec.domains[name], supplement=None)
-        if name == "measurement":
-            t, v = D.measurement_build(dom, ctx, D.lab_parse(dv.lab_raw(spark, sf), site1_keyword="SITE1"))
-        elif name == "observation":
-            t, v = D.observation_build(dom, ctx)
-        else:
-            fn = {"condition": D.condition_build, "drug": D.drug_build, "procedure": D.procedure_build,
-                  "note": D.note_build}[name]
-            t, v = fn(dom, ctx)
+        lab = D.lab_parse(dv.lab_raw(spark, sf), site1_keyword="SITE1") if name == "measurement" else None
+        t, v = D.event_build(name, dom, ctx, lab)
         _BUILT[key] = (materialize(t), v)
     return _BUILT[key]
 
@@ -395,6 +389,14 @@ def q_qc_report(spark, sf):
     return Q.qc_report(_qc_tables(spark, sf))
 
 
+def _run_whole(spark, sf, spec, **more) -> None:
+    from .pipeline import run_pipeline
+    run_pipeline(spark, spec, dv.override_sheet_raw(spark, sf), provider_list=dv.provider_list_raw(spark, sf),
+                 pseudonym_raw=dv.pseudonym_raw(spark, sf), concept=dv.concept_table(spark, sf),
+                 relationship=dv.relationship_table(spark, sf), vocabulary=dv.vocabulary_table(spark, sf),
+                 lab_raw=dv.lab_raw(spark, sf), site1_keyword="SITE1", **more)
+
+
 def q_pipeline_qc(spark, sf):
     """D13 + K3 + S13 + D14: the whole pipeline written into the shared folder,
     then the QC report over the written tables."""
@@ -402,13 +404,8 @@ def q_pipeline_qc(spark, sf):
 
     from ..session import checkpoint_dir
     from .jobs import qc_job
-    from .pipeline import run_pipeline
     root = f"{checkpoint_dir(spark)}/pipeline-{uuid4().hex}"
-    spec = dv.pipeline_spec(spark, sf, output_root=root)
-    run_pipeline(spark, spec, dv.override_sheet_raw(spark, sf), provider_list=dv.provider_list_raw(spark, sf),
-                 pseudonym_raw=dv.pseudonym_raw(spark, sf), concept=dv.concept_table(spark, sf),
-                 relationship=dv.relationship_table(spark, sf), vocabulary=dv.vocabulary_table(spark, sf),
-                 lab_raw=dv.lab_raw(spark, sf), site1_keyword="SITE1")
+    _run_whole(spark, sf, dv.pipeline_spec(spark, sf, output_root=root))
     return qc_job(spark, root)[0]
 
 
@@ -529,9 +526,18 @@ def q_condition_csv_load(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming
-def stream_condition(spark, sf, *, files: int = 4) -> tuple[str, DataFrame]:
-    """Write the condition batches into ``files`` files in the shared checkpoint
-    folder, stream them one file per micro-batch and return (folder, output)."""
+def _arrivals(spark, feed: DataFrame, folder: str, steps: int) -> int:
+    """Write ``feed`` as the files of ``steps`` arrivals, as many files each as the cluster
+    has cores; returns the files of an arrival."""
+    each = max(1, spark.sparkContext.defaultParallelism)
+    n = steps * each
+    feed.repartition(n, F.pmod(F.col("_rid"), F.lit(n))).write.parquet(folder)
+    return each
+
+
+def stream_condition(spark, sf, *, files: int = 4, copies: bool = False, dedupe: bool = False) -> tuple[str, DataFrame]:
+    """Stream the condition batches in ``files`` micro-batches and return (folder, output).  With
+    ``copies`` every third row arrives again, under another row id and so mostly later."""
     from uuid import uuid4
 
     from ..session import checkpoint_dir
@@ -540,10 +546,11 @@ def stream_condition(spark, sf, *, files: int = 4) -> tuple[str, DataFrame]:
     dom = spec.domains["condition"]
     base = f"{checkpoint_dir(spark)}/stream-{uuid4().hex}"
     feed = load_batches(spark, dom)
-    feed.repartition(files, F.pmod(F.col("_rid"), F.lit(files))).write.parquet(f"{base}/source")
-    schema = spark.read.parquet(f"{base}/source").schema
-    stream_domain(spark, "condition", dom, ctx, source_dir=f"{base}/source", schema=schema,
-                  out_dir=f"{base}/out", state_dir=f"{base}/state")
+    if copies:
+        feed = feed.unionByName(feed.where("_rid % 3 = 0").withColumn("_rid", F.col("_rid") * 7 + 5))
+    each = _arrivals(spark, feed, f"{base}/source", files)
+    stream_domain(spark, "condition", dom, ctx, source_dir=f"{base}/source", schema=feed.schema,
+                  out_dir=f"{base}/out", state_dir=f"{base}/state", max_files_per_trigger=each, dedupe=dedupe)
     return base, read_output(spark, f"{base}/out")
 
 
@@ -554,6 +561,65 @@ def _streamed(spark, sf) -> tuple[str, DataFrame]:
     return _BUILT[key]
 
 
+def q_stream_dedupe_incremental(spark, sf):
+    """T-S6 while streaming: each micro-batch leaves out what earlier ones have written."""
+    return stream_condition(spark, sf, copies=True, dedupe=True)[1].drop("condition_occurrence_id")
+
+
+def q_stream_options(spark, sf):
+    """T-S1 with batch options: a raw feed with upper-case names, a renamed code column, text ids
+    and no hospital is streamed like the typed batches (content without the ids)."""
+    from ..spec import Batch
+    from ..streaming.incremental import read_output, stream_domain
+    spec, ctx, _ = context(spark, sf)
+    dom = spec.domains["condition"]
+    base = _scratch(spark)
+    feed = load_batches(spark, dom).drop("hosp", "_batch").withColumnsRenamed({"condition_source_value": "DX", "provider_id": "PROVIDER_ID"})
+    raw = feed.withColumn("PERSON_ID", F.concat(F.col("person_id").cast("string"), F.lit(".0")))
+    each = _arrivals(spark, raw, f"{base}/source", 2)
+    stream_domain(spark, "condition", dom, ctx, source_dir=f"{base}/source", schema=raw.schema, out_dir=f"{base}/out", state_dir=f"{base}/state",
+                  max_files_per_trigger=each, options=Batch("raw", hosp=2, options={"rename": {"dx": "condition_source_value"}, "int_person_id": True}))
+    return read_output(spark, f"{base}/out").drop("condition_occurrence_id")
+
+
+def _observation_feed(spark, sf, base: str):
+    from ..streaming.incremental import StreamFeed
+    dom = context(spark, sf)[0].domains["observation"]
+    groups = {g: load_batches(spark, dom, group=g) for g in ("exam", "inpatient")}
+    each = [_arrivals(spark, df, f"{base}/{g}", 2) for g, df in groups.items()]
+    return StreamFeed({g: f"{base}/{g}" for g in groups}, groups["exam"].schema, max_files_per_trigger=each[0])
+
+
+def q_stream_observation(spark, sf):
+    """T-S4: examinations, then inpatient rows, as two streams sharing one counter: content
+    without the ids, and whether the ids are unique over both."""
+    from ..streaming.incremental import read_output, stream_feed
+    spec, ctx, _ = context(spark, sf)
+    base = _scratch(spark)
+    stream_feed(spark, "observation", spec.domains["observation"], ctx, _observation_feed(spark, sf, base),
+                out_dir=f"{base}/out", state_dir=f"{base}/state", dedupe=False)
+    out = read_output(spark, f"{base}/out")
+    again = out.groupBy("observation_id").agg(F.count("*").alias("times"))
+    return out.join(again, "observation_id").withColumn("unique_id", F.col("times") == 1).drop("observation_id", "times")
+
+
+def q_pipeline_streamed(spark, sf):
+    """D13 with two streamed domains beside the batch ones: condition arrives in four
+    micro-batches (a third of its rows twice) and observation as two streams; the QC report over the
+    written tables."""
+    from ..streaming.incremental import StreamFeed
+    from .jobs import qc_job
+    base = _scratch(spark)
+    spec = dv.pipeline_spec(spark, sf, output_root=f"{base}/cdm")
+    feed = load_batches(spark, spec.domains["condition"])
+    feed = feed.unionByName(feed.where("_rid % 3 = 0").withColumn("_rid", F.col("_rid") * 7 + 5))
+    each = _arrivals(spark, feed, f"{base}/condition", 4)
+    streams = {"condition": StreamFeed(f"{base}/condition", feed.schema, max_files_per_trigger=each),
+               "observation": _observation_feed(spark, sf, f"{base}/observation")}
+    _run_whole(spark, sf, spec, streams=streams)
+    return qc_job(spark, f"{base}/cdm")[0]
+
+
 def q_stream_ids(spark, sf):
     """Streamed condition build; ids are numbered by arrival (T27), so the content is
     compared without the id (see ``stream_id_check``)."""
@@ -635,6 +701,22 @@ def q_visit_match_salted(spark, sf):
     return _src(m, "visit_occurrence_id", "visit_concept_id")
 
 
+def _one_person(spark, sf) -> DataFrame:
+    """The condition feed with a third of its rows given to the person of the first row."""
+    feed = dv.condition_feed(spark, sf)
+    hot = feed.where(F.col("person_id").isNotNull()).select("person_id", "_rid").orderBy("_rid").limit(1).first().person_id
+    return feed.withColumn("person_id", F.when(F.col("_rid") % 3 == 1, F.lit(hot)).otherwise(F.col("person_id")))
+
+
+def q_visit_match_hot_person(spark, sf):
+    """J8 with a third of all events on one person and bins of a year: cells of more than a
+    hundred events are spread, the others stay whole."""
+    _, ctx, _ = context(spark, sf)
+    m = visits.match_visit_two_pass(_one_person(spark, sf), ctx.visit, date_col="condition_start_date", event_key="_rid",
+                                    bin_days=365, hot_rows=100)
+    return _src(m, "visit_occurrence_id", "visit_concept_id")
+
+
 def q_qc_totals(spark, sf):
     return Q.qc_totals(q_qc_report(spark, sf))
 
@@ -721,6 +803,11 @@ QUERIES: dict[str, Query] = {
     "supplement_repeated_code": q_supplement_repeated_code,
     "visit_match_open_ended": q_visit_match_open_ended,
     "visit_match_salted": q_visit_match_salted,
+    "visit_match_hot_person": q_visit_match_hot_person,
+    "stream_dedupe_incremental": q_stream_dedupe_incremental,
+    "stream_options": q_stream_options,
+    "stream_observation": q_stream_observation,
+    "pipeline_streamed": q_pipeline_streamed,
     "qc_totals": q_qc_totals,
     "vocab_tsv_concept_lookup": q_vocab_tsv_concept_lookup,
     "provider_sheet_csv": q_provider_sheet_csv,

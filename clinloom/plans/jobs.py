@@ -66,8 +66,8 @@ def dedupe_job(spark: SparkSession, root: str, out_root: str, names: Iterable[st
         parts.append(df.select(F.lit(name).alias("table_name"), F.lit(1).alias("_b"), F.lit(0).alias("_a"))
                      .unionByName(after.select(F.lit(name).alias("table_name"), F.lit(0).alias("_b"),
                                                F.lit(1).alias("_a"))))
-    u = parts[0]
-    for p in parts[1:]:
+    u = spark.createDataFrame([], "table_name string, _b int, _a int")  # a folder without tables: an empty report
+    for p in parts:
         u = u.unionByName(p)
     agg = u.groupBy("table_name").agg(F.sum("_b").cast("bigint").alias("rows_before"),
                                       F.sum("_a").cast("bigint").alias("rows_after"))

@@ -797,6 +797,9 @@ cte("code_status_u", ("code_counts_u", "map_KCD7", "supp"), CTES["code_status"][
 q("stream_unmapped", "SELECT 'KCD7' AS vocabulary_id, source_code, source_concept_id, concept_id, mapped, n_rows "
                      "FROM code_status_u WHERE NOT mapped", "code_status_u")
 q("stream_dedupe", "SELECT DISTINCT " + ", ".join(_NK) + " FROM cond_tbl", "cond_tbl")
+q("stream_dedupe_incremental", "SELECT DISTINCT " + ", ".join(_NK) + " FROM cond_tbl", "cond_tbl")
+q("stream_options", "SELECT * EXCLUDE (condition_occurrence_id) FROM cond_tbl", "cond_tbl")
+q("stream_observation", "SELECT * EXCLUDE (observation_id), TRUE AS unique_id FROM obs_tbl", "obs_tbl")
 q("csv_feed_text_ids", "SELECT _rid AS source_row, person_id, provider_id, hosp, condition_start_date, condition_start_datetime, "
   "condition_source_value FROM cond_feed WHERE person_id IS NOT NULL", "cond_feed")
 q("note_csv_load", "SELECT * REPLACE (NULLIF(note_title, '') AS note_title, NULLIF(note_text, '') AS note_text, "
@@ -808,14 +811,17 @@ match_ctes("m_open", "cond_feed", "_rid", "condition_start_date", provider=True,
            lookup="vis_lookup_open")
 cte("cond_third", ("cond_feed",), "SELECT * REPLACE (CASE WHEN _rid % 3 <> 0 THEN person_id END AS person_id) FROM cond_feed")
 match_ctes("m_salt", "cond_third", "_rid", "condition_start_date", provider=True, pre=0, diff=False, null_9203="none")
-for _n, _c in (("visit_match_open_ended", "m_open"), ("visit_match_salted", "m_salt")):
+cte("cond_one", ("cond_feed",), "SELECT * REPLACE (CASE WHEN _rid % 3 = 1 THEN (SELECT arg_min(person_id, _rid) FROM cond_feed "
+    "WHERE person_id IS NOT NULL) ELSE person_id END AS person_id) FROM cond_feed")
+match_ctes("m_one", "cond_one", "_rid", "condition_start_date", provider=True, pre=0, diff=False, null_9203="none")
+for _n, _c in (("visit_match_open_ended", "m_open"), ("visit_match_salted", "m_salt"), ("visit_match_hot_person", "m_one")):
     q(_n, f"SELECT _rid AS source_row, visit_occurrence_id, visit_concept_id FROM {_c}", _c)
 q("qc_totals", f"SELECT count_if(severity = 'ERROR') AS n_error, count_if(severity = 'WARN') AS n_warn FROM ({qc_report_sql('qc')})", *_qc_names)
 
 # File round trips return what their in-memory counterparts return.
 for _name, _same in (("vocab_tsv_concept_lookup", "concept_lookup"), ("provider_sheet_csv", "care_site_rollup"),
                      ("supplement_csv_fill", "supplement_fill"), ("supplement_repeated_code", "supplement_fill"),
-                     ("dedupe_job", "dedupe_counts")):
+                     ("dedupe_job", "dedupe_counts"), ("pipeline_streamed", "pipeline_qc")):
     Q[_name] = Q[_same]
 # Plain CSV does not tell an empty string from a null: both load back as null.
 q("condition_csv_load", "SELECT * REPLACE (NULLIF(stop_reason, '') AS stop_reason, NULLIF(condition_source_value, '') "

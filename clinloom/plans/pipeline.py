@@ -9,8 +9,10 @@ recomputes from those files.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,12 +20,15 @@ from ..operators import cohort, vocab
 from ..operators.dedupe import dedupe_natural_key, keep_rule
 from ..operators.rollup import care_site_build, provider_build
 from ..schema import CDM_TABLES
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
 from ..sources.batches import normalise_columns
 from ..sources.files import write_cdm, write_tsv
-from ..spec import PipelineSpec
+from ..spec import DomainSpec, PipelineSpec
 from . import domains as D
 
+if TYPE_CHECKING:
+    from ..streaming.incremental import StreamFeed
+
 ORDER = ["person", "death", "care_site", "provider", "visit", "condition", "procedure", "drug",
          "observation", "note", "measurement"]
 EVENT_TABLE = {name: event.table for name, event in D.EVENTS.items()}
@@ -75,9 +80,15 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
                  domains: Iterable[str] | None = None, provider_list: DataFrame | None = None,
                  pseudonym_raw: DataFrame | None = None, concept: DataFrame | None = None,
                  relationship: DataFrame | None = None, vocabulary: DataFrame | None = None,
-                 lab_raw: DataFrame | None = None, site1_keyword: str = "") -> dict[str, DataFrame]:
+                 lab_raw: DataFrame | None = None, site1_keyword: str = "",
+                 streams: Mapping[str, StreamFeed] | None = None) -> dict[str, DataFrame]:
     """Build the requested domains (all by default) and return every table.
 
+    Domains in ``streams`` are built from their arriving files, deduped batch by batch, against
+    the same person, death and visit tables as the others; what they map counts for the
+    unmapped reports and the used vocabulary like a batch build's.  A later run with the same
+    ``output_root`` goes on with the files that have arrived since.
+
     With ``spec.output_root`` each CDM table is deduped on its natural key (K3) and
     written; violation lists and unmapped reports are written too (T24).
     Unknown domains are skipped; event domains need person, death and visit.
@@ -91,9 +102,27 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
     if provider_list is not None and "provider" in wanted:
         out["provider"] = provider_build(provider_list)
 
+    streams = dict(streams or {})
+    stream_root = spec.output_root or f"{checkpoint_dir(spark).rstrip('/')}/streams-{uuid.uuid4().hex}"
+
+    def stream_event(name: str, dom: DomainSpec) -> tuple[dict[str, DataFrame], DataFrame | None]:
+        from ..streaming import incremental as inc
+        rows, state = f"{stream_root}/_streams/{name}/rows", f"{stream_root}/_streams/{name}/state"
+        inc.stream_feed(spark, name, dom, ctx, streams[name], out_dir=rows, state_dir=state)
+        res = {EVENT_TABLE[name]: inc.read_output(spark, rows),
+               f"invalid_person_id_{name}": spark.read.parquet(f"{state}/invalid").select("person_id").distinct()}
+        if dom.mapping is None or concept is None:
+            return res, None
+        counts = materialize(inc.streamed_codes(spark, state))
+        table_map = vocab.mapping_table(concept, relationship, dom.mapping.vocabulary_id, require_standard=dom.mapping.require_standard)
+        res[f"{name}_unmapped"] = vocab.unmapped_report(counts, table_map, dom.mapping, dom.supplement)
+        return res, vocab.used_concept_ids(counts, table_map, dom.mapping, dom.supplement)
+
     def build_event(name: str) -> tuple[dict[str, DataFrame], DataFrame | None]:
         res: dict[str, DataFrame] = {}
         dom = spec.domains[name]
+        if name in streams:
+            return stream_event(name, dom)
         src = None
         if name == "measurement" and lab_raw is not None:
             src = D.lab_parse(lab_raw, site1_keyword=site1_keyword)
@@ -114,7 +143,7 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
         return res, used_ids
 
     events = [n for n in wanted if n in D.EVENTS and n in spec.domains
-              and not (n == "measurement" and lab_raw is None and not spec.domains[n].batches)]
+              and not (n == "measurement" and n not in streams and lab_raw is None and not spec.domains[n].batches)]
     for res, used_ids in _run_all(build_event, events, spec.concurrent_jobs):
         out.update(res)
         if used_ids is not None:
@@ -132,7 +161,8 @@ def run_pipeline(spark: SparkSession, spec: PipelineSpec, sheet_raw: DataFrame,
     if spec.output_root:
         def save(item: tuple[str, DataFrame]) -> None:
             name, df = item
-            final = dedupe_natural_key(df, name, keep=keep_rule(name)) if name in CDM_TABLES else df
+            unique = {EVENT_TABLE[n] for n in streams}  # deduped batch by batch
+            final = dedupe_natural_key(df, name, keep=keep_rule(name)) if name in CDM_TABLES and name not in unique else df
             if name in VOCABULARY_EXPORT:
                 write_tsv(final, f"{spec.output_root}/vocabulary/{VOCABULARY_EXPORT[name]}")
             else:

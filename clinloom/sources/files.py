@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import integral_long
+from ..operators.vocab import last_entries
 from ..schema import VOCAB_TABLES
 from .batches import CSV_READ, normalise_columns
 
@@ -82,10 +83,7 @@ def read_supplement(df: DataFrame) -> DataFrame:
     Of entries that repeat a code the last in input order stays, so the fill of J16 never
     multiplies a row."""
     c0, c1 = df.columns[:2]
-    rows = df.select(F.col(c0).cast("string").alias("code"), integral_long(F.col(c1)).alias("concept_id"),
-                     F.monotonically_increasing_id().alias("_at"))
-    return (rows.where(F.col("code").isNotNull() & F.col("concept_id").isNotNull())
-            .groupBy("code").agg(F.max_by("concept_id", "_at").alias("concept_id")))
+    return last_entries(df.select(F.col(c0).cast("string").alias("code"), integral_long(F.col(c1)).alias("concept_id")))
 
 
 def read_pseudonym_map(df: DataFrame) -> DataFrame:

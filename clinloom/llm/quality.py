@@ -8,15 +8,16 @@ thresholds come from the others, as a counted document knows its own n-grams.  T
 distinct bytes in front.  Discounts come from the counts of counts, and each order joins
 its counts with its contexts' sums and with the next lower order, as tables dealt by key.
 
-Scoring reads the texts twice.  First each task lists the distinct n-grams of every
-block of documents.  The distinct n-grams of all blocks are joined with the tables of all
+Scoring reads the texts three times.  For the byte model each task lists the distinct n-grams of
+every block of documents; the lists of all blocks are joined with the tables of all
 orders (back-off where one is unseen), and the probabilities go back to each block
-as one file of a table partitioned by block.  Of word 3-grams only the seen ones go back;
-others are put together from the block's back-off weights and 2-grams.  Then each task scores its blocks with that
-file.  So neither the model nor a text is broadcast or shuffled, and a block's file
+as one file of a table partitioned by block.  The word model does the same with packed arrays
+(``word_model.py``).  Then each task scores its blocks with those
+files.  So neither the model nor a text is broadcast or shuffled, and a block's file
 is bounded by the block.  A block's name is a hash of its content: were it cut differently
 the second time, its file would be missing and the task would fail.  The input should be
-files or a written table.
+files or a written table.  Trusted texts are moved once, compressed, and tables that are read for the
+last time are removed.
 
 A document's perplexity is per byte, its word_perplexity per word, and repeats is the share
 of words that equal one of the two before.  A language's threshold of each is a quantile
@@ -40,16 +41,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinloom.llm import word_model
 from clinloom.llm.common import arrow_columns, id_text, map_arrow, table
 from clinloom.llm.graph import IdFilter
 from clinloom.llm.token_frames import open_store
-from clinloom.session import checkpoint_dir, materialize
+from clinloom.session import checkpoint_dir, discard, materialize
 
 ORDER = 5
 BLOCK_BYTES = 16_000_000
 _PAD = b"\n" * (ORDER - 1)
-WORD_ORDER, WORD_BITS = 3, 21
-_WORD = (1 << WORD_BITS) - 1
+WORD_ORDER, WORD_BITS, _WORD = word_model.ORDER, word_model.BITS, word_model.WORD
 
 
 def gram_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -110,17 +111,35 @@ def chunks(texts: list[bytes], most: int = 500_000) -> Iterator[tuple[int, int]]
 
 
 def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """The texts of trusted documents.  A bitmap of fixed size keeps most others from
-    the join; the join decides."""
+    """(doc_id, z): the compressed texts of trusted documents, written.  A bitmap of fixed size
+    keeps most others from the join; the join decides."""
     near = IdFilter(trusted, "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for b in batches:
+            some = b.filter(pa.array(near.passes(arrow_columns(b, "h")[0].to_numpy())))
+            ids, text = arrow_columns(some, "doc_id", "text")
+            yield pa.record_batch([ids, pa.array([zstandard.compress(t, 3) for t in text.cast(pa.binary()).to_pylist()], pa.binary())], names=["doc_id", "z"])
+
+    thinned = map_arrow(docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h")), run, f"doc_id {kind}, z binary")
+    return materialize(thinned.join(trusted, "doc_id", "left_semi"))
+
+
+def unpacked(texts: DataFrame) -> DataFrame:
+    """The texts of ``trusted_texts`` as ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         for b in batches:
-            yield b.filter(pa.array(near.passes(arrow_columns(b, "h")[0].to_numpy()))).select(["doc_id", "text"])
+            for lo in range(0, b.num_rows, 500):
+                z = arrow_columns(b.slice(lo, 500), "z")[0].to_pylist()
+                yield pa.record_batch([pa.array([zstandard.decompress(x) for x in z], pa.binary()).cast(pa.string())], names=["text"])
 
-    thinned = map_arrow(docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h")), run, f"doc_id {kind}, text string")
-    return thinned.join(trusted, "doc_id", "left_semi")
+    return map_arrow(texts.select("z"), run, "text string")
 
 
 def held_out() -> Column:
@@ -231,39 +250,8 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int, with_text: bool = False
         yield block()
 
 
-def word_scores(asked: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float]) -> DataFrame:
-    """(block, part, key, value) of the (block, part, key) asked for: part 3 has log p of the
-    seen 3-grams, part 2 log p of all 2-grams and part 1 log of their back-off weights."""
-    probs, weights, _ = model
-    pairs = materialize(asked.where("part = 2").select("block", "key"))
-    known = materialize(log_probs(pairs.select("key").distinct(), model, WORDS, 2).withColumnRenamed("logp", "value"))
-    seen = probs[-1].select("key", F.log("p").cast("float").alias("value"))
-    back = weights[-1].select("key", F.log("gamma").cast("float").alias("value"))
-    parts = [(3, asked.where("part = 3").select("block", "key").join(seen, "key")), (2, pairs.join(known, "key")), (1, pairs.join(back, "key"))]
-    rows = [x.select("block", F.lit(n).alias("part"), "key", "value") for n, x in parts]
-    return rows[0].union(rows[1]).union(rows[2])
-
-
-def word_logs(found: pa.Table, keys: np.ndarray) -> np.ndarray:
-    """log p of each of the (distinct) 3-grams, from a block's rows of ``word_scores``."""
-    part, key, value = (found[c].to_numpy() for c in ("part", "key", "value"))
-
-    def look(n: int, wanted: np.ndarray, otherwise: float) -> tuple[np.ndarray, np.ndarray]:
-        own = part == n
-        k, v = key[own], value[own].astype(np.float64)
-        order = np.argsort(k)
-        k, v = k[order], v[order]
-        at = np.minimum(np.searchsorted(k, wanted), max(len(k) - 1, 0))
-        hit = k[at] == wanted if len(k) else np.zeros(len(wanted), bool)
-        return hit, np.where(hit, v[at], otherwise) if len(k) else np.full(len(wanted), otherwise)
-
-    hit, seen = look(3, keys, 0.0)
-    backed = look(1, keys >> WORD_BITS, 0.0)[1] + look(2, keys & ((1 << 2 * WORD_BITS) - 1), 0.0)[1]
-    return np.where(hit, seen, backed)
-
-
 def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float], block_bytes: int = BLOCK_BYTES,
-               with_text: bool = False, word_model: tuple[list[DataFrame], list[DataFrame], float] | None = None) -> DataFrame:
+               with_text: bool = False, words: word_model.WordModel | None = None) -> DataFrame:
     """The columns of ``docs`` (``text`` only if asked for), n_bytes and perplexity, of every
     row; with a model of words also n_words, word_perplexity and repeats."""
     spark = docs.sparkSession
@@ -274,21 +262,20 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
             keys = np.unique(np.concatenate(parts))
             yield pa.record_batch([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["block", "key"])
 
-    def word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in blocks(batches, block_bytes):
-            triples = np.unique(np.concatenate([np.unique(word_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)]))
-            pairs = np.unique(np.concatenate([triples >> WORD_BITS, triples & ((1 << 2 * WORD_BITS) - 1)]))
-            for part, keys in ((3, triples), (2, pairs)):
-                yield pa.record_batch([pa.array(np.full(len(keys), name)), pa.array(np.full(len(keys), part, np.int32)), pa.array(keys)],
-                                      names=["block", "part", "key"])
+            yield from word_model.asked(name, np.unique(np.concatenate([np.unique(word_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)])), words.ranges)
 
     asked = materialize(map_arrow(docs, grams, "block long, key long"))
     known = materialize(log_probs(asked.select("key").distinct(), model))
     folder = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
     asked.join(known, "key").repartition("block").write.partitionBy("block").parquet(folder)
-    word_folder = f"{folder}-words" if word_model else None
-    if word_folder:
-        word_scores(map_arrow(docs, word_grams, "block long, part int, key long"), word_model).repartition("block").write.partitionBy("block").parquet(word_folder)
+    for t in (asked, known):
+        discard(t)
+    word_folder = f"{folder}-words" if words else None
+    if words:
+        lists = map_arrow(docs, word_lists, "ord int, range int, block long, keys binary")
+        word_model.answers(lists, words).repartition("block").write.partitionBy("block").parquet(word_folder)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
@@ -313,9 +300,9 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
                 sums, again, sizes = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
                 cuts = [(lo, hi, *word_keys(texts[lo:hi])) for lo, hi in chunks(texts)]
                 if any(len(c[2]) for c in cuts):
-                    found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["part", "key", "value"], partitioning=None)
+                    found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["ord", "range", "share", "weight"], partitioning=None)
                     triples = np.unique(np.concatenate([c[2] for c in cuts]))
-                    logs = word_logs(found, triples)
+                    logs = word_model.log_probs(triples, found, words)
                     for lo, hi, asked, starts, n in cuts:
                         sizes[lo:hi] = n
                         word = asked & _WORD
@@ -330,15 +317,18 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
             yield from rows.combine_chunks().to_batches()
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if with_text or f.name != "text")
-    more = ", n_words long, word_perplexity double, repeats double" if word_model else ""
+    more = ", n_words long, word_perplexity double, repeats double" if words else ""
     return map_arrow(docs, score, f"{kept}, n_bytes long, perplexity double{more}")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple, tuple]:
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple, word_model.WordModel]:
     """(doc_id) of the trusted documents, and the byte and word models of their texts."""
     trusted = materialize(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
     texts = trusted_texts(docs, trusted)
-    return trusted, kneser_ney(count_grams(texts)), kneser_ney(count_grams(texts.where(~held_out()), WORDS), WORDS)
+    model = kneser_ney(count_grams(unpacked(texts)))
+    words = word_model.fit(unpacked(texts.where(~held_out())), word_keys)
+    discard(texts)
+    return trusted, model, words
 
 
 MEASURES = (("perplexity", "threshold"), ("word_perplexity", "word_threshold"), ("repeats", "repeat_threshold"))
@@ -365,8 +355,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin
     """doc_id, lang, n_bytes, perplexity, n_words, word_perplexity, repeats, their
     thresholds, reason and keep of every row of ``docs``."""
     docs = id_text(docs, F.col("lang").cast("string").alias("lang"))
-    trusted, model, word_model = fit(docs, labels)
-    return judged(materialize(perplexity(docs, model, word_model=word_model)), trusted, quantile, margin)
+    trusted, model, words = fit(docs, labels)
+    return judged(materialize(perplexity(docs, model, words=words)), trusted, quantile, margin)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
@@ -375,8 +365,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margi
     own = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.select(*(F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True) if c != "text"), F.col("text").isNull().alias("no_text"),
                        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
-    trusted, model, word_model = fit(rows, labels)
-    kept = judged(materialize(perplexity(rows, model, with_text=True, word_model=word_model)), trusted, quantile, margin).where("keep")
+    trusted, model, words = fit(rows, labels)
+    kept = judged(materialize(perplexity(rows, model, with_text=True, words=words)), trusted, quantile, margin).where("keep")
     text = F.when(~F.col("no_text"), F.col("text")).alias("text")
     return kept.select(*(text if c == "text" else F.col(o).alias(c) for c, o in zip(docs.columns, own, strict=True)))
 

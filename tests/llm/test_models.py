@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clinloom.llm import quality, toxicity
+from clinloom.llm import quality, toxicity, word_model
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -195,7 +195,8 @@ def test_word_perplexity_against_plain_model(spark, sf):
     train = docs.where("doc_id < 200")
     model = quality.kneser_ney(quality.count_grams(train), quality.BYTES)
     words = quality.kneser_ney(quality.count_grams(train, quality.WORDS), quality.WORDS)
-    got = {r.doc_id: r.word_perplexity for r in quality.perplexity(docs, model, word_model=words).collect()}
+    packed = word_model.fit(train, quality.word_keys, 5)
+    got = {r.doc_id: r.word_perplexity for r in quality.perplexity(docs, model, words=packed).collect()}
     wanted = {i: quality.word_keys([t.encode()])[0] for i, t, *_ in rows if t and i is not None}
     asked = spark.createDataFrame([(int(k),) for k in {int(k) for v in wanted.values() for k in v}], "key long")
     logp = {r.key: r.logp for r in quality.log_probs(asked, words, quality.WORDS, 3).collect()}

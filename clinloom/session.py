@@ -74,3 +74,9 @@ def discard(df) -> None:
         if path.rsplit("/", 1)[-1].startswith("table-") and root.rsplit("/", 1)[-1] in path:
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(conf).delete(folder, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that nobody holds any more.  It
+    acts when the driver collects garbage, which a job of written stages seldom needs to."""
+    spark.sparkContext._jvm.System.gc()

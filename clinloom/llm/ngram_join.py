@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.llm.common import arrow_columns, each_text, id_text, map_arrow, table
-from clinloom.llm.graph import IdFilter, components
+from clinloom.llm.graph import IdFilter, joined_components
 from clinloom.session import materialize
 
 WIDTH, PERCENT, MOST_MATCHES = 5, 80, 4
@@ -379,7 +379,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
                             else further_partners(lists, percent, tried, links, step, 8))
         found = verify.links(pairs)
         tried, links = (pairs, found) if step == 0 else (tried.union(pairs), materialize(links.union(found)))
-        labels = components(links)
+        labels = joined_components(labels, found)
     named = materialize(classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     least = materialize(named.groupBy("comp").agg(F.min("rep").alias("component")))
     named = materialize(named.join(least, "comp").select("cls", "rep", "component"))

@@ -45,7 +45,7 @@ from clinloom.llm import word_model
 from clinloom.llm.common import arrow_columns, id_text, map_arrow, table
 from clinloom.llm.graph import IdFilter
 from clinloom.llm.token_frames import open_store
-from clinloom.session import checkpoint_dir, discard, materialize
+from clinloom.session import checkpoint_dir, discard, materialize, release_shuffles
 
 ORDER = 5
 BLOCK_BYTES = 16_000_000
@@ -300,7 +300,7 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
                 sums, again, sizes = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
                 cuts = [(lo, hi, *word_keys(texts[lo:hi])) for lo, hi in chunks(texts)]
                 if any(len(c[2]) for c in cuts):
-                    found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["ord", "range", "share", "weight"], partitioning=None)
+                    found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["ord", "range", "counts", "sums"], partitioning=None)
                     triples = np.unique(np.concatenate([c[2] for c in cuts]))
                     logs = word_model.log_probs(triples, found, words)
                     for lo, hi, asked, starts, n in cuts:
@@ -328,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple, word_mode
     model = kneser_ney(count_grams(unpacked(texts)))
     words = word_model.fit(unpacked(texts.where(~held_out())), word_keys)
     discard(texts)
+    release_shuffles(docs.sparkSession)
     return trusted, model, words
 
 

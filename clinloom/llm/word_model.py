@@ -12,9 +12,10 @@ the model keeps keys and counts in a file a range; discounts follow from counts
 counts, which are the only numbers the driver sees.
 
 Scoring lists a block's distinct n-grams of each order once.  A range's lists of all blocks meet
-its file in one task, which reads that file and answers every list: (c - d) / total of each
-n-gram, 0 if unseen, and the back-off weight of each context, 1 if unseen.  The answers go back to
-the block as one file, and interpolation is done there.
+its file in one task, which reads that file and answers every list with small integers: the count
+of each n-gram, and of each context its total and how many n-grams of it have counts 1, 2 and any;
+all are 0 where unseen.  The answers go back to the block as one file, and discounting and
+interpolation are done there.
 """
 from __future__ import annotations
 
@@ -187,25 +188,32 @@ class WordModel:
     first: tuple[float, float]
 
     def load(self, order: int, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, (c - d) / total of each, contexts and the weight of each (none for words)."""
+        """Keys, their counts, contexts, and the contexts' sums (4 rows: total, n-grams of count
+        1, of count 2, all); words have no contexts."""
         import pyarrow.fs as fs
         import pyarrow.parquet as pq
 
         store, root = open_store(f"{self.folder}/order={order}/range={part}")
         none = np.zeros(0, np.int64)
         if store.get_file_info(root).type == fs.FileType.NotFound:
-            return none, none.astype(np.float32), none, none.astype(np.float32)
+            return none, none, none, none.reshape(4, 0)
         rows = pq.read_table(root, filesystem=store, columns=["keys", "counts"], partitioning=None)
-        keys = unpack(rows["keys"][0].as_py(), np.int64, True)
-        c = unpack(rows["counts"][0].as_py(), np.int64)
-        cut = np.array([0.0, *self.cuts[order]])[np.minimum(c, 3)]
+        keys, c = unpack(rows["keys"][0].as_py(), np.int64, True), unpack(rows["counts"][0].as_py(), np.int64)
         if order == 1:
-            return keys, ((c - cut) / self.first[0]).astype(np.float32), none, none.astype(np.float32)
+            return keys, c, none, none.reshape(4, 0)
         context = keys >> BITS
         begin = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-        total, taken = np.add.reduceat(c, begin), np.add.reduceat(cut, begin)
-        share = (c - cut) / np.repeat(total, np.diff(np.append(begin, len(c))))
-        return keys, share.astype(np.float32), context[begin], (taken / total).astype(np.float32)
+        return keys, c, context[begin], np.stack([np.add.reduceat(x, begin) for x in (c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), np.ones_like(c))])
+
+    def left(self, order: int, c: np.ndarray) -> np.ndarray:
+        """Counts without their discounts."""
+        return c - np.array([0.0, *self.cuts[order]])[np.minimum(c, 3)]
+
+    def taken(self, order: int, sums: np.ndarray) -> np.ndarray:
+        """The weight of the order below in contexts of these sums (1 where unseen)."""
+        total, one, two, grams = sums
+        d = self.cuts[order]
+        return np.where(total > 0, (d[0] * one + d[1] * two + d[2] * (grams - one - two)) / np.maximum(total, 1), 1.0)
 
 
 def fit(texts: DataFrame, word_keys, ranges: int | None = None) -> WordModel:
@@ -243,56 +251,54 @@ def asked(name: int, triples: np.ndarray, ranges: int) -> Iterator[pa.RecordBatc
 
 
 def answers(rows: DataFrame, model: WordModel) -> DataFrame:
-    """(block, ord, range, share, weight) for each list."""
+    """(block, ord, range, counts, sums) for each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
         for b in batches:
-            share, weight = [], []
+            counts, sums = [], []
             for o, r, k in zip(*(x.to_pylist() for x in arrow_columns(b, "ord", "range", "keys")), strict=True):
                 if at != (o, r):
                     at, held = (o, r), model.load(o, r)
                 wanted = unpack(k, np.int64, True)
-                share.append(pack(looked_up(wanted, held[0], held[1], 0.0)))
+                counts.append(pack(looked_up(wanted, held[0], held[1])))
                 context = np.unique(wanted >> BITS) if o > 1 else wanted[:0]
-                weight.append(pack(looked_up(context, held[2], held[3], 1.0)))
-            yield pa.record_batch([*arrow_columns(b, "block", "ord", "range"), pa.array(share, pa.binary()), pa.array(weight, pa.binary())],
-                                  names=["block", "ord", "range", "share", "weight"])
+                sums.append(pack(looked_up(context, held[2], held[3]).ravel()))
+            yield pa.record_batch([*arrow_columns(b, "block", "ord", "range"), pa.array(counts, pa.binary()), pa.array(sums, pa.binary())],
+                                  names=["block", "ord", "range", "counts", "sums"])
 
     dealt_rows = rows.repartition("ord", "range").sortWithinPartitions("ord", "range")
-    return map_arrow(dealt_rows, run, "block long, ord int, range int, share binary, weight binary")
+    return map_arrow(dealt_rows, run, "block long, ord int, range int, counts binary, sums binary")
 
 
-def looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray, otherwise: float) -> np.ndarray:
+def looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The values of the wanted keys, 0 for those that are not there."""
     if not len(keys):
-        return np.full(len(wanted), otherwise, np.float32)
+        return np.zeros((*values.shape[:-1], len(wanted)), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], np.float32(otherwise)).astype(np.float32)
+    return values[..., at] * (keys[at] == wanted)
 
 
 def log_probs(triples: np.ndarray, found: pa.Table, model: WordModel) -> np.ndarray:
     """log p of a block's distinct 3-grams from the answers to its lists."""
-    got = {(o, r): (s, w) for o, r, s, w in zip(*(found[c].to_pylist() for c in ("ord", "range", "share", "weight")), strict=True)}
-    shares, weights = {}, {}
-    for order, keys in lists(triples).items():
+    got = {(o, r): (c, s) for o, r, c, s in zip(*(found[c].to_pylist() for c in ("ord", "range", "counts", "sums")), strict=True)}
+    known, p = lists(triples), None
+    for order in (1, 2, 3):
+        keys = known[order]
         by, begin = dealt(order, keys, model.ranges)
-        share = np.zeros(len(keys), np.float64)
-        contexts, of = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+        count, contexts, sums = np.zeros(len(keys), np.int64), [np.zeros(0, np.int64)], [np.zeros((4, 0), np.int64)]
         for r in np.flatnonzero(begin[1:] > begin[:-1]).tolist():
             own = by[begin[r]:begin[r + 1]]
-            s, w = got[order, r]
-            share[own] = unpack(s, np.float32)
+            c, s = got[order, r]
+            count[own] = unpack(c, np.int64)
             if order > 1:
                 contexts.append(np.unique(keys[own] >> BITS))
-                of.append(unpack(w, np.float32))
-        shares[order] = share
-        if order > 1:
-            context = np.concatenate(contexts)
-            sort = np.argsort(context)
-            at = np.searchsorted(context[sort], keys >> BITS)
-            weights[order] = np.concatenate(of)[sort][at].astype(np.float64)
-    known = lists(triples)
-    p = shares[1] + model.first[1] * UNSEEN
-    p = shares[2] + weights[2] * p[np.searchsorted(known[1], low(known[2], 1))]
-    p = shares[3] + weights[3] * p[np.searchsorted(known[2], low(triples, 2))]
+                sums.append(unpack(s, np.int64).reshape(4, -1))
+        if order == 1:
+            p = model.left(1, count) / model.first[0] + model.first[1] * UNSEEN
+            continue
+        context = np.concatenate(contexts)
+        sort = np.argsort(context)
+        of = np.concatenate(sums, axis=1)[:, sort][:, np.searchsorted(context[sort], keys >> BITS)]
+        p = model.left(order, count) / np.maximum(of[0], 1) + model.taken(order, of) * p[np.searchsorted(known[order - 1], low(keys, order - 1))]
     return np.log(p)

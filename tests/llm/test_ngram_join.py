@@ -117,3 +117,29 @@ def test_id_filter_misses_none(spark):
     h = np.array([r.h for r in ids.select(F.xxhash64("doc_id").alias("h")).collect()])
     other = np.array([r.h for r in spark.range(100000, 101000).select(F.xxhash64("id").alias("h")).collect()])
     assert f.passes(h).all() and f.passes(other).mean() < 0.01
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "cliques"])
+def test_components_of_any_shape(spark, shape):
+    """Links in three portions against union-find: a chain in order is the longest way to its root."""
+    rnd = random.Random(3)
+    links = {"chain": [(i, i + 1) for i in range(300)], "star": [(150, i) for i in range(300)],
+             "random": [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)],
+             "cliques": [(a, b) for k in range(0, 300, 12) for a in range(k, k + 12) for b in range(a, k + 12)]}[shape]
+    rnd.shuffle(links)
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    labels = None
+    for portion in (links[:100], links[100:101], links[101:]):
+        for a, b in portion:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+        labels = graph.joined_components(labels, spark.createDataFrame(portion, "a long, b long"))
+        got = {r.node: r.comp for r in labels.collect()}
+        alone = {x for x in root if x not in got}
+        assert got == {x: find(x) for x in root if x not in alone} and all(find(x) == x for x in alone)

@@ -6,9 +6,9 @@ key.  Time is cut into bins of ``bin_days``; an event lies in one bin, and a vis
 into the bins of its window ``[start - window_pre_days, end]``, so the join key is
 ``(person, bin)`` and no candidate is produced twice.
 
-*Long visits.*  Bins form levels by powers of two: a block of level l has 2**(6 l) bins.  A long
-window is cut into whole blocks, the larger the farther from its ends (at most 126 a level;
-the calendar ends before level 3).  Blocks are then opened level by level, from the top down,
+*Long visits.*  Bins form levels by powers of two: a block of level l has 2**(6 l) bins.  A
+window goes to the lowest level at which it touches at most 64 blocks (the calendar ends
+within 104 blocks of level 2).  Blocks are then opened level by level, from the top down,
 only where the person has events: a block meets the distinct (person, block) cells of the events one level
 below, at most 64, so an open-ended visit never spells out its bins and no join is on the person alone.
 
@@ -51,22 +51,9 @@ LEVEL_SHIFT = 6  # a block has 2**6 blocks of the level below
 _PER = 1 << LEVEL_SHIFT
 
 
-def _blocks(lo: F.Column, hi: F.Column) -> tuple[F.Column, F.Column]:
-    """The blocks lo..hi of a level as (array of single blocks at both ends, [first, last]
-    of the whole blocks of the next level between them).  Few blocks stay single."""
-    up, down = F.shiftright(lo + (_PER - 1), LEVEL_SHIFT), F.shiftright(hi + 1, LEVEL_SHIFT)  # whole: up .. down - 1
-    few = (hi - lo < _PER) | (up >= down)
-    ends = F.concat(_range(lo, F.shiftleft(up, LEVEL_SHIFT) - 1), _range(F.shiftleft(down, LEVEL_SHIFT), hi))
-    return F.when(few, _range(lo, hi)).otherwise(ends), F.when(~few, F.struct(up.alias("lo"), (down - 1).alias("hi")))
-
-
-def _range(lo: F.Column, hi: F.Column) -> F.Column:
-    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-
-
 def _binned_visits(visits: DataFrame, cells: DataFrame, person_col: str, window_pre_days: int, bin_days: int) -> DataFrame:
-    """One row per visit and bin: all bins of a short window, of a long one those at its
-    ends and those that ``cells`` (_v_person, _v_bin) name."""
+    """One row per visit and bin: all bins of a short window, of a long one those that
+    ``cells`` (_v_person, _v_bin) name."""
     lo = F.floor((_epoch_day(F.col("visit_start_date")) - window_pre_days) / bin_days).cast("bigint")
     hi = F.floor(_epoch_day(F.col("visit_end_date")) / bin_days).cast("bigint")
     v = visits.where(lo <= hi).select(
@@ -74,18 +61,21 @@ def _binned_visits(visits: DataFrame, cells: DataFrame, person_col: str, window_
         F.col("visit_start_date").alias("_v_start"), F.col("visit_end_date").alias("_v_end"), F.col("provider_id").alias("_v_provider"),
         lo.alias("_lo"), hi.alias("_hi"))
     kept = [c for c in v.columns if c not in ("_lo", "_hi")]
-    bins, blocks1 = _blocks(F.col("_lo"), F.col("_hi"))
-    v = v.withColumns({"_bins": bins, "_1": blocks1})
-    ones, blocks2 = _blocks(F.col("_1.lo"), F.col("_1.hi"))
-    long_visits = v.where(F.col("_1").isNotNull()).withColumns({"_ones": ones, "_2": blocks2})
-    # from the top down: blocks of level 2 open into those of level 1 with events, these into bins
-    top = long_visits.where(F.col("_2").isNotNull()).select(*kept, F.explode(F.sequence("_2.lo", "_2.hi")).alias("_up"))
-    cells = cells.where(F.col("_v_person").isNotNull()).select("_v_person", F.col("_v_bin").cast("bigint").alias("_v_bin")).distinct()
-    with_events = cells.select("_v_person", F.shiftright("_v_bin", LEVEL_SHIFT).alias("_one")).distinct()
-    opened = top.join(with_events.withColumn("_up", F.shiftright("_one", LEVEL_SHIFT)), ["_v_person", "_up"]).select(*kept, "_one")
-    inner = long_visits.select(*kept, F.explode("_ones").alias("_one")).unionByName(opened)
-    opened = inner.join(cells.withColumn("_one", F.shiftright("_v_bin", LEVEL_SHIFT)), ["_v_person", "_one"]).select(*kept, "_v_bin")
-    return v.select(*kept, F.explode("_bins").alias("_v_bin")).unionByName(opened)
+    at = lambda c, level: F.shiftright(c, level * LEVEL_SHIFT)
+    spans = [at("_hi", n) - at("_lo", n) < _PER for n in (0, 1)]
+    v = v.withColumn("_level", F.when(spans[0], 0).when(spans[1], 1).otherwise(2))
+    laid = lambda n: v.where(F.col("_level") == n).withColumn("_block", F.explode(F.sequence(at("_lo", n), at("_hi", n))))
+    # from the top down: a block opens into those of the level below that have events
+    cells = cells.where(F.col("_v_person").isNotNull()).select("_v_person", F.col("_v_bin").cast("bigint").alias("_below")).distinct()
+    above = cells.select("_v_person", at("_below", 1).alias("_below")).distinct()
+
+    def opened(blocks: DataFrame, below: DataFrame, level: int) -> DataFrame:
+        met = blocks.join(below.withColumn("_block", at("_below", 1)), ["_v_person", "_block"])
+        return met.where(F.col("_below").between(at("_lo", level), at("_hi", level))).withColumn("_block", F.col("_below")).drop("_below")
+
+    ones = laid(1).unionByName(opened(laid(2), above, 1))
+    bins = laid(0).unionByName(opened(ones, cells, 0))
+    return bins.select(*kept, F.col("_block").alias("_v_bin"))
 
 
 def hot_cells(cells: DataFrame, hot_rows: int) -> DataFrame:

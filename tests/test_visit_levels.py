@@ -38,13 +38,20 @@ def test_long_windows_vs_brute_force(spark, seed, bin_days, hot_rows, salt):
     assert got == _brute_match(events, vis, 7, True, True, "none")
 
 
-def test_blocks_cover_each_bin_once(spark):
-    spans = [(lo, lo + n) for lo in (-700, -64, -1, 0, 5, 63, 64, 1000) for n in (0, 1, 62, 63, 64, 127, 128, 129, 200, 10_000)]
-    df = spark.createDataFrame(spans, "lo long, hi long")
-    single, whole = visits._blocks(F.col("lo"), F.col("hi"))
-    for r in df.select("lo", "hi", single.alias("s"), whole.alias("w")).collect():
-        inner = list(range(r.w.lo * 64, (r.w.hi + 1) * 64)) if r.w else []
-        assert sorted(r.s + inner) == list(range(r.lo, r.hi + 1)) and len(r.s) <= 126
+def test_windows_meet_each_cell_once(spark):
+    """Windows of all lengths and places: exactly the person's cells inside, once each."""
+    spans = [(lo, lo + n) for lo in (-700, -64, -1, 0, 5, 63, 64, 1000) for n in (0, 1, 62, 63, 64, 127, 128, 129, 200, 4096, 10_000, 400_000)]
+    day = lambda n: DAY0.replace(year=1970) + dt.timedelta(days=n)
+    vis = spark.createDataFrame([(1, i, 9201, day(lo), day(hi), 1) for i, (lo, hi) in enumerate(spans)],
+                                "person_id long, visit_occurrence_id long, visit_concept_id long, visit_start_date date, visit_end_date date, provider_id long")
+    some = [*range(-800, 1200, 3), *range(2_000, 12_000, 61), 300_000, 399_999]
+    cells = spark.createDataFrame([(p, b) for b in some for p in (1, 2, None)], "_v_person long, _v_bin long")
+    got = {}
+    for r in visits._binned_visits(vis, cells.unionAll(cells), "person_id", 0, 1).collect():
+        got.setdefault(r._v_id, []).append(r._v_bin)
+    for i, (lo, hi) in enumerate(spans):
+        inside = list(range(lo, hi + 1)) if hi - lo < 64 else [b for b in some if lo <= b <= hi]
+        assert sorted(got.get(i, [])) == inside
 
 
 def test_no_join_on_the_person_alone(spark):

@@ -1,5 +1,6 @@
 """Personal data and secrets against Python's regular expressions."""
 import hashlib
+import math
 import re
 
 import pytest
@@ -70,6 +71,67 @@ def test_patterns_find_unseen_identifiers(spark):
     assert masked[8] == "user id: [ID] is new" and masked[0] == "user id: [EMAIL] and so" and masked[9] == texts[9]
 
 
+def test_seeds_in_prose_induce_patterns(spark):
+    """No label: words before and after seeds find identifiers that no base pattern knows; words
+    that mostly stand elsewhere are not trusted."""
+    texts = [f"please write to u{i}@mail.com the day" for i in range(9)] + ["please write to AB-2024-771 the day", "see the AB-9999-1 box", "the box the box 5555-12 the end"]
+    texts += ["the other thing was the same"] * 6 + [f"call 10.0.0.{i} asap" for i in range(9)] + ["seen 998877xx asap", "it is seen asap maybe"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [s.value for s in r.found] for r in personal_data.personal_data(docs).collect() if r.found}
+    assert got == {9: ["ab-2024-771"], 27: ["998877xx"]}
+    said = personal_data.report(docs).first()
+    assert (said.seeds, said.found) == (18, 2) and said.trusted >= 3 and said.patterns > said.trusted
+
+
+def test_scores_against_plain_rounds(spark):
+    """The graph of a random corpus in plain Python: occurrences, confidences, settled scores."""
+    import random
+
+    rnd = random.Random(4)
+    words = [f"w{c}" for c in "abcdef"]
+    value = lambda: rnd.choice([f"u{rnd.randrange(6)}@m.org", f"id{rnd.randrange(5)}777{rnd.randrange(3)}", rnd.choice(words)])
+    texts = [" ".join(x for _ in range(4) for x in (rnd.choice(words), value())) for _ in range(60)]
+    toks = [t.split() for t in texts]
+    kind = lambda x: "seed" if "@" in x else "open" if "777" in x else None
+    edges, uses, n = {}, {}, {}
+    for t in toks:
+        unit = []  # a seed's letters are words too
+        for x in t:
+            if "@" in x:
+                unit += [f"{x.split('@')[0]}@", "m.", "org"]
+            else:
+                unit.append(x)
+        for i, x in enumerate(unit):
+            n[x] = n.get(x, 0) + 1
+            if i:
+                n[unit[i - 1], x] = n.get((unit[i - 1], x), 0) + 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scanned = personal_data.scan(docs)
+    for r in scanned.collect():
+        for c in r.cues:
+            assert kind(c.value) == ("seed" if c.seed else "open")
+            for p in c.patterns:
+                k = (p.side, p.pattern)
+                edges.setdefault(k, {})[c.value] = edges.get(k, {}).get(c.value, False) or c.seed
+                uses[k] = uses.get(k, 0) + 1
+    edges = {k: v for k, v in edges.items() if any(v.values())}
+    seen = lambda k: n.get(tuple(k[1].split()) if k[0] == "two before" else k[1], 0)
+    score = {v: float(s) for e in edges.values() for v, s in e.items()}
+    while True:
+        conf = {k: sum(score[v] for v in e) / (len(e) + max(seen(k) - uses[k], 0) + 1) for k, e in edges.items()}
+        new = dict(score)
+        for v in score:
+            mine = [conf[k] for k, e in edges.items() if v in e]
+            if not any(e.get(v) for e in edges.values()):
+                new[v] = 1 - math.prod(1 - min(c, 0.999999) for c in mine)
+        grown = max(new[v] - score[v] for v in score)
+        score = new
+        if grown <= 0.001:
+            break
+    got = {(r.side, r.pattern): r.confidence for r in personal_data.trusted_patterns(scanned, docs, 0.0, 0.0).collect()}
+    assert got.keys() == conf.keys() and all(math.isclose(got[k], conf[k], rel_tol=1e-6) for k in conf)
+
+
 def test_mask_keeps_other_columns(spark):
     docs = spark.createDataFrame([(1, "x 1.2.3.4 y", "k"), (2, None, "k"), (None, "a@b.cc", "k"), (1, "x 1.2.3.4 y", "k")], "doc_id long, text string, kind string")
     got = personal_data.mask(docs)
@@ -100,7 +162,7 @@ def test_long_values_and_labels(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     scanned = personal_data.scan(docs)
     assert scanned.selectExpr("explode(cues) c").where("c.open").select("c.value").distinct().count() == 4
-    weight = {r.pattern: r.weight for r in personal_data.trusted_patterns(scanned).collect()}[f"{long_word}:"]
+    weight = {r.pattern: r.weight for r in personal_data.trusted_patterns(scanned, docs).where("side = 'before'").collect()}[f"{long_word}:"]
     assert 8 < weight <= 12
     masked = {r.doc_id: r.text for r in personal_data.mask(docs).collect()}
     assert all(masked[i] == f"{long_word}: [ID] is new" for i in range(8, 12))

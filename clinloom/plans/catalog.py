@@ -701,6 +701,49 @@ def q_visit_match_salted(spark, sf):
     return _src(m, "visit_occurrence_id", "visit_concept_id")
 
 
+def q_visit_sorted_file(spark, sf):
+    """O2: visits written in id order and read back: each row behind a smaller id of its file, or first
+    in a file whose ids all lie behind those of the file before."""
+    from pyspark.sql import Window
+    spec, ctx, _ = context(spark, sf)
+    v = D.visit_build(spark, spec.domains["visit"], ctx.person, ctx.death, ctx.excluded, spec, sort_by_id=True)["visit_occurrence"]
+    path = f"{_scratch(spark)}/visit_occurrence"
+    v.write.parquet(path)
+    rows = spark.read.parquet(path).select("visit_occurrence_id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    files = rows.groupBy("file").agg(F.min("visit_occurrence_id").alias("lo"), F.max("visit_occurrence_id").alias("hi"))
+    files = files.select("file", F.coalesce(F.lag("hi").over(Window.orderBy("file")) < F.col("lo"), F.lit(True)).alias("behind"))  # a row a file
+    before = F.lag("visit_occurrence_id").over(Window.partitionBy("file").orderBy("at"))
+    return rows.withColumn("before", before).join(files, "file").select(
+        "visit_occurrence_id", F.coalesce(F.col("before") < F.col("visit_occurrence_id"), F.col("behind")).alias("in_order"))
+
+
+def q_gap_export_csv(spark, sf):
+    """K7: the gap tables exported as CSV; the missing codes read back."""
+    from .jobs import gap_job
+    root = _scratch(spark)
+    missing = gap_job(*_gen_base(spark, sf), "condition", out_dir=root)["missing"]
+    back = spark.read.option("header", "true").csv(f"{root}/condition_missing")
+    return back.select(*(F.col(f.name).cast(f.dataType) for f in missing.schema))
+
+
+def q_exclusion_sheet_csv(spark, sf):
+    """The override and exclusion sheet saved as CSV, scanned, and the excluded persons taken."""
+    from ..sources.files import read_table, write_cdm
+    path = f"{_scratch(spark)}/sheet"
+    write_cdm(dv.override_sheet_raw(spark, sf), path, fmt="csv")
+    return cohort.excluded_persons(normalise_columns(read_table(spark, path, fmt="csv")))
+
+
+def q_batch_format_fallback(spark, sf):
+    """S3: a batch path without a format of which only the CSV form exists."""
+    from ..sources.files import write_cdm
+    from ..spec import Batch, domain
+    path = f"{_scratch(spark)}/condition"
+    write_cdm(dv.condition_feed(spark, sf), f"{path}.csv", fmt="csv")
+    b = load_batches(spark, domain("condition", (Batch("b", path=path),)))
+    return _src(b, "person_id", "provider_id", "hosp", "condition_start_date", "condition_start_datetime", "condition_source_value")
+
+
 def _one_person(spark, sf) -> DataFrame:
     """The condition feed with a third of its rows given to the person of the first row."""
     feed = dv.condition_feed(spark, sf)
@@ -804,6 +847,10 @@ QUERIES: dict[str, Query] = {
     "visit_match_open_ended": q_visit_match_open_ended,
     "visit_match_salted": q_visit_match_salted,
     "visit_match_hot_person": q_visit_match_hot_person,
+    "visit_sorted_file": q_visit_sorted_file,
+    "gap_export_csv": q_gap_export_csv,
+    "exclusion_sheet_csv": q_exclusion_sheet_csv,
+    "batch_format_fallback": q_batch_format_fallback,
     "stream_dedupe_incremental": q_stream_dedupe_incremental,
     "stream_options": q_stream_options,
     "stream_observation": q_stream_observation,

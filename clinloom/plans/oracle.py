@@ -800,6 +800,10 @@ q("stream_dedupe", "SELECT DISTINCT " + ", ".join(_NK) + " FROM cond_tbl", "cond
 q("stream_dedupe_incremental", "SELECT DISTINCT " + ", ".join(_NK) + " FROM cond_tbl", "cond_tbl")
 q("stream_options", "SELECT * EXCLUDE (condition_occurrence_id) FROM cond_tbl", "cond_tbl")
 q("stream_observation", "SELECT * EXCLUDE (observation_id), TRUE AS unique_id FROM obs_tbl", "obs_tbl")
+q("visit_sorted_file", "SELECT visit_occurrence_id, TRUE AS in_order FROM vis_tbl", "vis_tbl")
+q("exclusion_sheet_csv", "SELECT DISTINCT person_id FROM excluded", "excluded")
+q("batch_format_fallback", "SELECT _rid AS source_row, person_id, provider_id, hosp, condition_start_date, condition_start_datetime, "
+  "condition_source_value FROM cond_feed", "cond_feed")
 q("csv_feed_text_ids", "SELECT _rid AS source_row, person_id, provider_id, hosp, condition_start_date, condition_start_datetime, "
   "condition_source_value FROM cond_feed WHERE person_id IS NOT NULL", "cond_feed")
 q("note_csv_load", "SELECT * REPLACE (NULLIF(note_title, '') AS note_title, NULLIF(note_text, '') AS note_text, "
@@ -821,7 +825,7 @@ q("qc_totals", f"SELECT count_if(severity = 'ERROR') AS n_error, count_if(severi
 # File round trips return what their in-memory counterparts return.
 for _name, _same in (("vocab_tsv_concept_lookup", "concept_lookup"), ("provider_sheet_csv", "care_site_rollup"),
                      ("supplement_csv_fill", "supplement_fill"), ("supplement_repeated_code", "supplement_fill"),
-                     ("dedupe_job", "dedupe_counts"), ("pipeline_streamed", "pipeline_qc")):
+                     ("dedupe_job", "dedupe_counts"), ("pipeline_streamed", "pipeline_qc"), ("gap_export_csv", "gap_missing")):
     Q[_name] = Q[_same]
 # Plain CSV does not tell an empty string from a null: both load back as null.
 q("condition_csv_load", "SELECT * REPLACE (NULLIF(stop_reason, '') AS stop_reason, NULLIF(condition_source_value, '') "

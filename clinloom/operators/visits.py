@@ -78,12 +78,19 @@ def _binned_visits(visits: DataFrame, cells: DataFrame, person_col: str, window_
     return bins.select(*kept, F.col("_block").alias("_v_bin"))
 
 
+def event_cells(events: DataFrame, person_col: str, date_col: str, bin_days: int) -> DataFrame:
+    """(_v_person, _v_bin, n): the events of each person and bin, written (a narrow table)."""
+    from ..session import materialize
+    day_bin = F.floor(_epoch_day(F.col(date_col).cast("date")) / bin_days)
+    rows = events.select(F.col(person_col).alias("_v_person"), day_bin.alias("_v_bin")).where("_v_person is not null and _v_bin is not null")
+    return materialize(rows.groupBy("_v_person", "_v_bin").agg(F.count(F.lit(1)).alias("n")))
+
+
 def hot_cells(cells: DataFrame, hot_rows: int) -> DataFrame:
     """(_h_person, _h_bin, _parts): cells of more than ``hot_rows`` events and over how many
     tasks to spread them.  Written, so that Spark knows its size before it plans the joins."""
     from ..session import materialize
-    n = cells.where(F.col("_v_person").isNotNull()).groupBy("_v_person", "_v_bin").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(n.where(F.col("n") > hot_rows).select(
+    return materialize(cells.where(F.col("n") > hot_rows).select(
         F.col("_v_person").alias("_h_person"), F.col("_v_bin").alias("_h_bin"), F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts")))
 
 
@@ -110,6 +117,7 @@ def match_visits(
     dedupe_lookup: bool = True,
     salt: int = 1,
     hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Attach ``visit_occurrence_id`` and ``visit_concept_id`` of the best visit.
 
@@ -122,7 +130,8 @@ def match_visits(
 
     ``hot_rows`` spreads the (person, bin) keys of more events than that, ``salt`` > 1 every
     key over at least ``salt`` tasks: events get a salt from a hash of their key and
-    visits are repeated once per salt value.
+    visits are repeated once per salt value.  ``counted`` is a cheaper frame that has at
+    least the events' persons and dates (the feed they come from); cells are counted in it.
     """
     if null_9203 not in ("none", "pass2", "all"):
         raise ValueError("null_9203 must be none, pass2 or all")
@@ -140,7 +149,7 @@ def match_visits(
     ev = ev.withColumn("_e_bin", F.when(F.col(person_col).isNotNull(), F.coalesce(day_bin, nowhere)).otherwise(nowhere))
 
     lookup = dedupe_visit_lookup(visits, person_col=person_col) if dedupe_lookup else visits
-    cells = ev.select(F.col(person_col).alias("_v_person"), F.col("_e_bin").alias("_v_bin"))
+    cells = event_cells(events if counted is None else counted, person_col, date_col, bin_days)
     vb = _binned_visits(lookup, cells, person_col, window_pre_days, bin_days)
     parts, v_parts = F.lit(salt), F.lit(salt)
     if hot_rows is not None:

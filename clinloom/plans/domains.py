@@ -190,14 +190,15 @@ def fixed(*, zero: tuple[str, ...] = (), empty: tuple[str, ...] = (), no_id: tup
 class EventTable:
     """An event domain: its table and time columns, and what differs between domains.
 
-    ``steps`` act on the feed before the numbering, so rows they drop leave no gap.  ``gaps``
+    ``steps`` act on the feed before the numbering, so rows they drop leave no gap (each gets
+    the rows so far and the feed itself).  ``gaps``
     is a condition on numbered rows beside those on the person.  ``adds`` are the table's
     columns that the feed lacks.
     """
     table: str
     date: str
     time: str
-    steps: tuple[Callable[["EventTable", DomainSpec, Context, DataFrame], DataFrame], ...]
+    steps: tuple[Callable[["EventTable", DomainSpec, Context, DataFrame, DataFrame], DataFrame], ...]
     adds: Callable[[DataFrame], dict[str, Column]]
     rename: Mapping[str, str] = field(default_factory=dict)
     gaps: Callable[["EventTable", DomainSpec], Column] | None = None
@@ -217,52 +218,52 @@ def _detail() -> dict[str, Column]:
     return {"visit_detail_id": F.col("visit_occurrence_id")}  # P16
 
 
-def _before_cutoff(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _before_cutoff(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return cohort.apply_cutoff(df, date_col=ev.date, cutoff_year=dom.cutoff_year)
 
 
-def _of_person(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _of_person(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return cohort.not_null(df, "person_id")
 
 
-def _mapped(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _mapped(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return _map(df, dom, ctx)
 
 
-def _visited(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _visited(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     vm = dom.visit_match
     return visits.match_visit_two_pass(df, ctx.visit, date_col=ev.date, window_pre_days=vm.window_pre_days, order_by_diff=vm.order_by_diff,
                                        null_9203_pass2=vm.null_9203_pass2, bin_days=ctx.spec.bin_days, salt=ctx.spec.visit_salt,
-                                       hot_rows=ctx.spec.visit_hot_rows)
+                                       hot_rows=ctx.spec.visit_hot_rows, counted=feed)
 
 
-def _drug_quantity(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _drug_quantity(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return df.withColumn("quantity", (F.col("quantity_days") * F.col("days_supply")).cast("double"))  # P9
 
 
-def _first_procedures(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _first_procedures(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     """F10 and W12."""
     return cohort.first_per_key(cohort.not_null(df, "procedure_datetime"), ["person_id", "procedure_datetime", "procedure_source_value"],
                                 ["_batch", "_rid"])
 
 
-def _inpatient_visited(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _inpatient_visited(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     """J9 for the rows of the inpatient group; examinations have no visit."""
     exam = df.where("not _inpatient").withColumns(fixed(no_id=("visit_occurrence_id",)))
     stay = visits.match_visit_single(df.where("_inpatient"), ctx.visit, date_col=ev.date, null_9203=True, bin_days=ctx.spec.bin_days,
-                                     salt=ctx.spec.visit_salt, hot_rows=ctx.spec.visit_hot_rows)
+                                     salt=ctx.spec.visit_salt, hot_rows=ctx.spec.visit_hot_rows, counted=feed)
     return exam.unionByName(stay, allowMissingColumns=True)
 
 
-def _in_note_window(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _in_note_window(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return cohort.date_window(df, date_col=ev.date, start=dom.extra.get("cutoff_start", "2001-01-01"), end=dom.extra.get("cutoff_end", "2025-12-31"))
 
 
-def _distinct_results(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _distinct_results(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return measurement_prepare(df)
 
 
-def _first_results(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame) -> DataFrame:
+def _first_results(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
     return cohort.first_per_key(df, MEASUREMENT_DEDUPE_KEY, ids.input_order(df))  # W13
 
 
@@ -332,9 +333,9 @@ def event_rows(name: str, dom: DomainSpec, ctx: Context, source: DataFrame | Non
     """All numbered rows of an event domain, with ``_kept`` and ``_violating``."""
     ev = EVENTS[name]
     rows = source if source is not None else event_feed(name, dom, ctx)
-    rows = rows.drop("visit_occurrence_id")
+    feed = rows = rows.drop("visit_occurrence_id")
     for step in ev.steps:
-        rows = step(ev, dom, ctx, rows)
+        rows = step(ev, dom, ctx, rows, feed)
     # the conditions of the numbered rows are known before the numbering, which writes them
     width = F.lit(True)
     if ev.long_id:

@@ -70,7 +70,7 @@ def test_no_join_on_the_person_alone(spark):
 
 def test_hot_cells_are_spread(spark):
     """A person with a third of all events: no (person, bin, salt) key keeps more than a part."""
-    cells = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).cast("long").alias("_v_person"),
-                                       (F.col("id") % 2).alias("_v_bin"))
-    hot = visits.hot_cells(cells, 500).collect()
+    events = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).cast("long").alias("person_id"),
+                                        F.date_add(F.lit(DAY0), (F.col("id") % 2).cast("int")).alias("d"))
+    hot = visits.hot_cells(visits.event_cells(events, "person_id", "d", 1), 500).collect()
     assert {(r._h_person, r._parts) for r in hot} == {(7, 10)} and len(hot) == 2

@@ -6,18 +6,23 @@ import gc
 import os
 import re
 import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, pairwise
+from operator import not_
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Unicode White_Space, the class that `\s` means in the tokenizer patterns.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-_RARE = [c for c in WHITE if c not in " \n"]
+# Texts with other white space than single spaces and line feeds.
+_MIXED = "[ \n]{2}|[" + "".join(c for c in WHITE if c not in " \n") + "]"
 _SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 
@@ -88,14 +93,6 @@ def segments(text: str) -> list[str]:
     return _SEGMENT.findall(text)
 
 
-def spaced(text: str) -> list[str] | None:
-    """The segments of a text whose only white space is single spaces and line feeds,
-    without their leading space (a segment behind a line feed keeps that); else None."""
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or any(w in text for w in _RARE):
-        return None
-    return text.replace("\n", " \n").split(" ")
-
-
 _MARKS = frozenset(".,;:!?|")
 
 
@@ -138,7 +135,10 @@ class Memo:
 class SegmentCache:
     """Encodes texts through memos of their segments and of the segments' units (without
     ``split``, of segments only); ``encode(units)`` gives the bytes of the ids of each.  An
-    entry takes about 200 bytes, and there are twice as many as the bounds say at most."""
+    entry takes about 200 bytes, and there are twice as many as the bounds say at most.
+
+    Texts are cut and their segments numbered by Arrow; the memos are asked once for each
+    different segment of a call, and the bytes are laid out by these numbers."""
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], split: Callable[[str], Sequence[str]] | None = units,
                  most_segments: int = 250_000, most_units: int = 250_000):
@@ -155,13 +155,65 @@ class SegmentCache:
         get = self.units.ensure(u for p in parts for u in p).__getitem__
         return [get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for p in parts]
 
+    def _single_spaced(self, texts: pa.Array) -> list[bytes]:
+        """Segments here are what stands between spaces, a line feed counting as one
+        before itself; they are kept without their leading space."""
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        ends, numbered = cut.offsets.to_numpy(), cut.values.dictionary_encode()
+        first = cut.values.take(pa.array(ends[:-1])).to_pylist()  # no space before these
+        words = numbered.dictionary.to_pylist()
+        found = [*map(self.spaced.ensure(words).__getitem__, words), *map(self.segments.ensure(first).__getitem__, first)]
+        at = numbered.indices.to_numpy().copy()
+        at[ends[:-1]] = np.arange(len(words), len(found))
+        laid = pa.array(found, pa.large_binary()).take(pa.array(at))
+        _, offsets, data = laid.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[ends].tolist()
+        raw = memoryview(data) if data else b""
+        return [bytes(raw[a:z]) for a, z in pairwise(bounds)]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        easy = [spaced(t) for t in texts]
-        first = [segments(t) if e is None else e[:1] for t, e in zip(texts, easy, strict=True)]
-        rest = [[] if e is None else e[1:] for e in easy]
-        raw = self.segments.ensure(chain.from_iterable(first)).__getitem__
-        get = self.spaced.ensure(chain.from_iterable(rest)).__getitem__
-        return [b"".join(chain(map(raw, f), map(get, r))) for f, r in zip(first, rest, strict=True)]
+        if not texts:
+            return []
+        column = pa.array(texts, pa.string())
+        mixed = pc.match_substring_regex(column, _MIXED)
+        easy = iter(self._single_spaced(column.filter(pc.invert(mixed))))
+        kind = mixed.to_pylist()
+        cut = [segments(t) for t, m in zip(texts, kind, strict=True) if m]
+        get = self.segments.ensure(chain.from_iterable(cut)).__getitem__
+        hard = iter([b"".join(map(get, c)) for c in cut])
+        return [next(hard if m else easy) for m in kind]
+
+
+class JoinedEncoder:
+    """Ids of many units by few calls of a tokenizer.  Units for which ``joins`` holds are
+    encoded as one text, and its ids are cut where the tokens' lengths (in bytes) reach the
+    units' ends: the normaliser must keep these units' lengths, and no pre-token may span
+    two of them.  All others are encoded one by one."""
+
+    def __init__(self, tokenizer, kind: str, gap: str, joins: Callable[[str], bool], end_of_word: str = ""):
+        self.t, self.kind, self.gap, self.joins = tokenizer, kind, gap, joins
+        names = map(tokenizer.id_to_token, range(tokenizer.get_vocab_size()))
+        self.size = np.array([len(n.removesuffix(end_of_word)) for n in names])  # a character for a byte
+
+    def _each(self, units: list[str]) -> list[bytes]:
+        return [array(self.kind, e.ids).tobytes() for e in self.t.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _joined(self, units: list[str]) -> list[bytes]:
+        ids = array(self.kind, self.t.encode_batch_fast([self.gap.join(units)], add_special_tokens=False)[0].ids)
+        reached = np.cumsum(self.size[np.frombuffer(ids, self.kind)])
+        ends = np.cumsum([len(u.encode()) for u in units])
+        at = np.searchsorted(reached, ends) + 1
+        if len(reached) < at[-1] or (reached[at - 1] != ends).any() or reached[-1] != ends[-1]:
+            return self._each(units)
+        raw = ids.tobytes()
+        return [raw[a:z] for a, z in pairwise([0, *(ids.itemsize * at).tolist()])]
+
+    def __call__(self, units: list[str], together: int = 20_000) -> list[bytes]:
+        fits = [self.joins(u) for u in units]
+        join, rest = [list(compress(units, f)) for f in (fits, map(not_, fits))]
+        joined = iter([b for lo in range(0, len(join), together) for b in self._joined(join[lo:lo + together])])
+        each = iter(self._each(rest))
+        return [next(joined if f else each) for f in fits]
 
 
 def slices(texts: list[str], most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clinloom.llm.common import SegmentCache, arrow_columns, id_text, map_arrow, slices, table, worker_cache
+from clinloom.llm.common import WHITE, JoinedEncoder, SegmentCache, arrow_columns, id_text, map_arrow, slices, table, worker_cache
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY, END_ID = 1024, 0
@@ -113,9 +113,8 @@ class ByteCodec:
         self.t = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.t.encode_special_tokens = True
         self.kind = "H" if self.t.get_vocab_size() <= 1 << 16 else "I"
-        self.memo = SegmentCache(lambda units: [array(self.kind, e.ids).tobytes() for e in
-                                                self.t.encode_batch_fast(units, add_special_tokens=False)],
-                                 split=None, most_segments=300_000)
+        encode = JoinedEncoder(self.t, self.kind, "", lambda u: u[:1] in WHITE and u[-1:] not in WHITE)
+        self.memo = SegmentCache(encode, split=None, most_segments=300_000)
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         end = array(self.kind, [end_id]).tobytes()

@@ -22,7 +22,6 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import WHITE, SegmentCache, arrow_columns, id_text, map_arrow, slices, table, units, worker_cache
+from clinloom.llm.common import WHITE, JoinedEncoder, SegmentCache, arrow_columns, id_text, map_arrow, slices, table, units, worker_cache
 from clinloom.session import checkpoint_dir, materialize
 
 VOCABULARY = "word_bpe_49k.json"
@@ -48,12 +47,12 @@ class WordCodec:
         self.t = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.t.encode_special_tokens = True
         self.width = 2 if self.t.get_vocab_size() <= 1 << 16 else 4
-        self.encode = SegmentCache(self._ids, self._units)
+        encode = JoinedEncoder(self.t, "H" if self.width == 2 else "I", " ", self._stays, "</w>")
+        self.encode = SegmentCache(encode, self._units)
 
-    def _ids(self, units: list[str]) -> list[bytes]:
-        kind = "H" if self.width == 2 else "I"
-        return [array(kind, e.ids).tobytes()
-                for e in self.t.encode_batch_fast(units, add_special_tokens=False)]
+    def _stays(self, unit: str) -> bool:
+        """The normaliser keeps the unit's length.  It has no white space, and pre-tokens end at a space."""
+        return unit != "" and (unit.isascii() or self.t.normalizer.normalize_str(unit) == unit)
 
     @staticmethod
     def _units(segment: str) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from clinloom.llm import byte_bpe, packing, token_frames
-from clinloom.llm.common import SegmentCache, segments, units
+from clinloom.llm.common import JoinedEncoder, SegmentCache, segments, units
 
 TEXTS = ["", None, "Hello world, it's they'll  go\n\n now \t x.", "a  b   c \n \n d\xa0 e\x1c f", "x" * 3000 + " " + "ab" * 900,
          "日本語 のテキスト。 ÉÀ ß İ| İ! 12345 6", "same text", "same text", " \n", "<|endoftext|> plain", "word " * 4000]
@@ -41,6 +41,25 @@ def test_memo_forgets_without_changing_results():
         assert memo(["a b c d\ne", "b  c, d."]) == [b"a b c d\ne", b"b  c, d."]
 
 
+def test_joined_units_have_their_own_ids():
+    """Units encoded as one text, in any grouping, and units whose common ids cannot be cut."""
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    t.encode_special_tokens = True
+    units = ["ab", "it's", "", "İx", "Straße", "straße", "e\u0301", "日本語", "12345", "x" * 500, "\x1c\x1d", "don't.", "<|endoftext|>", "\x00"]
+    want = [np.array(t.encode(u, add_special_tokens=False).ids, "<u2").tobytes() for u in units]
+    for together in (1, 3, 100):
+        assert JoinedEncoder(t, "H", " ", token_frames.word_codec(None)._stays, "</w>")(units, together) == want
+    assert JoinedEncoder(t, "H", "", lambda u: True, "</w>")(["th", "e"]) == [np.array(t.encode(u, add_special_tokens=False).ids, "<u2").tobytes() for u in ("th", "e")]
+
+
+def test_segments_of_texts():
+    """Single spaced and other texts in one call, in order; empty calls and texts."""
+    cache = SegmentCache(lambda us: [u.encode() + b"|" for u in us], split=None)
+    assert cache([]) == []
+    assert cache(["", "a b", "\n", " ", "a  b", "b\nc d ", "\nb", "a\tb é\u3000"]) == [
+        b"|", b"a| b|", b"|\n|", b"| |", b"a|  b|", b"b|\nc| d| |", b"|\nb|", b"a|\tb| \xc3\xa9|\xe3\x80\x80|"]
+
+
 def test_encode_decode(docs, library):
     got = byte_bpe.decode(byte_bpe.encode(docs)).collect()
     assert len(got) == len(TEXTS) + 2

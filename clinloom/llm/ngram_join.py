@@ -362,11 +362,9 @@ def remaining(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.where((F.col("met") >= F.col("asked")) & ((100 + percent) * reach >= percent * (F.col("na") + F.col("nb")))).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, most: int = MOST_MATCHES) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id of every document: the component of the
-    links 100 * |A & B| >= percent * |A | B| and the class of equal sets, each named by
-    its smallest doc_id."""
-    docs = id_text(docs)
+def classes_and_rows(docs: DataFrame, width: int, percent: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """The classes (cls, rep, n, component), named by their smallest doc_ids, and
+    (doc_id, n, cls) of every row of ``docs`` (doc_id, text)."""
     sets, sketch = sets_and_sketch(docs, width)
     classes = materialize(sets.where("doc_id is not null and cls is not null").groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("outline").alias("outline")))
@@ -380,11 +378,18 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         found = verify.links(pairs)
         tried, links = (pairs, found) if step == 0 else (tried.union(pairs), materialize(links.union(found)))
         labels = joined_components(labels, found)
-    named = materialize(classes.select("cls", "rep").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
+    named = materialize(classes.drop("outline").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")))
     least = materialize(named.groupBy("comp").agg(F.min("rep").alias("component")))
-    named = materialize(named.join(least, "comp").select("cls", "rep", "component"))
+    return materialize(named.join(least, "comp").drop("comp")), sets.drop("outline")
+
+
+def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, most: int = MOST_MATCHES) -> DataFrame:
+    """doc_id, n_shingles, component_id, class_id of every document: the component of the
+    links 100 * |A & B| >= percent * |A | B| and the class of equal sets, each named by
+    its smallest doc_id."""
+    classes, rows = classes_and_rows(id_text(docs), width, percent, most)
     own = F.col("doc_id").isNotNull()
-    return sets.drop("outline").join(named, "cls", "left").select(
+    return rows.join(classes.select("cls", "rep", "component"), "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(own, F.coalesce("component", "doc_id")).alias("component_id"),
         F.when(own, F.coalesce("rep", "doc_id")).alias("class_id"))
 

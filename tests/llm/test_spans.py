@@ -167,3 +167,19 @@ def test_long_values_and_labels(spark):
     masked = {r.doc_id: r.text for r in personal_data.mask(docs).collect()}
     assert all(masked[i] == f"{long_word}: [ID] is new" for i in range(8, 12))
     assert personal_data.mask(spark.createDataFrame([(1, "a" * 300_000 + " " + "1" * 300_000 + ": " + "b=" * 50_000)], "doc_id long, text string")).count() == 1
+
+
+def test_occurrences_are_counted_before_the_join(spark):
+    """What is joined with the induced patterns are counts, not every occurrence."""
+    from pyspark.sql import functions as F
+
+    from clinloom.session import materialize
+
+    docs = spark.createDataFrame([(i, "mail me at home, mail me", "s", "", "") for i in range(50)], SCHEMA).repartition(2)
+    induced = materialize(spark.createDataFrame([("mail", ""), ("mail", "me"), ("absent", "")], "one string, two string").select(
+        F.when(F.col("two") == "", F.xxhash64("one")).otherwise(F.xxhash64("one", "two")).alias("key"), "one", "two"))
+    seen = personal_data.occurrences(docs, induced.select("key").distinct())
+    assert {(r.one, r.two): r.n for r in induced.join(seen, "key").collect()} == {("mail", ""): 100, ("mail", "me"): 100}
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    counts = next(i for i, line in enumerate(plan.splitlines()) if "Aggregate" in line and "count(1)" in line)
+    assert "Join" in "".join(plan.splitlines()[:counts])

@@ -70,7 +70,8 @@ def _binned_visits(visits: DataFrame, cells: DataFrame, person_col: str, window_
     above = cells.select("_v_person", at("_below", 1).alias("_below")).distinct()
 
     def opened(blocks: DataFrame, below: DataFrame, level: int) -> DataFrame:
-        met = blocks.join(below.withColumn("_block", at("_below", 1)), ["_v_person", "_block"])
+        # the cells are as many as there are events: not for the driver
+        met = blocks.join(below.withColumn("_block", at("_below", 1)).hint("merge"), ["_v_person", "_block"])
         return met.where(F.col("_below").between(at("_lo", level), at("_hi", level))).withColumn("_block", F.col("_below")).drop("_below")
 
     ones = laid(1).unionByName(opened(laid(2), above, 1))
@@ -163,7 +164,7 @@ def match_visits(
     d = F.col(date_col).cast("date")
     cond = ((ev[person_col] == vb["_v_person"]) & (ev["_e_bin"] == vb["_v_bin"]) & (ev["_salt"] == vb["_v_salt"])
             & (F.date_sub(vb["_v_start"], window_pre_days) <= d) & (d <= vb["_v_end"]))
-    cand = ev.join(vb, cond, "left")
+    cand = ev.join(vb.hint("merge"), cond, "left")  # the window below needs the shuffle anyway, the driver no visits
 
     pm = (F.coalesce(F.col(provider_col).cast("bigint") == F.col("_v_provider").cast("bigint"), F.lit(False))
           if use_provider else F.lit(False))

@@ -2,8 +2,9 @@
 
 The vocabulary is two DataFrames (CONCEPT, CONCEPT_RELATIONSHIP), read as
 strings.  A mapping table per source vocabulary has one row per source code; it
-is joined to the data on the transformed code.  Its size is that of one source
-vocabulary, so the join is left to AQE's runtime broadcast decision.
+is joined to the data on the transformed code.  A domain build first looks up the distinct
+codes of its feed (``looked_up``), so that what meets the rows, and may be broadcast, follows
+the codes in use and not the vocabulary.
 """
 from __future__ import annotations
 
@@ -66,7 +67,7 @@ def mapping_table(concept: DataFrame, relationship: DataFrame, vocabulary_id: st
     ``Maps to`` target, 0 and unmapped when there is none."""
     src = valid_source_concepts(concept, vocabulary_id)
     edges = maps_to_edges(relationship, concept, require_standard=require_standard)
-    j = src.join(edges, src["cid"] == edges["c1"], "left")
+    j = src.join(edges.hint("merge"), src["cid"] == edges["c1"], "left")  # as large as the vocabulary: not for the driver
     is_std = F.col("std") == "S"
     tgt = F.coalesce(F.col("tgt"), F.lit(0))
     return j.select(
@@ -92,19 +93,35 @@ def last_entries(supplement: DataFrame) -> DataFrame:
             .groupBy("code").agg(F.max_by("concept_id", "_at").alias("concept_id")))
 
 
+def looked_up(codes: DataFrame, table: DataFrame, supplement: DataFrame | None) -> DataFrame:
+    """The entries of the distinct ``codes`` (_code), written, so that Spark knows their size
+    before it plans the join with the rows.  The vocabulary's sides are never broadcast: the
+    estimate from their compressed files is far below what they take in the driver."""
+    from ..session import materialize
+    found = codes.join(table.hint("merge"), "_code", "left")
+    return materialize(found if supplement is None else found.join(supplement.hint("merge"), "_code", "left"))
+
+
 def apply_standard_mapping(df: DataFrame, table: DataFrame, rule: MappingRule,
-                           supplement: DataFrame | None = None) -> DataFrame:
+                           supplement: DataFrame | None = None, feed: DataFrame | None = None) -> DataFrame:
     """J15 (+ J16): write the standard and source concept columns, 0 when unmapped;
     rows still at 0 take the supplement's concept (source concept unchanged).  A
-    null code maps to 0 and is not reported (T8)."""
+    null code maps to 0 and is not reported (T8).  ``feed`` is a cheaper frame that has at
+    least the source values of ``df`` (the feed it comes from); codes are looked up in it."""
     code = transform_code(F.col(rule.source_col), rule.code_transform)
     t = table.select(F.col("source_code").alias("_code"), F.col("source_concept_id").alias("_src_cid"),
                      F.col("concept_id").alias("_std_cid"))
-    out = df.withColumn("_code", code).join(t, "_code", "left")
-    concept = F.coalesce(F.col("_std_cid"), F.lit(0)).cast("bigint")
+    s = None
     if supplement is not None:
         s = last_entries(supplement).withColumnsRenamed({"code": "_code", "concept_id": "_supp"})  # one row per code
-        out = out.join(s, "_code", "left")
+    out = df.withColumn("_code", code)
+    if feed is not None and rule.source_col in feed.columns:
+        out = out.join(looked_up(feed.select(code.alias("_code")).where("_code is not null").distinct(), t, s), "_code", "left")
+    else:
+        out = out.join(t, "_code", "left")
+        out = out if s is None else out.join(s, "_code", "left")
+    concept = F.coalesce(F.col("_std_cid"), F.lit(0)).cast("bigint")
+    if supplement is not None:
         concept = F.when(concept == 0, F.coalesce(F.col("_supp"), F.lit(0))).otherwise(concept).cast("bigint")
     out = out.withColumn(rule.concept_col, concept).withColumn(
         rule.source_concept_col, F.coalesce(F.col("_src_cid"), F.lit(0)).cast("bigint"))

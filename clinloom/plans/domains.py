@@ -67,14 +67,14 @@ def _number(a: DataFrame, ctx: Context, dom: DomainSpec, *, id_col: str, datetim
                                        domain_code=dom.domain_code, seq_width=dom.seq_width)
 
 
-def _map(df: DataFrame, dom: DomainSpec, ctx: Context) -> DataFrame:
+def _map(df: DataFrame, dom: DomainSpec, ctx: Context, feed: DataFrame | None = None) -> DataFrame:
     """Apply the domain's mapping rule when there is one and a vocabulary."""
     if dom.mapping is None or ctx.concept is None:
         return df
     ctx.mapped_input[dom.name] = df
     table = vocab.mapping_table(ctx.concept, ctx.relationship, dom.mapping.vocabulary_id,
                                 require_standard=dom.mapping.require_standard)
-    return vocab.apply_standard_mapping(df, table, dom.mapping, dom.supplement)
+    return vocab.apply_standard_mapping(df, table, dom.mapping, dom.supplement, feed)
 
 
 # ---------------------------------------------------------------- D1 person
@@ -227,7 +227,7 @@ def _of_person(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, fee
 
 
 def _mapped(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:
-    return _map(df, dom, ctx)
+    return _map(df, dom, ctx, feed)
 
 
 def _visited(ev: EventTable, dom: DomainSpec, ctx: Context, df: DataFrame, feed: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from clinloom.functions import columns as C
-from clinloom.operators import cohort, dedupe, visits
+from clinloom.operators import cohort, dedupe, visits, vocab
 from clinloom.operators.rollup import care_site_build
 from clinloom.plans import compare as CMP
 from clinloom.plans import quality as Q
@@ -165,3 +165,30 @@ def test_salted_match_equals_unsalted(spark):
     cols = ["_rid", "visit_occurrence_id", "visit_concept_id"]
     assert a.count() == b.count() == f.count()
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_vocabulary_and_visits_are_not_broadcast(spark):
+    """What meets the rows of a build is looked up for the codes in use; sides that grow with the
+    input stay out of the driver."""
+    concept = spark.createDataFrame([("1", "K1", "KCD7", "S", ""), ("2", "K2", "KCD7", "", ""), ("3", "K3", "KCD7", "", ""), ("4", "K4", "KCD7", "", "")],
+                                    "concept_id string, concept_code string, vocabulary_id string, standard_concept string, invalid_reason string")
+    edges = spark.createDataFrame([("2", "20", "Maps to", "")], "concept_id_1 string, concept_id_2 string, relationship_id string, invalid_reason string")
+    table = vocab.mapping_table(concept, edges, "KCD7")
+    assert "Broadcast" not in table._jdf.queryExecution().executedPlan().toString()
+    rule = vocab.MappingRule("code", "KCD7", "cid", "src")
+    supplement = spark.createDataFrame([("K3", 30), ("K3", 31), ("K9", 90), (None, 5)], "code string, concept_id long").coalesce(1)
+    feed = spark.createDataFrame([(1, "K1"), (2, "K2"), (3, "K3"), (4, "K9"), (5, None), (6, "K1"), (7, "no")], "k int, code string")
+    want = {(1, 1, 1), (2, 20, 2), (3, 31, 3), (4, 90, 0), (5, 0, 0), (6, 1, 1), (7, 0, 0)}
+    for given in (None, feed):
+        out = vocab.apply_standard_mapping(feed.where("k < 8"), table, rule, supplement, given)
+        assert {(r.k, r.cid, r.src) for r in out.collect()} == want and out.count() == 7
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "KCD7" not in plan and plan.count("Join") == 1  # the rows meet the written lookup only
+    visit = spark.createDataFrame([(1, 7, 9201, "2024-01-01", "9999-12-31", None)], "visit_occurrence_id long, person_id long, visit_concept_id long, "
+                                  "visit_start_date string, visit_end_date string, provider_id long")
+    visit = visit.withColumns({c: F.col(c).cast("date") for c in ("visit_start_date", "visit_end_date")})
+    events = spark.createDataFrame([(1, 7, "2024-05-05"), (2, 8, "2024-05-05"), (3, None, None)], "_rid long, person_id long, d string")
+    met = visits.match_visit_two_pass(events.withColumn("d", F.col("d").cast("date")), visit, date_col="d", event_key="_rid")
+    assert {(r._rid, r.visit_occurrence_id) for r in met.collect()} == {(1, 1), (2, None), (3, None)}
+    joins = [line for line in met._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("Broadcast" in line for line in joins)

@@ -94,12 +94,14 @@ def last_entries(supplement: DataFrame) -> DataFrame:
 
 
 def looked_up(codes: DataFrame, table: DataFrame, supplement: DataFrame | None) -> DataFrame:
-    """The entries of the distinct ``codes`` (_code), written, so that Spark knows their size
-    before it plans the join with the rows.  The vocabulary's sides are never broadcast: the
+    """The entries of the distinct ``codes`` (_code) that have one, written, so that Spark knows
+    their size before it plans the join with the rows.  The vocabulary's sides are never broadcast: the
     estimate from their compressed files is far below what they take in the driver."""
     from ..session import materialize
     found = codes.join(table.hint("merge"), "_code", "left")
-    return materialize(found if supplement is None else found.join(supplement.hint("merge"), "_code", "left"))
+    if supplement is not None:
+        found = found.join(supplement.hint("merge"), "_code", "left")
+    return materialize(found.where(F.coalesce(*found.drop("_code").columns).isNotNull()))
 
 
 def apply_standard_mapping(df: DataFrame, table: DataFrame, rule: MappingRule,

@@ -182,6 +182,9 @@ def test_vocabulary_and_visits_are_not_broadcast(spark):
     for given in (None, feed):
         out = vocab.apply_standard_mapping(feed.where("k < 8"), table, rule, supplement, given)
         assert {(r.k, r.cid, r.src) for r in out.collect()} == want and out.count() == 7
+    codes = feed.select(F.col("code").alias("_code"))
+    found = vocab.looked_up(codes.distinct(), table.select(F.col("source_code").alias("_code"), "concept_id"), None)
+    assert {r._code for r in found.collect()} == {"K1", "K2", "K3"}  # codes without an entry are left out
     plan = out._jdf.queryExecution().analyzed().toString()
     assert "KCD7" not in plan and plan.count("Join") == 1  # the rows meet the written lookup only
     visit = spark.createDataFrame([(1, 7, 9201, "2024-01-01", "9999-12-31", None)], "visit_occurrence_id long, person_id long, visit_concept_id long, "

@@ -86,3 +86,36 @@ def test_csv_sides_load_typed(spark, tmpdir_path):
                        (12401010200003, dt.date(2024, 1, 2), None)]
     inferred = jobs.load_side(spark, path=f"{tmpdir_path}/csv/condition_occurrence.csv")
     assert dict(inferred.dtypes)["person_id"] in ("int", "bigint")
+
+
+def test_note_texts_stay_out_of_the_numbering(spark, monkeypatch):
+    """Match and numbering carry no text; each note has its own at the end, whatever its keys repeat."""
+    import datetime as dt
+
+    from clinloom.plans import domains
+    from clinloom.spec import PipelineSpec, domain
+
+    seen, number = [], domains._number
+
+    def watched(a, *args, **kw):
+        seen.append(a.columns)
+        return number(a, *args, **kw)
+
+    monkeypatch.setattr(domains, "_number", watched)
+    day = dt.date(2024, 1, 5)
+    rows = [(10000001, day, dt.datetime(2024, 1, 5, 9, i), "title", "$$$$" + f"text {i} " * 50, 7, 1, 0, i // 2 if i < 4 else None) for i in range(6)]
+    rows.append((10000001, day, None, None, None, None, 2, 0, 9))
+    source = spark.createDataFrame(rows, "person_id long, note_date date, note_datetime timestamp_ntz, note_title string, note_text string, "
+                                         "provider_id long, hosp int, _batch int, _rid long").repartition(3)
+    person = spark.createDataFrame([(10000001, 1980, 1)], "person_id long, year_of_birth int, month_of_birth int")
+    visit = spark.createDataFrame([(10000001, 77, 9201, day, day, 7)], "person_id long, visit_occurrence_id long, visit_concept_id long, "
+                                                                      "visit_start_date date, visit_end_date date, provider_id long")
+    ctx = domains.Context(spark, PipelineSpec(domains={}), person, spark.createDataFrame([], "person_id long, death_date date"), visit,
+                          spark.createDataFrame([], "person_id long"))
+    got = domains.event_build("note", domain("note"), ctx, source)[0].collect()
+    assert seen and "note_text" not in seen[0]
+    dated = [r for r in got if r.note_datetime]
+    assert len(got) == len(dated) + 1 and len({r.note_id for r in got}) == len(got)
+    assert {r.visit_occurrence_id for r in dated} == {77} and {r.note_title for r in dated} == {'"title"'}
+    assert all(r.note_text == '"' + f"text {r.note_datetime.minute} " * 50 + '"' for r in dated)
+    assert [r.note_text for r in got if not r.note_datetime] == [None]

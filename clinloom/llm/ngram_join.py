@@ -337,29 +337,34 @@ def _most_met(met: DataFrame, percent: int, partners: int, seed: int) -> DataFra
     return best.select("a", F.explode(F.slice("s", 1, partners)).alias("p")).select("a", "p.b")
 
 
-def remaining(lists: DataFrame, percent: int) -> DataFrame:
-    """All candidates between components that are left."""
+def meetings(lists: DataFrame, percent: int) -> DataFrame:
+    """The postings of different components that meet in a list and may be a linked pair's first.
+
+    All that a linked pair has in common is its first common token, in the tokens' order, or lies
+    behind it in both sets, and that token is in both prefixes.  So only tokens whose positions
+    allow the threshold without any common one before them bring a pair up."""
+    lists = lists.where(100 * (F.col("n") - F.col("pos")) >= percent * F.col("n"))  # a partner has at least what is common
     size = lists.groupBy("token", "comp").agg(F.count("*").alias("size"))
     base = materialize(size.groupBy("token").agg(F.max_by("comp", F.struct("size", "comp")).alias("base")))
     lists = materialize(lists.join(base, "token").withColumn("in_base", F.col("comp") == F.col("base")).drop("base"))
     a = lists.where("not in_base").select("token", *(F.col(c).alias(f"{c}_a") for c in ("cls", "comp", "n", "pos", "asked")))
     b = lists.select("token", "in_base", *(F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "n", "pos", "asked")))
     met = a.join(b, "token").where((F.col("comp_a") != F.col("comp_b")) & (F.col("in_base") | (F.col("cls_a") < F.col("cls_b"))))
-    met = met.where(_fits("n_a", "n_b", percent))
-    # of a linked pair's first common tokens, as many as are asked for, each has fewer common
-    # ones before it than that, and no more than its positions say; the rest lies behind it
-    before = F.least(F.col("asked_a") - 1, F.col("asked_b") - 1, "pos_a", "pos_b")
-    behind = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + before
-    met = met.where((100 + percent) * behind >= percent * (F.col("n_a") + F.col("n_b")))
+    behind = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    return met.where(_fits("n_a", "n_b", percent) & ((100 + percent) * behind >= percent * (F.col("n_a") + F.col("n_b"))))
+
+
+def remaining(lists: DataFrame, percent: int) -> DataFrame:
+    """All candidates between components that are left.  A pair's matches are counted in its two
+    prefixes once it has met, so common tokens behind the first ones make no rows."""
     # a pair may meet as (outside, base) in one list and as (base, outside) in another
-    swap = F.col("cls_a") > F.col("cls_b")
-    pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    pairs = met.groupBy(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).agg(
-        F.count("*").alias("met"), F.first(F.least("asked_a", "asked_b")).alias("asked"),
-        F.first(pick("n_a", "n_b")).alias("na"), F.first(pick("n_b", "n_a")).alias("nb"),
-        F.min(pick("pos_a", "pos_b")).alias("pa"), F.min(pick("pos_b", "pos_a")).alias("pb"))
-    reach = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return pairs.where((F.col("met") >= F.col("asked")) & ((100 + percent) * reach >= percent * (F.col("na") + F.col("nb")))).select("a", "b")
+    pairs = materialize(meetings(lists, percent).groupBy(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).agg(
+        F.first(F.least("asked_a", "asked_b")).alias("asked")))
+    in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    prefixes = materialize(lists.join(in_pairs, "cls", "left_semi").groupBy("cls").agg(F.collect_list("token").alias("tokens")))
+    of = lambda x: prefixes.select(F.col("cls").alias(x), F.col("tokens").alias(f"t{x}"))
+    both = F.size(F.array_intersect("ta", "tb"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(both >= F.col("asked")).select("a", "b")
 
 
 def classes_and_rows(docs: DataFrame, width: int, percent: int, most: int) -> tuple[DataFrame, DataFrame]:

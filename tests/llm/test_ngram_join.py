@@ -103,6 +103,18 @@ def test_prefix_lemma():
         assert len(np.intersect1d(a[pa], b[pb])) >= min(la, lb)
 
 
+def test_late_common_tokens_make_no_rows(spark):
+    """A group and near copies that are too far from it meet in the same lists, behind too many
+    own tokens; a pair that fits is found once, whatever else it shares."""
+    near = [(t, c, 146, 8 + t, 4, 0) for c in range(40) for t in range(5)]
+    far = [(t, c, 146, 18 + t, 4, c) for c in range(100, 140) for t in range(5)]
+    fits = [(t, 200, 146, 5 + t, 4, 200) for t in range(5)]
+    lists = spark.createDataFrame(near + far + fits, "token long, cls long, n long, pos long, asked long, comp long")
+    made = ngram_join.meetings(lists, 80).collect()
+    assert {r.cls_a for r in made} == {200} and {r.cls_b for r in made} == set(range(40))
+    assert sorted(map(tuple, ngram_join.remaining(lists, 80).collect())) == [(c, 200) for c in range(40)]
+
+
 def test_chain_components(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 999), (7000, 1000)]
     got = {r.node: r.comp for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}

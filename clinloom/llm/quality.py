@@ -12,7 +12,7 @@ Scoring reads the texts three times.  For the byte model each task lists the dis
 every block of documents; the lists of all blocks are joined with the tables of all
 orders (back-off where one is unseen), and the probabilities go back to each block
 as one file of a table partitioned by block.  The word model does the same with packed arrays
-(``word_model.py``).  Then each task scores its blocks with those
+(``word_model.py``), some of the partitions at a time.  Then each task scores its blocks with those
 files.  So neither the model nor a text is broadcast or shuffled, and a block's file
 is bounded by the block.  A block's name is a hash of its content: were it cut differently
 the second time, its file would be missing and the task would fail.  The input should be
@@ -35,6 +35,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,7 @@ from clinloom.session import checkpoint_dir, discard, materialize, release_shuff
 
 ORDER = 5
 BLOCK_BYTES = 16_000_000
+WAVES, WAVE_BYTES = 8, 64_000_000  # waves at most, and bytes of text that need no second one
 _PAD = b"\n" * (ORDER - 1)
 WORD_ORDER, WORD_BITS, _WORD = word_model.ORDER, word_model.BITS, word_model.WORD
 
@@ -250,10 +252,27 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int, with_text: bool = False
         yield block()
 
 
+def remove(folder: str) -> None:
+    """Remove a written folder whose last reader is done."""
+    store, root = open_store(folder)
+    store.delete_dir(root)
+
+
+def _with(score: Callable, word_folder: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return score(batches, word_folder)
+
+    return run
+
+
 def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], float], block_bytes: int = BLOCK_BYTES,
-               with_text: bool = False, words: word_model.WordModel | None = None) -> DataFrame:
+               with_text: bool = False, words: word_model.WordModel | None = None, waves: int | None = None) -> DataFrame:
     """The columns of ``docs`` (``text`` only if asked for), n_bytes and perplexity, of every
-    row; with a model of words also n_words, word_perplexity and repeats."""
+    row; with a model of words also n_words, word_perplexity and repeats.
+
+    The word n-grams of a text take more room than the text.  So with a model of words the partitions
+    of ``docs`` are scored in up to ``WAVES`` waves, whose lists and answers are removed before the next one;
+    each wave's rows are written, and the result reads them."""
     spark = docs.sparkSession
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,12 +291,9 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
     asked.join(known, "key").repartition("block").write.partitionBy("block").parquet(folder)
     for t in (asked, known):
         discard(t)
-    word_folder = f"{folder}-words" if words else None
-    if words:
-        lists = map_arrow(docs, word_lists, "ord int, range int, block long, keys binary")
-        word_model.answers(lists, words).repartition("block").write.partitionBy("block").parquet(word_folder)
+    release_shuffles(spark)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.RecordBatch], word_folder: str | None = None) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
         store, root = open_store(folder)
@@ -318,7 +334,23 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if with_text or f.name != "text")
     more = ", n_words long, word_perplexity double, repeats double" if words else ""
-    return map_arrow(docs, score, f"{kept}, n_bytes long, perplexity double{more}")
+    schema = f"{kept}, n_bytes long, perplexity double{more}"
+    if not words:
+        return map_arrow(docs, score, schema)
+    if waves is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        waves = min(-(-size // WAVE_BYTES), WAVES) or 1
+    scored = []
+    for wave in range(waves):
+        own = docs.where(F.pmod(F.spark_partition_id(), F.lit(waves)) == wave) if waves > 1 else docs
+        word_folder = f"{folder}-words-{wave}"
+        lists = map_arrow(own, word_lists, "ord int, range int, block long, keys binary")
+        word_model.answers(lists, words).repartition("block").write.partitionBy("block").parquet(word_folder)
+        scored.append(materialize(map_arrow(own, _with(score, word_folder), schema)))
+        remove(word_folder)
+        release_shuffles(spark)
+    remove(folder)
+    return reduce(DataFrame.union, scored)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, tuple, word_model.WordModel]:
@@ -357,7 +389,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin
     thresholds, reason and keep of every row of ``docs``."""
     docs = id_text(docs, F.col("lang").cast("string").alias("lang"))
     trusted, model, words = fit(docs, labels)
-    return judged(materialize(perplexity(docs, model, words=words)), trusted, quantile, margin)
+    return judged(perplexity(docs, model, words=words), trusted, quantile, margin)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.1) -> DataFrame:
@@ -367,7 +399,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margi
     rows = docs.select(*(F.col(c).alias(o) for c, o in zip(docs.columns, own, strict=True) if c != "text"), F.col("text").isNull().alias("no_text"),
                        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     trusted, model, words = fit(rows, labels)
-    kept = judged(materialize(perplexity(rows, model, with_text=True, words=words)), trusted, quantile, margin).where("keep")
+    kept = judged(perplexity(rows, model, with_text=True, words=words), trusted, quantile, margin).where("keep")
     text = F.when(~F.col("no_text"), F.col("text")).alias("text")
     return kept.select(*(text if c == "text" else F.col(o).alias(c) for c, o in zip(docs.columns, own, strict=True)))
 

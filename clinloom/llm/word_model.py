@@ -255,7 +255,7 @@ def answers(rows: DataFrame, model: WordModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
-        for b in batches:
+        for b in (b.slice(lo, 64) for b in batches for lo in range(0, b.num_rows, 64)):  # few answers are held at once
             counts, sums = [], []
             for o, r, k in zip(*(x.to_pylist() for x in arrow_columns(b, "ord", "range", "keys")), strict=True):
                 if at != (o, r):

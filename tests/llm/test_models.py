@@ -205,6 +205,24 @@ def test_word_perplexity_against_plain_model(spark, sf):
         assert math.isclose(got[i], math.exp(-sum(logp[int(k)] for k in v) / len(v)), rel_tol=1e-4)
 
 
+def test_waves_score_alike_and_leave_nothing(spark, tmp_path):
+    import os
+
+    from clinloom.session import checkpoint_dir
+
+    texts = [" ".join(f"w{(i * k) % 37}" for k in range(40)) for i in range(60)]
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    bytes_model = quality.kneser_ney(quality.count_grams(docs.select("text")))
+    words = word_model.fit(docs.select("text"), quality.word_keys, 5)
+    scores = lambda n: {r.doc_id: tuple(r) for r in quality.perplexity(docs, bytes_model, 2_000, words=words, waves=n).collect()}
+    before = set(os.listdir(checkpoint_dir(spark).removeprefix("file:")))
+    once = scores(1)
+    assert len(once) == 60 and scores(3) == once
+    assert not [f for f in set(os.listdir(checkpoint_dir(spark).removeprefix("file:"))) - before if f.startswith("scores-")]
+
+
 def test_only_equal_words_are_copies(spark):
     shared = "licensed under the terms of the zebra license "
     rows = [(i, shared + f"w{i} x{i} y{i}", i % 2) for i in range(40)] + [(100 + i, "Same words, here" if i % 2 else "same WORDS here!", 0) for i in range(6)]

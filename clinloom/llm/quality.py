@@ -12,7 +12,7 @@ Scoring reads the texts three times.  For the byte model each task lists the dis
 every block of documents; the lists of all blocks are joined with the tables of all
 orders (back-off where one is unseen), and the probabilities go back to each block
 as one file of a table partitioned by block.  The word model does the same with packed arrays
-(``word_model.py``), some of the partitions at a time.  Then each task scores its blocks with those
+(``word_model.py``), some of the partitions at a time, and for a part of a block after the other.  Then each task scores its blocks with those
 files.  So neither the model nor a text is broadcast or shuffled, and a block's file
 is bounded by the block.  A block's name is a hash of its content: were it cut differently
 the second time, its file would be missing and the task would fail.  The input should be
@@ -36,6 +36,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +47,12 @@ from clinloom.llm import word_model
 from clinloom.llm.common import arrow_columns, id_text, map_arrow, table
 from clinloom.llm.graph import IdFilter
 from clinloom.llm.token_frames import open_store
+from clinloom.llm.word_model import distinct
 from clinloom.session import checkpoint_dir, discard, materialize, release_shuffles
 
 ORDER = 5
 BLOCK_BYTES = 16_000_000
+WORD_BYTES = 6_000_000  # of a block's texts, for the words of which lists are made at a time
 WAVES, WAVE_BYTES = 8, 64_000_000  # waves at most, and bytes of text that need no second one
 _PAD = b"\n" * (ORDER - 1)
 WORD_ORDER, WORD_BITS, _WORD = word_model.ORDER, word_model.BITS, word_model.WORD
@@ -75,13 +78,15 @@ def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     no word has), the texts' offsets in them and numbers of words."""
     import xxhash
 
-    hashes: dict[bytes, int] = {}
+    class Hashes(dict):
+        def __missing__(self, word: bytes) -> int:
+            self[word] = h = xxhash.xxh64_intdigest(word) % _WORD + 1
+            return h
+
     cut = [t.split() for t in texts]
-    for w in {w for c in cut for w in c}:
-        hashes[w] = xxhash.xxh64_intdigest(w) % _WORD + 1
     sizes = np.array([len(c) for c in cut], np.int64)
     starts = np.cumsum(sizes) - sizes
-    words = np.fromiter((hashes[w] for c in cut for w in c), np.int64, int(sizes.sum()))
+    words = np.fromiter(map(Hashes().__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
     at = np.arange(len(words)) - np.repeat(starts, sizes)
     keys = words.copy()
     for i in range(1, WORD_ORDER):
@@ -223,12 +228,11 @@ def log_probs(asked: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
 
 
 def blocks(batches: Iterator[pa.RecordBatch], most: int, with_text: bool = False) -> Iterator[tuple[int, pa.Table, list[bytes]]]:
-    """Runs of rows with about ``most`` bytes of text: name, rows without texts, texts."""
+    """Runs of rows with about ``most`` bytes of text, within a ``dealt_part``: name, rows without
+    texts, texts."""
     import xxhash
-    from pyspark import TaskContext
 
-    part = TaskContext.get().partitionId()
-    rows, texts, size = [], [], 0
+    rows, texts, size, part = [], [], 0, None
 
     def block() -> tuple[int, pa.Table, list[bytes]]:
         h = xxhash.xxh3_64(seed=part)
@@ -236,9 +240,20 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int, with_text: bool = False
             h.update(t + b"\xff")
         return int(np.uint64(h.intdigest()).astype(np.int64)), pa.Table.from_batches(rows), texts
 
-    for b in batches:
+    def within(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Some hundred rows of a part at a time."""
+        at = arrow_columns(b, "dealt_part")[0].to_numpy()
+        cut = sorted({*range(0, len(at), 500), *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(at)})
+        yield from (b.slice(lo, hi - lo) for lo, hi in pairwise(cut))
+
+    for b in (x for b in batches for x in within(b)):
+        now = arrow_columns(b, "dealt_part")[0][0].as_py()
+        if texts and now != part:
+            yield block()
+            rows, texts, size = [], [], 0
+        part = now
         raw = arrow_columns(b, "text")[0].cast(pa.binary()).to_pylist()
-        rest, lo = b.select([n for n in b.schema.names if with_text or n != "text"]), 0
+        rest, lo = b.select([n for n in b.schema.names if n != "dealt_part" and (with_text or n != "text")]), 0
         for i, t in enumerate(raw):
             texts.append(t)
             size += len(t)
@@ -277,16 +292,20 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in blocks(batches, block_bytes):
-            parts = [np.unique(gram_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)]
-            keys = np.unique(np.concatenate(parts))
+            keys = distinct(np.concatenate([distinct(gram_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)]))
             yield pa.record_batch([pa.array(np.full(len(keys), name)), pa.array(keys)], names=["block", "key"])
 
     def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in blocks(batches, block_bytes):
-            yield from word_model.asked(name, np.unique(np.concatenate([np.unique(word_keys(texts[lo:hi])[0]) for lo, hi in chunks(texts)])), words.ranges)
+            for part, (a, z) in enumerate(chunks(texts, WORD_BYTES)):
+                keys = distinct(np.concatenate([word_keys(texts[a + lo:a + hi])[0] for lo, hi in chunks(texts[a:z])]))
+                yield from word_model.asked(name, part, keys, words.ranges)
 
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if with_text or f.name != "text")
+    docs = docs.withColumn("dealt_part", F.spark_partition_id())
     asked = materialize(map_arrow(docs, grams, "block long, key long"))
     known = materialize(log_probs(asked.select("key").distinct(), model))
+    release_shuffles(spark)
     folder = f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
     asked.join(known, "key").repartition("block").write.partitionBy("block").parquet(folder)
     for t in (asked, known):
@@ -294,6 +313,7 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
     release_shuffles(spark)
 
     def score(batches: Iterator[pa.RecordBatch], word_folder: str | None = None) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
         import pyarrow.parquet as pq
 
         store, root = open_store(folder)
@@ -307,32 +327,36 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
                 keys, logp = keys[order], logp[order]
                 for lo, hi in chunks(texts):
                     asked, starts = gram_keys(texts[lo:hi])
-                    distinct, at = np.unique(asked, return_inverse=True)
-                    total = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(keys, distinct)][at])])
+                    some, at = np.unique(asked, return_inverse=True)
+                    total = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(keys, some)][at])])
                     sums[lo:hi] = total[starts + sizes[lo:hi]] - total[starts]
             ppl = np.exp(-sums / np.maximum(sizes, 1))
             rows = rows.append_column("n_bytes", pa.array(sizes)).append_column("perplexity", pa.array(ppl, mask=sizes == 0))
             if word_folder:
                 sums, again, sizes = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-                cuts = [(lo, hi, *word_keys(texts[lo:hi])) for lo, hi in chunks(texts)]
-                if any(len(c[2]) for c in cuts):
-                    found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["ord", "range", "counts", "sums"], partitioning=None)
-                    triples = np.unique(np.concatenate([c[2] for c in cuts]))
-                    logs = word_model.log_probs(triples, found, words)
+                found = None
+                for part, (a, z) in enumerate(chunks(texts, WORD_BYTES)):
+                    cuts = [(a + lo, a + hi, *word_keys(texts[a + lo:a + hi])) for lo, hi in chunks(texts[a:z])]
+                    triples, at = np.unique(np.concatenate([c[2] for c in cuts]), return_inverse=True)
+                    if not len(triples):
+                        continue
+                    if found is None:
+                        found = pq.read_table(f"{word_root}/block={name}", filesystem=word_store, columns=["part", "ord", "range", "counts", "sums"], partitioning=None)
+                    logs, done = word_model.log_probs(triples, found.filter(pc.equal(found["part"], part)), words), 0
                     for lo, hi, asked, starts, n in cuts:
                         sizes[lo:hi] = n
                         word = asked & _WORD
                         same = (word == (asked >> WORD_BITS) & _WORD) | (word == asked >> 2 * WORD_BITS)
-                        for out, x in ((sums, logs[np.searchsorted(triples, asked)]), (again, same)):
+                        for out, x in ((sums, logs[at[done:done + len(asked)]]), (again, same)):
                             total = np.concatenate([[0.0], np.cumsum(x)])
                             out[lo:hi] = total[starts + n] - total[starts]
+                        done += len(asked)
                 none = sizes == 0
                 rows = rows.append_column("n_words", pa.array(sizes))
                 rows = rows.append_column("word_perplexity", pa.array(np.exp(-sums / np.maximum(sizes, 1)), mask=none))
                 rows = rows.append_column("repeats", pa.array(again / np.maximum(sizes, 1), mask=none))
             yield from rows.combine_chunks().to_batches()
 
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if with_text or f.name != "text")
     more = ", n_words long, word_perplexity double, repeats double" if words else ""
     schema = f"{kept}, n_bytes long, perplexity double{more}"
     if not words:
@@ -340,15 +364,16 @@ def perplexity(docs: DataFrame, model: tuple[list[DataFrame], list[DataFrame], f
     if waves is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         waves = min(-(-size // WAVE_BYTES), WAVES) or 1
+    tasks = -(-docs.rdd.getNumPartitions() // waves)  # a task for each partition of a wave, none for the others
     scored = []
     for wave in range(waves):
-        own = docs.where(F.pmod(F.spark_partition_id(), F.lit(waves)) == wave) if waves > 1 else docs
+        own = docs.where(F.pmod("dealt_part", F.lit(waves)) == wave).coalesce(tasks) if waves > 1 else docs
         word_folder = f"{folder}-words-{wave}"
-        lists = map_arrow(own, word_lists, "ord int, range int, block long, keys binary")
+        lists = map_arrow(own, word_lists, "ord int, range int, block long, part int, keys binary")
         word_model.answers(lists, words).repartition("block").write.partitionBy("block").parquet(word_folder)
+        release_shuffles(spark)
         scored.append(materialize(map_arrow(own, _with(score, word_folder), schema)))
         remove(word_folder)
-        release_shuffles(spark)
     remove(folder)
     return reduce(DataFrame.union, scored)
 

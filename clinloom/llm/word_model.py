@@ -35,6 +35,7 @@ from clinloom.session import checkpoint_dir
 ORDER, BITS = 3, 21
 WORD = (1 << BITS) - 1
 UNSEEN = 0.5 ** BITS
+HELD_KEYS = 2_000_000  # n-grams that a task holds before it adds them up
 HELD = "keys binary, counts binary, n1 long, n2 long, n3 long, n4 long, grams long, total long"
 
 
@@ -62,6 +63,18 @@ def unpack(data: bytes, kind: type, differences: bool = False) -> np.ndarray:
     return np.cumsum(v) if differences else v
 
 
+def firsts(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values of a sorted array begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted.  ``np.unique`` of integers may gather them in a hash table, which
+    takes many times the time and memory of a sort."""
+    ordered = np.sort(values)
+    return ordered[firsts(ordered)]
+
+
 def range_of(order: int, keys: np.ndarray, ranges: int) -> np.ndarray:
     """By the context; words, which have none, by themselves."""
     h = (keys >> BITS if order > 1 else keys).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -71,8 +84,8 @@ def range_of(order: int, keys: np.ndarray, ranges: int) -> np.ndarray:
 def dealt(order: int, keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys in the order of their ranges, and where each range begins in them."""
     r = range_of(order, keys, ranges)
-    by = np.argsort(r, kind="stable")
-    return by, np.searchsorted(r[by], np.arange(ranges + 1))
+    by = np.argsort(r.astype(np.uint16) if ranges <= 1 << 16 else r, kind="stable")  # short integers are sorted by radix
+    return by, np.concatenate([[0], np.cumsum(np.bincount(r, minlength=ranges))])
 
 
 def parts(order: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.RecordBatch:
@@ -88,7 +101,7 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     every = np.concatenate(keys)
     by = np.argsort(every, kind="stable")
     every, n = every[by], np.concatenate(counts)[by]
-    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    first = firsts(every)
     return every[first], np.add.reduceat(n, first) if len(first) else n
 
 
@@ -134,12 +147,12 @@ def counted(texts: DataFrame, ranges: int, word_keys) -> DataFrame:
                 keys.append(k)
                 counts.append(c.astype(np.int64))
                 size += len(k)
-                if len(keys) > 64:
+                if size > HELD_KEYS:
                     k, c = added(keys, counts)
                     keys, counts, size = [k], [c], len(k)
-                if size > 4_000_000:
-                    yield parts(ORDER, *added(keys, counts), ranges)
-                    keys, counts, size = [], [], 0
+                    if size > HELD_KEYS // 2:
+                        yield parts(ORDER, k, c, ranges)
+                        keys, counts, size = [], [], 0
         if keys:
             yield parts(ORDER, *added(keys, counts), ranges)
 
@@ -150,18 +163,19 @@ def continued(rows: DataFrame, order: int, ranges: int) -> DataFrame:
     """Parts of the continuation counts of ``order`` from the distinct n-grams of the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = [], []
+        keys, counts, size = [], [], 0
         for b in batches:
             for k in arrow_columns(b, "keys")[0].to_pylist():
                 k, c = np.unique(low(unpack(k, np.int64, True), order), return_counts=True)
                 keys.append(k)
                 counts.append(c.astype(np.int64))
-                if len(keys) > 16:
+                size += len(k)
+                if size > HELD_KEYS:
                     k, c = added(keys, counts)
-                    keys, counts = [k], [c]
-                if sum(map(len, keys)) > 4_000_000:
-                    yield parts(order, *added(keys, counts), ranges)
-                    keys, counts = [], []
+                    keys, counts, size = [k], [c], len(k)
+                    if size > HELD_KEYS // 2:
+                        yield parts(order, k, c, ranges)
+                        keys, counts, size = [], [], 0
         if keys:
             yield parts(order, *added(keys, counts), ranges)
 
@@ -202,7 +216,7 @@ class WordModel:
         if order == 1:
             return keys, c, none, none.reshape(4, 0)
         context = keys >> BITS
-        begin = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        begin = firsts(context)
         return keys, c, context[begin], np.stack([np.add.reduceat(x, begin) for x in (c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), np.ones_like(c))])
 
     def left(self, order: int, c: np.ndarray) -> np.ndarray:
@@ -237,21 +251,22 @@ def fit(texts: DataFrame, word_keys, ranges: int | None = None) -> WordModel:
 # ---- scoring -------------------------------------------------------------------------------
 
 def lists(triples: np.ndarray) -> dict[int, np.ndarray]:
-    """The distinct n-grams that the scores of 3-grams need, by order."""
-    return {3: triples, 2: np.unique(low(triples, 2)), 1: np.unique(low(triples, 1))}
+    """The distinct n-grams that the scores of distinct 3-grams need, by order."""
+    return {3: triples, 2: distinct(low(triples, 2)), 1: distinct(low(triples, 1))}
 
 
-def asked(name: int, triples: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-    """A block's lists, a row an order and range."""
+def asked(name: int, part: int, triples: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
+    """The lists of a part of a block, a row an order and range."""
     for order, keys in lists(triples).items():
         by, begin = dealt(order, keys, ranges)
         some = np.flatnonzero(begin[1:] > begin[:-1])
         yield pa.record_batch([pa.array(np.full(len(some), order), pa.int32()), pa.array(some, pa.int32()), pa.array(np.full(len(some), name), pa.int64()),
-                               pa.array([pack(keys[by[begin[r]:begin[r + 1]]], True) for r in some], pa.binary())], names=["ord", "range", "block", "keys"])
+                               pa.array(np.full(len(some), part), pa.int32()),
+                               pa.array([pack(keys[by[begin[r]:begin[r + 1]]], True) for r in some], pa.binary())], names=["ord", "range", "block", "part", "keys"])
 
 
 def answers(rows: DataFrame, model: WordModel) -> DataFrame:
-    """(block, ord, range, counts, sums) for each list."""
+    """(block, part, ord, range, counts, sums) for each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
@@ -259,16 +274,17 @@ def answers(rows: DataFrame, model: WordModel) -> DataFrame:
             counts, sums = [], []
             for o, r, k in zip(*(x.to_pylist() for x in arrow_columns(b, "ord", "range", "keys")), strict=True):
                 if at != (o, r):
-                    at, held = (o, r), model.load(o, r)
+                    at, held = (o, r), None  # the range before goes first
+                    held = model.load(o, r)
                 wanted = unpack(k, np.int64, True)
                 counts.append(pack(looked_up(wanted, held[0], held[1])))
-                context = np.unique(wanted >> BITS) if o > 1 else wanted[:0]
-                sums.append(pack(looked_up(context, held[2], held[3]).ravel()))
-            yield pa.record_batch([*arrow_columns(b, "block", "ord", "range"), pa.array(counts, pa.binary()), pa.array(sums, pa.binary())],
-                                  names=["block", "ord", "range", "counts", "sums"])
+                context = wanted >> BITS if o > 1 else wanted[:0]
+                sums.append(pack(looked_up(context[firsts(context)], held[2], held[3]).ravel()))
+            yield pa.record_batch([*arrow_columns(b, "block", "part", "ord", "range"), pa.array(counts, pa.binary()), pa.array(sums, pa.binary())],
+                                  names=["block", "part", "ord", "range", "counts", "sums"])
 
     dealt_rows = rows.repartition("ord", "range").sortWithinPartitions("ord", "range")
-    return map_arrow(dealt_rows, run, "block long, ord int, range int, counts binary, sums binary")
+    return map_arrow(dealt_rows, run, "block long, part int, ord int, range int, counts binary, sums binary")
 
 
 def looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -280,25 +296,23 @@ def looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.nd
 
 
 def log_probs(triples: np.ndarray, found: pa.Table, model: WordModel) -> np.ndarray:
-    """log p of a block's distinct 3-grams from the answers to its lists."""
+    """log p of distinct 3-grams from the answers to their lists, a range at a time."""
     got = {(o, r): (c, s) for o, r, c, s in zip(*(found[c].to_pylist() for c in ("ord", "range", "counts", "sums")), strict=True)}
     known, p = lists(triples), None
     for order in (1, 2, 3):
         keys = known[order]
+        if order > 1:  # of each n-gram's suffix; the suffixes are the list of the order below
+            below = p[np.unique(low(keys, order - 1), return_inverse=True)[1]]
+        p = np.empty(len(keys))
         by, begin = dealt(order, keys, model.ranges)
-        count, contexts, sums = np.zeros(len(keys), np.int64), [np.zeros(0, np.int64)], [np.zeros((4, 0), np.int64)]
         for r in np.flatnonzero(begin[1:] > begin[:-1]).tolist():
             own = by[begin[r]:begin[r + 1]]
             c, s = got[order, r]
-            count[own] = unpack(c, np.int64)
-            if order > 1:
-                contexts.append(np.unique(keys[own] >> BITS))
-                sums.append(unpack(s, np.int64).reshape(4, -1))
-        if order == 1:
-            p = model.left(1, count) / model.first[0] + model.first[1] * UNSEEN
-            continue
-        context = np.concatenate(contexts)
-        sort = np.argsort(context)
-        of = np.concatenate(sums, axis=1)[:, sort][:, np.searchsorted(context[sort], keys >> BITS)]
-        p = model.left(order, count) / np.maximum(of[0], 1) + model.taken(order, of) * p[np.searchsorted(known[order - 1], low(keys, order - 1))]
+            left = model.left(order, unpack(c, np.int64))
+            if order == 1:
+                p[own] = left / model.first[0] + model.first[1] * UNSEEN
+                continue
+            context = keys[own] >> BITS
+            of = unpack(s, np.int64).reshape(4, -1)[:, np.cumsum(np.append(False, context[1:] != context[:-1]))]
+            p[own] = left / np.maximum(of[0], 1) + model.taken(order, of) * below[own]
     return np.log(p)

@@ -235,3 +235,34 @@ def test_all_significant_tokens_carry_weight(spark):
     clean = spark.range(30_000).select(F.concat(F.lit("c"), F.col("id")).cast("binary").alias("token"), F.lit(0).cast("long").alias("toxic"), F.lit(600).cast("long").alias("clean"))
     weights, top, rest = toxicity.token_weights(counts.union(clean), 10.0, 3.5, 2.0)
     assert len(weights) == len(top) == 30_000 and rest < 0
+
+
+def test_word_lists_are_sorted_and_held_in_parts(spark, tmp_path, monkeypatch):
+    """Distinct n-grams come from sorts, not from ``np.unique``'s hash table; a task holds a bounded number of
+    n-grams; the parts of a block, and partitions scored by one task, change no score."""
+    used = []
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda x, *a, **k: (used.append(bool(a or k)), unique(x, *a, **k))[1])
+    keys = quality.word_keys([f"a{i % 7} b{i % 5} c{i}".encode() for i in range(200)])[0]
+    rows = [r for b in word_model.asked(9, 2, word_model.distinct(keys), 3) for r in b.to_pylist()]
+    assert not used and {r["part"] for r in rows} == {2} and {r["block"] for r in rows} == {9}
+    for order, size in ((1, 212), (2, 435), (3, 600)):
+        got = np.concatenate([word_model.unpack(r["keys"], np.int64, True) for r in rows if r["ord"] == order])
+        assert len(got) == len(set(got.tolist())) == len({int(word_model.low(k, order)) for k in keys})
+        assert order != 1 or len(got) == size
+    monkeypatch.undo()
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame([(i, " ".join(f"w{(i * k) % 37}" for k in range(40))) for i in range(60)], "doc_id long, text string").repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    bytes_model = quality.kneser_ney(quality.count_grams(docs.select("text")))
+
+    def scores(waves):
+        words = word_model.fit(docs.select("text"), quality.word_keys, 5)
+        return {r.doc_id: r for r in quality.perplexity(docs, bytes_model, 2_000, words=words, waves=waves).collect()}
+
+    whole = scores(2)
+    monkeypatch.setattr(quality, "WORD_BYTES", 300)
+    monkeypatch.setattr(word_model, "HELD_KEYS", 20)
+    cut = scores(3)
+    assert len(whole) == 60 and whole.keys() == cut.keys()
+    assert all(math.isclose(whole[i].word_perplexity, cut[i].word_perplexity, rel_tol=1e-9) and whole[i].perplexity == cut[i].perplexity for i in whole)

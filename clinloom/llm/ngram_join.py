@@ -268,7 +268,7 @@ class Verifier:
     def possible(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose outlines allow the threshold: the sum of the smaller counts is
         never less than what the sets share."""
-        percent = self.percent
+        percent, kept = self.percent, pairs.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -279,10 +279,10 @@ class Verifier:
                     x, y = (np.frombuffer(b"".join(o.filter(pa.array(both)).to_pylist()), np.uint8).reshape(-1, 256) for o in (oa, ob))
                     most[both] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
                 fits = (100 + percent) * most >= percent * (na.to_numpy() + nb.to_numpy())
-                yield b.filter(pa.array(fits)).select(["a", "b"])
+                yield b.filter(pa.array(fits)).select(kept)
 
         of = lambda x: self.classes.select(F.col("cls").alias(x), F.col("outline").alias(f"o{x}"), F.col("n").alias(f"n{x}"))
-        return map_arrow(pairs.join(of("a"), "a").join(of("b"), "b"), run, "a long, b long")
+        return map_arrow(pairs.join(of("a"), "a").join(of("b"), "b"), run, pairs.schema)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The (written) pairs (a, b) whose sets are similar enough."""
@@ -354,12 +354,15 @@ def meetings(lists: DataFrame, percent: int) -> DataFrame:
     return met.where(_fits("n_a", "n_b", percent) & ((100 + percent) * behind >= percent * (F.col("n_a") + F.col("n_b"))))
 
 
-def remaining(lists: DataFrame, percent: int) -> DataFrame:
+def remaining(lists: DataFrame, percent: int, verify: Verifier | None = None) -> DataFrame:
     """All candidates between components that are left.  A pair's matches are counted in its two
-    prefixes once it has met, so common tokens behind the first ones make no rows."""
+    prefixes once it has met and (with ``verify``) its outlines allow a link, so common tokens behind
+    the first ones make no rows, and no prefix is moved for pairs that only lie near each other."""
     # a pair may meet as (outside, base) in one list and as (base, outside) in another
     pairs = materialize(meetings(lists, percent).groupBy(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).agg(
         F.first(F.least("asked_a", "asked_b")).alias("asked")))
+    if verify is not None:
+        pairs = materialize(verify.possible(pairs))
     in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     prefixes = materialize(lists.join(in_pairs, "cls", "left_semi").groupBy("cls").agg(F.collect_list("token").alias("tokens")))
     of = lambda x: prefixes.select(F.col("cls").alias(x), F.col("tokens").alias(f"t{x}"))
@@ -378,7 +381,7 @@ def classes_and_rows(docs: DataFrame, width: int, percent: int, most: int) -> tu
     tried = links = labels = None
     for step in range(4):
         lists = labelled(lists, labels)
-        pairs = materialize(first_partners(lists, percent) if step == 0 else remaining(lists, percent) if step == 3
+        pairs = materialize(first_partners(lists, percent) if step == 0 else remaining(lists, percent, verify) if step == 3
                             else further_partners(lists, percent, tried, links, step, 8))
         found = verify.links(pairs)
         tried, links = (pairs, found) if step == 0 else (tried.union(pairs), materialize(links.union(found)))

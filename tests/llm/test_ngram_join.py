@@ -155,3 +155,17 @@ def test_components_of_any_shape(spark, shape):
         got = {r.node: r.comp for r in labels.collect()}
         alone = {x for x in root if x not in got}
         assert got == {x: find(x) for x in root if x not in alone} and all(find(x) == x for x in alone)
+
+
+def test_pairs_that_outlines_exclude_move_no_prefix(spark, monkeypatch):
+    """Of texts that meet in a list, only pairs whose outlines allow a link are looked at further."""
+    rows = [(7, c, 10, 0, 1, c) for c in range(1, 9)]
+    lists = ngram_join.materialize(spark.createDataFrame(rows, "token long, cls long, n long, pos long, asked long, comp long"))
+    outline = lambda c: bytes(10 * (i == (0 if c in (2, 5) else c)) for i in range(256))
+    classes = spark.createDataFrame([(c, c, 10, bytearray(outline(c))) for c in range(1, 9)], "cls long, rep long, n long, outline binary")
+    written, materialize = [], ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", lambda df: (written.append(materialize(df)), written[-1])[1])
+    verify = ngram_join.Verifier(None, classes, 5, 80)
+    assert [tuple(r) for r in ngram_join.remaining(lists, 80, verify).collect()] == [(2, 5)]
+    assert [t.count() for t in written if t.columns == ["cls", "tokens"]] == [2]
+    assert ngram_join.remaining(lists, 80).count() == 28
